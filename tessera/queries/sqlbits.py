@@ -112,3 +112,13 @@ def with_retail(body: str, *extra_ctes: str) -> str:
     """``WITH <retail adapters + cleaning>, <extra> <body>``."""
     ctes = ",\n".join([RETAIL, *extra_ctes])
     return f"WITH {ctes}\n{body}"
+
+SPARSE = """sparse AS (
+  SELECT CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE c_name END AS name,
+         CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_mktsegment END AS segment,
+         CASE WHEN c_custkey % 15 = 0 THEN NULL ELSE c_acctbal END AS balance
+  FROM customer)"""
+
+
+def with_ctes(body: str, *ctes: str) -> str:
+    return f"WITH {', '.join(ctes)}\n{body}" if ctes else body

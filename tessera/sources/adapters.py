@@ -5,7 +5,7 @@ the same scan stage as the pipeline that reads them.  Dirty cases (null
 emails, null customers, non-positive prices, duplicate order ids with a
 different payload) are derived from the keys by arithmetic, so they are
 reproducible and present at every scale.  The matching SQL text used by the
-oracle lives in ``tessera.queries.adapters_sql``; the two must stay equal.
+oracle lives in ``tessera.queries.sqlbits``; the two must stay equal.
 """
 
 from __future__ import annotations
@@ -107,3 +107,16 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("2024-01-01T00:00:"),
                  F.lpad((F.col("doc_id") % 60).cast("string"), 2, "0")).alias("scraped_at"),
     )
+
+
+def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer with nulls by key: name every 6th, segment every 10th,
+    balance every 15th key, so every 30th row is null in all columns.
+    No key column (the all-null case must be possible)."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    return c.select(
+        F.when(key % 6 == 0, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("name"),
+        F.when(key % 10 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("segment"),
+        F.when(key % 15 == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal")).alias("balance"),
+    )

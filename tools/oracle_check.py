@@ -73,6 +73,21 @@ def canon(names, rows):
     return cols, out, kinds
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+                 "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def spark_type(dt_) -> str:
+    s = dt_.simpleString()
+    if s.startswith("array<"):
+        return spark_type(dt_.elementType) + "[]"
+    if s.startswith("decimal"):
+        return s.upper()
+    return SPARK_TO_DUCK.get(s, s)
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -99,8 +114,9 @@ def compare(spark, con, q, sf_dir, show=5):
         return "SCHEMA", f"spark={sc} duck={dc}", t1 - t0
     if len(sr) != len(dr):
         return "COUNT", f"spark={len(sr)} duck={len(dr)}", t1 - t0
-    kinds_bad = {c: (sk.get(c), dk.get(c)) for c in sc if sk.get(c) != dk.get(c)
-                 and sk.get(c) and dk.get(c)}
+    s_types = {f.name: spark_type(f.dataType) for f in df.schema.fields}
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    kinds_bad = {c: (s_types[c], d_types[c]) for c in sc if s_types[c] != d_types[c]}
     cs, cd = collections.Counter(sr), collections.Counter(dr)
     if cs != cd:
         only_s = list((cs - cd).elements())[:show]
