@@ -30,3 +30,24 @@ def hash_bucket(key, salt: int = 0) -> Column:
 def hash_unit(key, salt: int = 0) -> Column:
     """Uniform-looking double in [0, 1) from a key (replaces ``rand()``)."""
     return hash_bucket(key, salt) / F.lit(float(HASH_MODULUS))
+
+
+# Fixed values of the wide draws: the Mersenne prime 2^31 - 1 and published
+# multiplicative-congruential multipliers for it, one per value stream.
+DRAW_MODULUS = 2147483647
+DRAW_MULTIPLIERS = (48271, 16807, 69621, 39373, 40692, 40014, 630360016, 742938285,
+                    950706376, 1226874159, 62089911, 1343714438)
+
+
+def draw(key, stream: int) -> Column:
+    """Integer in [0, 2^31 - 1) from an integer key, independent-looking per
+    ``stream``.  Exact 64-bit arithmetic, so SQL engines reproduce it."""
+    m = F.lit(DRAW_MODULUS)
+    k = F.pmod(_c(key).cast("long"), m)
+    return F.pmod(k * DRAW_MULTIPLIERS[stream] + F.lit(stream), m)
+
+
+def draw_below(key, stream: int, n) -> Column:
+    """Integer in [0, n) (n a literal or Column), uniform over the draw."""
+    n_col = n if isinstance(n, Column) else F.lit(n)
+    return F.call_function("div", draw(key, stream) * n_col.cast("long"), F.lit(DRAW_MODULUS))

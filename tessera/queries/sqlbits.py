@@ -122,3 +122,22 @@ SPARSE = """sparse AS (
 
 def with_ctes(body: str, *ctes: str) -> str:
     return f"WITH {', '.join(ctes)}\n{body}" if ctes else body
+
+
+def draw(k: str, stream: int) -> str:
+    from tessera.functions.hashing import DRAW_MODULUS as M, DRAW_MULTIPLIERS as MULT
+    return f"((((CAST({k} AS BIGINT) % {M}) + {M}) % {M}) * {MULT[stream]} + {stream}) % {M}"
+
+
+def draw_below(k: str, stream: int, n: str | int) -> str:
+    from tessera.functions.hashing import DRAW_MODULUS as M
+    return f"(({draw(k, stream)}) * CAST({n} AS BIGINT) // {M})"
+
+
+def pick(values: Sequence[str], k: str, stream: int) -> str:
+    items = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+    return f"[{items}][CAST({draw_below(k, stream, len(values))} AS INTEGER) + 1]"
+
+
+def cents_between(k: str, stream: int, low: int, span: int) -> str:
+    return f"({low} + ({draw_below(k, stream, 2 * span + 1)} + 1) // 2)"
