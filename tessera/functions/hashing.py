@@ -32,19 +32,24 @@ def hash_unit(key, salt: int = 0) -> Column:
     return hash_bucket(key, salt) / F.lit(float(HASH_MODULUS))
 
 
-# Fixed values of the wide draws: the Mersenne prime 2^31 - 1 and published
-# multiplicative-congruential multipliers for it, one per value stream.
+# Fixed values of the wide draws: the Mersenne prime 2^31 - 1 and the
+# multiplier 48271; stream s uses 48271^(1000 + 7919 s) mod (2^31 - 1), a
+# large multiplier, so even small keys wrap around the modulus.
 DRAW_MODULUS = 2147483647
-DRAW_MULTIPLIERS = (48271, 16807, 69621, 39373, 40692, 40014, 630360016, 742938285,
-                    950706376, 1226874159, 62089911, 1343714438)
+DRAW_BASE = 48271
+DRAW_STREAMS = 16
+DRAW_MULTIPLIERS = tuple(pow(DRAW_BASE, 1000 + 7919 * s, DRAW_MODULUS) for s in range(DRAW_STREAMS))
 
 
 def draw(key, stream: int) -> Column:
     """Integer in [0, 2^31 - 1) from an integer key, independent-looking per
-    ``stream``.  Exact 64-bit arithmetic, so SQL engines reproduce it."""
+    ``stream``: two multiplicative-congruential rounds on exact 64-bit
+    integers, so SQL engines reproduce it."""
     m = F.lit(DRAW_MODULUS)
-    k = F.pmod(_c(key).cast("long"), m)
-    return F.pmod(k * DRAW_MULTIPLIERS[stream] + F.lit(stream), m)
+    a = DRAW_MULTIPLIERS[stream]
+    x = F.pmod(_c(key).cast("long"), m) + F.lit(stream + 1)
+    x = F.pmod(x * a, m)
+    return F.pmod(x * a, m)
 
 
 def draw_below(key, stream: int, n) -> Column:

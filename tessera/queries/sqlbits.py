@@ -126,7 +126,10 @@ def with_ctes(body: str, *ctes: str) -> str:
 
 def draw(k: str, stream: int) -> str:
     from tessera.functions.hashing import DRAW_MODULUS as M, DRAW_MULTIPLIERS as MULT
-    return f"((((CAST({k} AS BIGINT) % {M}) + {M}) % {M}) * {MULT[stream]} + {stream}) % {M}"
+    a = MULT[stream]
+    x = f"((((CAST({k} AS BIGINT) % {M}) + {M}) % {M}) + {stream + 1})"
+    x = f"(({x} * {a}) % {M})"
+    return f"(({x} * {a}) % {M})"
 
 
 def draw_below(k: str, stream: int, n: str | int) -> str:
