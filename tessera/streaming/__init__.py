@@ -1,0 +1,9 @@
+"""Structured Streaming.
+
+The reference has no streaming operator (no readStream, watermark, window or
+state); its streams are mentioned only as properties of Spark.  Nothing is
+built here on purpose: every pipeline in ``tessera.plans`` is a batch job.
+The package exists so a streaming source can later feed the same
+DataFrame -> DataFrame operators, which are all stream-compatible except
+the sorts, top-k and ``rank_within`` (they need a bounded input).
+"""

@@ -113,3 +113,21 @@ def test_generators(spark):
     assert 10.0 <= stats[4] and stats[5] <= 505.0
     assert stats[6] <= 10000 and stats[7] <= 1000
     assert set(r.city for r in c.select("city").distinct().collect()) == set(synth.CITIES)
+
+
+def test_read_entity_fails_fast(spark, tmp_path):
+    from tessera.sources.files import EntityReadError, read_entity
+    with pytest.raises(EntityReadError, match="customers"):
+        read_entity(spark, str(tmp_path / "missing"), "customers")
+    spark.range(3).write.parquet(str(tmp_path / "ok"))
+    with pytest.raises(EntityReadError, match="lacks columns"):
+        read_entity(spark, str(tmp_path / "ok"), "customers", required=["id", "email"])
+    assert read_entity(spark, str(tmp_path / "ok"), "ids", required=["id"]).count() == 3
+
+
+def test_as_of_makes_dates_repeatable(spark):
+    import datetime as dt
+    from tessera.functions.dates import as_of_date, days_since
+    df = spark.createDataFrame([(dt.date(2024, 12, 1),)], "d date")
+    assert df.select(days_since("d", "2024-12-31")).first()[0] == 30
+    assert df.select(as_of_date()).first()[0] == dt.date.today()
