@@ -139,9 +139,10 @@ def product_metrics(products: DataFrame, orders: DataFrame) -> DataFrame:
     max_orders = ext.select(F.greatest(F.coalesce(F.max("times_ordered"), F.lit(0)),
                                        F.lit(1))).scalar()
     price_c = cents("unit_price")
-    # cost = price * (6000 + 2u) / 10000 with u in [0, 10000): exact cents.
-    cost_c = half_up_div(price_c * (F.lit(6000) + hash_bucket("product_id", COST_SALT) * 2),
-                         F.lit(10000))
+    # cost = price * (0.6 + 0.2 u / 10000) = price * (60000 + 2u) / 100000,
+    # u in [0, 10000): exact cents.
+    cost_c = half_up_div(price_c * (F.lit(60000) + hash_bucket("product_id", COST_SALT) * 2),
+                         F.lit(100000))
     return (ext
             .withColumn("popularity_score", round_ratio("times_ordered", max_orders, 2, 100))
             .withColumn("_cost_c", cost_c)

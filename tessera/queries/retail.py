@@ -104,7 +104,7 @@ PRODUCT_METRICS_CTES = [
         COALESCE(s.total_revenue, 0.0) AS total_revenue
         FROM c_products p LEFT JOIN sales s ON p.product_id = s.product_id)""",
     f"""pm0 AS (SELECT *, {S.cents('unit_price')} AS _pc,
-        {S.half_up_div(f"{S.cents('unit_price')} * (6000 + 2 * ({S.hash_bucket('product_id', R.COST_SALT)}))", '10000')} AS _cc,
+        {S.half_up_div(f"{S.cents('unit_price')} * (60000 + 2 * ({S.hash_bucket('product_id', R.COST_SALT)}))", '100000')} AS _cc,
         (SELECT greatest(COALESCE(MAX(times_ordered), 0), 1) FROM ext) AS _mx FROM ext)""",
     f"""pm AS (SELECT product_id, product_name, category, brand, unit_price, stock_quantity,
         is_active, times_ordered, total_quantity_sold, total_revenue,
