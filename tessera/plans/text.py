@@ -13,16 +13,16 @@ from pyspark.sql import functions as F
 
 def word_count_whitespace(df: DataFrame, text: str = "text") -> DataFrame:
     """Split on runs of whitespace, drop empty tokens, lower-case, count;
-    most frequent first (ties by word)."""
-    words = (df.select(F.explode(F.split(F.col(text), r"\s+")).alias("w"))
-             .where(F.col("w") != "")
-             .select(F.lower("w").alias("word")))
+    most frequent first (ties by word).  The text is lower-cased once per
+    document (the same tokens as lowering each word: lower-casing neither
+    adds nor removes whitespace)."""
+    words = (df.select(F.explode(F.split(F.lower(F.col(text)), r"\s+")).alias("word"))
+             .where(F.col("word") != ""))
     return words.groupBy("word").count().orderBy(F.desc("count"), F.asc("word"))
 
 
 def word_count_space(df: DataFrame, text: str = "text") -> DataFrame:
     """Split on single spaces (double blanks give empty tokens, which are
     counted), lower-case, count; most frequent first."""
-    words = (df.select(F.explode(F.split(F.col(text), " ")).alias("w"))
-             .select(F.lower("w").alias("word")))
+    words = df.select(F.explode(F.split(F.lower(F.col(text)), " ")).alias("word"))
     return words.groupBy("word").count().orderBy(F.desc("count"), F.asc("word"))

@@ -73,8 +73,11 @@ SELECT * FROM g UNION ALL SELECT * FROM g WHERE {S.hash_bucket('order_id', 9)} <
 @register("gen_orders", _GEN_ORDERS)
 def gen_orders(spark, sf):
     ids = _ids(spark, sf, "orders", "o_orderkey")
-    # Table sizes as scalar subqueries: computed in the same job, no collect.
-    n_c, n_p = G.table_sizes(ids.select(F.count(F.lit(1))).scalar())
+    # The scale rule needs one number, the order count: one count job (the
+    # value, not data, comes to the driver), then the sizes are literals.
+    n = ids.count()
+    n_c = max(G.MIN_CUSTOMERS, n // G.CUSTOMERS_PER_ORDER_DIV)
+    n_p = max(G.MIN_PRODUCTS, n // G.PRODUCTS_PER_ORDER_DIV)
     return G.generate_orders(ids, n_c, n_p, AS_OF)
 
 
