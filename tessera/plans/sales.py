@@ -74,3 +74,13 @@ def monthly_summary(raw: DataFrame) -> DataFrame:
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_if(F.col("revenue_class") == "high").alias("high_value"))
         .orderBy("year", "month"))
+
+
+def run_monthly_summary(spark, csv_paths, out: str) -> DataFrame:
+    """Cookbook job: raw sales CSV -> monthly summary, written by year."""
+    from tessera import schemas
+    from tessera.sinks.files import write_parquet
+    from tessera.sources.files import read_csv
+    summary = monthly_summary(read_csv(spark, csv_paths, schemas.SALES_TEXT))
+    write_parquet(summary, out, partition_by=["year"])
+    return spark.read.parquet(out)

@@ -42,3 +42,18 @@ def write_silver(customers: DataFrame, products: DataFrame, orders: DataFrame, r
         for name in ("customers_analytics", "products_metrics", "daily_metrics"):
             publish(spark.read.parquet(paths[name]), jdbc, f"table_{name}")
     return paths
+
+
+def run_batch(spark, input_root: str, out_root: str, segments=R.DEFAULT_SEGMENTS,
+              jdbc: Mapping[str, str] | None = None) -> dict:
+    """The whole retail batch job: fail-fast reads of the three entities
+    (``customers``, ``products``, ``orders`` below ``input_root``),
+    cleaning, analytics, silver outputs and optional publish."""
+    from tessera import schemas
+    from tessera.sources.files import read_entity
+    root = input_root.rstrip("/")
+    customers = read_entity(spark, f"{root}/customers", "customers", schemas.CUSTOMERS)
+    products = read_entity(spark, f"{root}/products", "products", schemas.PRODUCTS)
+    orders = read_entity(spark, f"{root}/orders", "orders", schemas.ORDERS)
+    return write_silver(R.clean_customers(customers), R.clean_products(products),
+                        R.clean_orders(orders), out_root, segments, jdbc)
