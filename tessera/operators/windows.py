@@ -4,14 +4,18 @@
 to one task.  When one group holds a third of the table that task does a
 third of the work.  ``rank_within`` splits groups instead:
 
-1. range-partition on (group, value): hot groups are cut into several
-   contiguous chunks, small groups share a chunk, and identical (group,
-   value) keys always fall in the same chunk;
-2. checkpoint (to the shared ``spark.checkpoint.dir``) so both uses below
-   see the same chunk assignment, also after a lost executor;
-3. rank locally per (group, chunk) and add the number of rows (distinct
-   values for ``dense_rank``) of the group in earlier chunks, from a small
-   per-chunk count table (at most chunks + groups rows).
+1. range-partition on (group, value, tiebreak, row hash): hot groups -- and
+   even one hot (group, value) pair -- are cut into several contiguous
+   chunks; small groups share a chunk;
+2. checkpoint (to the shared ``spark.checkpoint.dir``) so every use below
+   sees the same chunk assignment, also after a lost executor;
+3. rank locally per (group, chunk), then add offsets from a per-chunk table
+   (one row per chunk and group in it): the rows, or distinct values for
+   ``dense_rank``, of the group in earlier chunks -- minus the rows / values
+   that earlier chunks share with this chunk's first value, because the row
+   hash may cut a run of equal values across chunks.  Equal values form one
+   run of consecutive chunks, found with window functions over the chunk
+   table (no pairs of chunks are formed).
 """
 
 from __future__ import annotations
@@ -28,26 +32,67 @@ def rank_within(df: DataFrame, group: str, value: str, *, descending: bool = Tru
                 method: str = "rank", name: str = "rank", tiebreak: str | None = None,
                 chunks: int | None = None) -> DataFrame:
     """Add ``name`` = rank / row_number / dense_rank of ``value`` within
-    ``group`` (equal to the window function), without any group landing
-    whole in one task.  ``row_number`` needs a unique ``tiebreak`` column
-    to be deterministic."""
+    ``group``, equal to the window function of the same name, without any
+    group landing whole in one task.  ``value`` must not be null;
+    ``row_number`` orders ties by ``tiebreak`` (then by a row hash)."""
     if method not in _METHODS:
         raise ValueError(f"method must be one of {sorted(_METHODS)}")
     scratch_root(df.sparkSession)  # make sure a checkpoint folder is set
-    v = F.col(value).desc() if descending else F.col(value).asc()
-    order = [v] + ([F.col(tiebreak).asc()] if tiebreak else [])
-    parts = [F.col(group)] + order
-    ranged = df.repartitionByRange(chunks, *parts) if chunks else df.repartitionByRange(*parts)
+    unb = Window.unboundedPreceding
+    val = F.col(value)
+    v = val.desc() if descending else val.asc()
+    ties = [F.col(tiebreak).asc()] if tiebreak else []
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    keyed = df.withColumn("_spread", spread)
+    keys = [F.col(group), v, *ties, F.col("_spread")]
+    ranged = keyed.repartitionByRange(chunks, *keys) if chunks else keyed.repartitionByRange(*keys)
     chunked = ranged.withColumn("_chunk", F.spark_partition_id()).checkpoint(eager=True)
 
-    local_w = Window.partitionBy(group, "_chunk").orderBy(*order)
-    local = chunked.withColumn("_local", _METHODS[method]().over(local_w))
-    size = F.count_distinct(value) if method == "dense_rank" else F.count(F.lit(1))
-    counts = chunked.groupBy(group, "_chunk").agg(size.alias("_n"))
-    before = Window.partitionBy(group).orderBy("_chunk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.select(group, "_chunk",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return (local.join(offsets, [group, "_chunk"])
-            .withColumn(name, (F.col("_local") + F.col("_offset")).cast("int"))
-            .drop("_local", "_offset", "_chunk"))
+    # Local ranks per (group, chunk), and rows per value inside the chunk.
+    local_order = [v] if method != "row_number" else [v, *ties, F.col("_spread")]
+    local = (chunked
+             .withColumn("_local", _METHODS[method]().over(
+                 Window.partitionBy(group, "_chunk").orderBy(*local_order)))
+             .withColumn("_n_value", F.count(F.lit(1)).over(
+                 Window.partitionBy(group, "_chunk", value))))
+
+    first_of, last_of = (F.max, F.min) if descending else (F.min, F.max)
+    count_at_last = F.min_by if descending else F.max_by
+    stats = local.groupBy(group, "_chunk").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_distinct(value).alias("_d"),
+        first_of(value).alias("_first"),
+        last_of(value).alias("_last"),
+        count_at_last("_n_value", val).alias("_n_last"))
+
+    by_chunk = Window.partitionBy(group).orderBy("_chunk")
+    before = by_chunk.rowsBetween(unb, -1)
+    stats = (stats
+             .withColumn("_prev_last", F.lag("_last").over(by_chunk))
+             # 1 when this chunk starts with the value the previous one ends on
+             .withColumn("_cont", F.coalesce((F.col("_prev_last") == F.col("_first"))
+                                             .cast("int"), F.lit(0)))
+             # runs of consecutive chunks ending on the same value
+             .withColumn("_new_run", F.when(F.col("_prev_last").isNull()
+                                            | (F.col("_prev_last") != F.col("_last")), 1)
+                         .otherwise(0))
+             .withColumn("_run", F.sum("_new_run").over(by_chunk.rowsBetween(unb, 0))))
+    stats = stats.withColumn("_tail_rows", F.sum("_n_last").over(
+        Window.partitionBy(group, "_run").orderBy("_chunk").rowsBetween(unb, 0)))
+    offsets = stats.select(
+        group, "_chunk", "_first", "_cont",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows_before"),
+        F.coalesce(F.sum(F.col("_d") - F.col("_cont")).over(before), F.lit(0))
+        .alias("_distinct_before"),
+        F.when(F.col("_cont") == 1, F.lag("_tail_rows").over(by_chunk)).otherwise(F.lit(0))
+        .alias("_ties_before"))
+
+    out = local.join(offsets, [group, "_chunk"])
+    if method == "rank":
+        rank = (F.col("_local") + F.col("_rows_before")
+                - F.when(val == F.col("_first"), F.col("_ties_before")).otherwise(F.lit(0)))
+    elif method == "row_number":
+        rank = F.col("_local") + F.col("_rows_before")
+    else:
+        rank = F.col("_local") + F.col("_distinct_before") - F.col("_cont")
+    return out.withColumn(name, rank.cast("int")).select(*df.columns, name)

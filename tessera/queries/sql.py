@@ -32,11 +32,19 @@ def sql_rank(spark, sf):
                                salary_rank FROM {ranked}""", ranked=ranked)
 
 
-@register("sql_rank_window", """SELECT c_mktsegment AS department, c_name AS name, c_acctbal AS salary,
-  CAST(RANK() OVER (PARTITION BY c_mktsegment, c_nationkey ORDER BY c_acctbal DESC) AS INTEGER)
-  AS salary_rank FROM customer""")
+@register("sql_rank_window", """WITH m AS (SELECT o_custkey AS customer,
+    CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+    SUM(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS sales_cents
+    FROM orders GROUP BY 1, 2)
+  SELECT customer, month, CAST(sales_cents AS DOUBLE) / 100 AS sales,
+  CAST(RANK() OVER (PARTITION BY customer ORDER BY sales_cents DESC) AS INTEGER) AS sales_rank FROM m""")
 def sql_rank_window(spark, sf):
-    # The plain SQL window form, per (segment, nation).
-    return spark.sql("""SELECT c_mktsegment AS department, c_name AS name, c_acctbal AS salary,
-        RANK() OVER (PARTITION BY c_mktsegment, c_nationkey ORDER BY c_acctbal DESC) AS salary_rank
-        FROM {employees}""", employees=T(spark, sf, "customer"))
+    # The plain SQL window form, on groups bounded by construction: the
+    # aggregate leaves one row per customer and month before the window.
+    return spark.sql("""
+        WITH m AS (SELECT o_custkey AS customer, trunc(CAST(o_orderdate AS DATE), 'MM') AS month,
+                          sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS sales_cents
+                   FROM {orders} GROUP BY 1, 2)
+        SELECT customer, month, CAST(sales_cents AS DOUBLE) / 100 AS sales,
+               RANK() OVER (PARTITION BY customer ORDER BY sales_cents DESC) AS sales_rank
+        FROM m""", orders=T(spark, sf, "orders"))

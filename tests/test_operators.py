@@ -51,6 +51,26 @@ def test_rank_within_equals_window_under_skew(spark, method):
     assert chunks > 4
 
 
+@pytest.mark.parametrize("method", ["rank", "dense_rank", "row_number"])
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_within_hot_value(spark, method, descending):
+    # One (group, value) pair holds half the rows: it is cut across chunks.
+    df = spark.range(6000).select(
+        (F.col("id") % 3).alias("g"),
+        F.when(F.col("id") % 2 == 0, F.lit(50)).otherwise(F.col("id") % 101).alias("v"),
+        F.col("id"))
+    fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[method]
+    o = F.desc("v") if descending else F.asc("v")
+    w = Window.partitionBy("g").orderBy(o, F.asc("id")) if method == "row_number" else \
+        Window.partitionBy("g").orderBy(o)
+    want = {r.id: r.r for r in df.select("id", fn().over(w).alias("r")).collect()}
+    got = {r.id: r.r for r in rank_within(df, "g", "v", method=method, name="r", chunks=24,
+                                          descending=descending,
+                                          tiebreak="id" if method == "row_number" else None
+                                          ).collect()}
+    assert got == want
+
+
 def test_dedup_survivor_is_smallest(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (1, None, 5), (2, "z", 1)],
                                "k int, s string, n int")
