@@ -65,3 +65,20 @@ def pivot_count(df: DataFrame, group: Sequence[str] | str, pivot_col: str,
     g = df.groupBy(*group)
     p = g.pivot(pivot_col, list(values)) if values is not None else g.pivot(pivot_col)
     return p.agg(F.count(F.lit(1)))
+
+
+def sorted_list(df: DataFrame, group: Sequence[str] | str, value: str,
+                alias: str | None = None) -> DataFrame:
+    """``array_sort(collect_list(value))`` per group, built from counts.
+
+    Values are first counted per (group, value) with map-side partial
+    aggregation; the per-group buffer then holds one (value, count) pair per
+    distinct value instead of one entry per row, and the list is expanded
+    only in the output.  Nulls are skipped, as by ``collect_list``.
+    """
+    group = [group] if isinstance(group, str) else list(group)
+    counts = (df.where(F.col(value).isNotNull())
+              .groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n")))
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), F.col("_n").alias("n"))))
+    expanded = F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["v"], p["n"].cast("int"))))
+    return counts.groupBy(*group).agg(expanded.alias(alias or value))

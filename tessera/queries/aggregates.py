@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import avg_money, sum_money
-from tessera.operators.aggregate import agg_dict, pivot_count
+from tessera.operators.aggregate import agg_dict, pivot_count, sorted_list
 from tessera.queries import register
 from tessera.queries import sqlbits as S
 from tessera.sources.tables import table as T
@@ -82,10 +82,10 @@ def agg_approx_within_bound(spark, sf):
 @register("agg_collect_list", """SELECT o_custkey, array_to_string(list_sort(list(o_orderstatus)), ',')
   AS statuses FROM orders GROUP BY o_custkey""")
 def agg_collect_list(spark, sf):
-    # Values per customer are bounded by that customer's orders; the list is
-    # sorted so the result does not depend on task order.
-    return T(spark, sf, "orders").groupBy("o_custkey").agg(
-        F.array_join(F.array_sort(F.collect_list("o_orderstatus")), ",").alias("statuses"))
+    # Sorted so the result does not depend on task order; built from
+    # (value, count) pairs so a hot customer's buffer stays small.
+    lists = sorted_list(T(spark, sf, "orders"), "o_custkey", "o_orderstatus", "statuses")
+    return lists.select("o_custkey", F.array_join("statuses", ",").alias("statuses"))
 
 
 @register("agg_collect_set", """SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',')

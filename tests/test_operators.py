@@ -151,3 +151,12 @@ def test_as_of_makes_dates_repeatable(spark):
     df = spark.createDataFrame([(dt.date(2024, 12, 1),)], "d date")
     assert df.select(days_since("d", "2024-12-31")).first()[0] == 30
     assert df.select(as_of_date()).first()[0] == dt.date.today()
+
+
+def test_sorted_list_equals_collect_list(spark):
+    from tessera.operators.aggregate import sorted_list
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, None), (2, "z")] +
+                               [(3, "x")] * 500, "g int, v string")
+    want = {r.g: r.l for r in df.groupBy("g").agg(F.array_sort(F.collect_list("v")).alias("l")).collect()}
+    got = {r.g: r.l for r in sorted_list(df, "g", "v", "l").collect()}
+    assert got == want
