@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.tables import table
+from tessera.sources.tables import fan_out, table
 
 # Fixed values of the adapters (dirty-row rules and derived constants).
 NULL_EMAIL_EVERY = 97        # c_custkey % 97 = 0 -> email is null
@@ -73,9 +73,9 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``order_id`` is ``l_orderkey * 10 + l_linenumber``; the driver data
     repeats that pair with a different payload, which is the dedup case.
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    li = fan_out(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax")
+        "l_extendedprice", "l_discount", "l_tax"))
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
     cust = F.col("o_custkey")
@@ -97,7 +97,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> quotes schema (text, author, tags, page, scrape time)."""
-    d = table(spark, sf_dir, "documents")
+    d = fan_out(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     return d.select(
         F.col("text").alias("quote_text"),
         F.col("source").alias("author"),

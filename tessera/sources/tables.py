@@ -15,3 +15,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def fan_out(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster when its input is a few large files.
+
+    A parquet file with one row group is read by one task, so all per-row
+    work before the first shuffle (tokenising text, a broadcast join, the
+    map side of an aggregate) would run on one core.  When the input has
+    fewer files than the cluster has cores, rows are redistributed round
+    robin; on inputs of many files (any table at scale) this is a no-op and
+    no shuffle is added.  Only the file listing Spark already holds is used.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= target:
+        return df
+    return df.repartition(target)
