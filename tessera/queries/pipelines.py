@@ -14,7 +14,7 @@ from tessera.session import scratch_path
 from tessera.sinks.files import write_csv
 from tessera.sources import adapters as A
 from tessera.sources.files import read_csv
-from tessera.sources.tables import table as T
+from tessera.sources.tables import fan_out, table as T
 
 
 def _mean_money(x):
@@ -110,7 +110,7 @@ def csv_product_summary(spark, sf):
 def json_purchase_totals(spark, sf):
     """JSON text rows (user, name, purchases array) -> typed columns ->
     explode the array -> total and number per user."""
-    e = T(spark, sf, "events")
+    e = fan_out(T(spark, sf, "events").select("user_id", "props", "value"))
     doc = F.to_json(F.struct(
         F.col("user_id"), F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("name"),
         F.array(F.from_json("props", "k BIGINT").getField("k"),
