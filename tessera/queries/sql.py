@@ -48,3 +48,13 @@ def sql_rank_window(spark, sf):
         SELECT customer, month, CAST(sales_cents AS DOUBLE) / 100 AS sales,
                RANK() OVER (PARTITION BY customer ORDER BY sales_cents DESC) AS sales_rank
         FROM m""", orders=T(spark, sf, "orders"))
+
+
+@register("sql_temp_view", """SELECT c_mktsegment AS department, COUNT(*) AS employees,
+  MAX(c_acctbal) AS max_salary FROM customer WHERE c_acctbal > 0 GROUP BY c_mktsegment""")
+def sql_temp_view(spark, sf):
+    # Register a name for SQL (session-scoped view), then query it by name.
+    T(spark, sf, "customer").createOrReplaceTempView("tessera_employees")
+    return spark.sql("""SELECT c_mktsegment AS department, count(*) AS employees,
+                               max(c_acctbal) AS max_salary
+                        FROM tessera_employees WHERE c_acctbal > 0 GROUP BY c_mktsegment""")

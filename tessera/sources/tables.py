@@ -27,7 +27,14 @@ def fan_out(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     robin; on inputs of many files (any table at scale) this is a no-op and
     no shuffle is added.  Only the file listing Spark already holds is used.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = min_partitions or _parallelism(df.sparkSession)
     if len(df.inputFiles()) >= target:
         return df
     return df.repartition(target)
+
+
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -152,3 +152,15 @@ def test_quotes_dirty_cases(spark):
     assert clean[("\tlead", "C")].word_count == 2      # a leading tab adds a token
     assert len(clean) == 3
     assert sorted(r.tag for r in Q.quote_tags(Q.clean_quotes(raw)).collect()) == ["x", "z"]
+
+
+def test_sql_and_dataframe_forms_agree(spark):
+    df = spark.createDataFrame(EMPLOYEES, ["name", "department", "salary", "age"])
+    via_df = {r.department: (r.n, r.avg_salary, r.max_salary) for r in df.groupBy("department").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("salary").alias("avg_salary"),
+        F.max("salary").alias("max_salary")).collect()}
+    via_sql = {r.department: (r.n, r.avg_salary, r.max_salary) for r in spark.sql(
+        """SELECT department, count(*) AS n, avg(salary) AS avg_salary, max(salary) AS max_salary
+           FROM {t} GROUP BY department ORDER BY avg_salary DESC""", t=df).collect()}
+    assert via_df == via_sql
+    assert via_sql["Engineering"][0] == 3 and via_sql["Engineering"][2] == 9000
