@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions import hash_bucket, hash_unit
 from tessera.operators.clean import dedup_by_key
 from tessera.operators.profile import describe
 from tessera.operators.sample import sample_by_hash, sample_random, split_by_hash

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.plans import retail as R
 from tessera.plans.silver import write_silver
 from tessera.queries import register
 from tessera.queries import sqlbits as S

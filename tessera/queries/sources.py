@@ -9,7 +9,6 @@ from pyspark.sql import types as T_
 
 from tessera import schemas
 from tessera.operators.joins import lookup_join
-from tessera.plans import quotes as Q
 from tessera.queries import register
 from tessera.queries import sqlbits as S
 from tessera.session import scratch_path

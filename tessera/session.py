@@ -49,14 +49,19 @@ def scratch_root(spark: SparkSession) -> str:
     tests) a private temporary folder is created and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tessera-")
-        spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
+    elif sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 

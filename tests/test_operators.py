@@ -1,7 +1,6 @@
 """Operator behaviour: sort order, chunked rank under skew, dedup survivor,
 hash sampling, sinks (JDBC through embedded Derby), generators."""
 
-import os
 
 import pytest
 from pyspark.sql import Window

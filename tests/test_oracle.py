@@ -1,7 +1,6 @@
 """Every registered query with SQL equals DuckDB on the sf0.001 tables
 (the driver repeats this at sf0.01)."""
 
-import collections
 
 import pytest
 
