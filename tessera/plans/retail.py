@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import (avg_money, cents, half_up_div, hash_bucket,
+from tessera.functions import (cents, half_up_div, hash_bucket,
                                int_div, round_ratio, sum_money)
 from tessera.operators.clean import dedup_by_key, quality_report
 from tessera.session import scratch_root
@@ -172,16 +172,25 @@ def top_products(product_metrics_df: DataFrame, k: int = TOP_PRODUCTS) -> DataFr
 def daily_metrics(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Per product x day x category: quantity, revenue, orders, average
     order value and profit (30% of unrounded revenue, then rounded).
-    A null category (product missing from the catalogue) is its own group."""
-    enriched = (orders.select("product_id", "order_date", "quantity", "order_id",
-                              "total_amount")
-                .join(products.select("product_id", "category"), "product_id", "left"))
-    revenue_c = F.sum(cents("total_amount"))
-    return (enriched.groupBy("product_id", "order_date", "category").agg(
+    A null category (product missing from the catalogue) is its own group.
+
+    The category depends on the product alone (one catalogue row per
+    product), so orders are aggregated per (product, day) first -- with
+    map-side partial aggregation -- and only the aggregate is joined with
+    the catalogue: the join sees one row per product-day, not per order.
+    """
+    per_day = (orders.groupBy("product_id", "order_date").agg(
         F.sum("quantity").cast("long").alias("quantity_sold"),
-        (revenue_c / F.lit(100.0)).alias("revenue"),
+        F.sum(cents("total_amount")).alias("_revenue_c"),
         F.count("order_id").alias("num_orders"),
-        avg_money("total_amount").alias("avg_order_value"),
+        F.count("total_amount").alias("_n_amount")))
+    enriched = per_day.join(products.select("product_id", "category"), "product_id", "left")
+    revenue_c = F.col("_revenue_c")
+    avg_c = half_up_div(revenue_c, F.col("_n_amount"))
+    return enriched.select(
+        "product_id", "order_date", "category", "quantity_sold",
+        (revenue_c / F.lit(100.0)).alias("revenue"),
+        "num_orders",
+        F.when(F.col("_n_amount") > 0, avg_c / F.lit(100.0)).alias("avg_order_value"),
         (int_div(revenue_c * (2 * PROFIT_RATE_TENTHS) + 10, F.lit(20)) / F.lit(100.0))
-        .alias("profit"),
-    ))
+        .alias("profit"))
