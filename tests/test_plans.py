@@ -63,3 +63,23 @@ def test_library_never_collects():
             if token in text:
                 bad.append((f.name, token))
     assert bad == []
+
+
+def test_product_metrics_reads_checkpoint_once(spark, registry):
+    # The global max and the rows both read the checkpointed per-product
+    # table: no parquet scan (and no orders aggregate) is left in the plan.
+    p = plan(registry["product_metrics"].fn(spark, SF_CHECK))
+    assert "FileScan" not in p and "Subquery" in p
+
+
+def test_sql_rank_is_chunked(spark, registry):
+    p = plan(registry["sql_rank"].fn(spark, SF_CHECK))
+    assert "_chunk" in p
+    assert not re.search(r"Window \[rank\([^\]]*\]\s*,\s*\[c_mktsegment#\d+\]", p)
+
+
+def test_daily_metrics_aggregates_before_join(spark, registry):
+    p = plan(registry["daily_metrics"].fn(spark, SF_CHECK))
+    join_at = min(i for i in (p.find("BroadcastHashJoin"), p.find("SortMergeJoin")) if i >= 0)
+    # The final aggregate over (product_id, order_date) sits below the join.
+    assert "keys=[product_id" in p[join_at:]
