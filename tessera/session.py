@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -68,3 +69,24 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared scratch folder."""
     return os.path.join(scratch_root(spark), "tessera", f"{name}-{uuid.uuid4().hex}")
+
+
+def scale_conf(input_bytes: int, cores: int, *, input_per_partition: int = 512 << 20,
+               advisory_partition: int = 128 << 20, max_partitions: int = 100_000) -> dict:
+    """Shuffle and scan settings sized to the input.
+
+    * ``spark.sql.shuffle.partitions``: one partition per ~512 MB of input,
+      at least two per core, at most 100k (map outputs x partitions stays
+      manageable); AQE then coalesces small partitions to ~128 MB and splits
+      skewed ones, so this is an upper bound, not a guess to get exactly right.
+    * ``spark.sql.files.maxPartitionBytes``: 128 MB scan splits.
+    For 100 TB on 8,000 cores this gives 100k shuffle partitions (~1 GB of
+    input each before the map-side combine) and ~800k scan tasks.
+    """
+    parts = min(max_partitions, max(2 * cores, math.ceil(input_bytes / input_per_partition)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_partition),
+        "spark.sql.files.maxPartitionBytes": str(advisory_partition),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * advisory_partition),
+    }

@@ -159,3 +159,13 @@ def test_sorted_list_equals_collect_list(spark):
     want = {r.g: r.l for r in df.groupBy("g").agg(F.array_sort(F.collect_list("v")).alias("l")).collect()}
     got = {r.g: r.l for r in sorted_list(df, "g", "v", "l").collect()}
     assert got == want
+
+
+def test_scale_conf():
+    from tessera.session import scale_conf
+    small = scale_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = scale_conf(100 * 10**12, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    mid = scale_conf(1 << 40, 800)            # 1 TiB
+    assert mid["spark.sql.shuffle.partitions"] == "2048"
