@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Above this many cores fan_out does nothing (see its docstring).
+MAX_FAN_OUT = 256
+
+
 def fan_out(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread a scan over the cluster when its input is a few large files.
 
@@ -28,6 +32,10 @@ def fan_out(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     no shuffle is added.  Only the file listing Spark already holds is used.
     """
     target = min_partitions or _parallelism(df.sparkSession)
+    if target > MAX_FAN_OUT:
+        # Large cluster: inputs are many files, and listing millions of file
+        # names through the driver would cost more than it could save.
+        return df
     if len(df.inputFiles()) >= target:
         return df
     return df.repartition(target)
