@@ -7,7 +7,10 @@ import pytest
 from .conftest import SF_SMALL
 
 NAMES = ["clean_orders", "customer_analytics", "product_metrics", "daily_metrics",
-         "quotes_clean", "sales_trend", "sql_rank", "gen_orders", "agg_first_last"]
+         "quotes_clean", "sales_trend", "sql_rank", "gen_orders", "agg_first_last",
+         "word_count_ws", "agg_collect_list", "win_lag_lead", "monthly_summary",
+         "region_sales", "json_purchase_totals", "prf_describe", "smp_split_hash",
+         "gen_customers", "cln_dedup_key", "top_products", "quotes_quote_tags"]
 
 
 def rows(df):
