@@ -36,9 +36,11 @@ def quality_report(entity: str, df: DataFrame, keep: Column, key: str) -> DataFr
     """Rows before, after ``filter(keep)`` + dedup on ``key``, and removed,
     from one aggregate over the input (no separate ``count()`` jobs)."""
     kept_key = F.when(keep, F.col(key))
+    # Null keys form one group in the dedup, so they add one survivor.
+    null_group = F.max(F.when(keep & F.col(key).isNull(), 1).otherwise(0))
     return df.agg(
         F.lit(entity).alias("entity"),
         F.count(F.lit(1)).alias("initial_count"),
         F.count_if(keep).alias("after_filter"),
-        F.count_distinct(kept_key).alias("final_count"),
+        (F.count_distinct(kept_key) + null_group).alias("final_count"),
     ).withColumn("removed", F.col("initial_count") - F.col("final_count"))

@@ -38,18 +38,18 @@ def clean_orders(spark, sf):
 @register("quality_report", S.with_retail("""
 SELECT 'customers' AS entity, COUNT(*) AS initial_count,
        COUNT(*) FILTER (WHERE email IS NOT NULL) AS after_filter,
-       COUNT(DISTINCT CASE WHEN email IS NOT NULL THEN customer_id END) AS final_count,
-       COUNT(*) - COUNT(DISTINCT CASE WHEN email IS NOT NULL THEN customer_id END) AS removed
+       (COUNT(DISTINCT CASE WHEN email IS NOT NULL THEN customer_id END) + MAX(CASE WHEN email IS NOT NULL AND customer_id IS NULL THEN 1 ELSE 0 END)) AS final_count,
+       COUNT(*) - (COUNT(DISTINCT CASE WHEN email IS NOT NULL THEN customer_id END) + MAX(CASE WHEN email IS NOT NULL AND customer_id IS NULL THEN 1 ELSE 0 END)) AS removed
 FROM r_customers
 UNION ALL
 SELECT 'products', COUNT(*), COUNT(*) FILTER (WHERE unit_price > 0),
-       COUNT(DISTINCT CASE WHEN unit_price > 0 THEN product_id END),
-       COUNT(*) - COUNT(DISTINCT CASE WHEN unit_price > 0 THEN product_id END)
+       (COUNT(DISTINCT CASE WHEN unit_price > 0 THEN product_id END) + MAX(CASE WHEN unit_price > 0 AND product_id IS NULL THEN 1 ELSE 0 END)),
+       COUNT(*) - (COUNT(DISTINCT CASE WHEN unit_price > 0 THEN product_id END) + MAX(CASE WHEN unit_price > 0 AND product_id IS NULL THEN 1 ELSE 0 END))
 FROM r_products
 UNION ALL
 SELECT 'orders', COUNT(*), COUNT(*) FILTER (WHERE customer_id IS NOT NULL),
-       COUNT(DISTINCT CASE WHEN customer_id IS NOT NULL THEN order_id END),
-       COUNT(*) - COUNT(DISTINCT CASE WHEN customer_id IS NOT NULL THEN order_id END)
+       (COUNT(DISTINCT CASE WHEN customer_id IS NOT NULL THEN order_id END) + MAX(CASE WHEN customer_id IS NOT NULL AND order_id IS NULL THEN 1 ELSE 0 END)),
+       COUNT(*) - (COUNT(DISTINCT CASE WHEN customer_id IS NOT NULL THEN order_id END) + MAX(CASE WHEN customer_id IS NOT NULL AND order_id IS NULL THEN 1 ELSE 0 END))
 FROM r_orders"""))
 def quality_report(spark, sf):
     return R.quality_reports(A.customers(spark, sf), A.products(spark, sf), A.orders(spark, sf))

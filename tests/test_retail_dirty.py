@@ -86,3 +86,13 @@ def test_top_value_equals_mode(spark):
     tv = {r.g: r.v for r in top_value(df, "g", "v").collect()}
     md = {r.g: r.m for r in df.groupBy("g").agg(F.mode("v", True).alias("m")).collect()}
     assert tv == {1: "b", 2: "x"} and md == {1: "b", 2: "x", 3: None}
+
+
+def test_quality_report_counts_null_key_group(spark):
+    from tessera.operators.clean import dedup_by_key, quality_report
+    df = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c"), (1, "d"), (2, None)],
+                               "k int, v string")
+    keep = F.col("v").isNotNull()
+    r = quality_report("x", df, keep, "k").first()
+    assert r.final_count == dedup_by_key(df.where(keep), ["k"]).count() == 2
+    assert (r.initial_count, r.after_filter, r.removed) == (5, 4, 3)
