@@ -47,42 +47,32 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *
     ``full`` (AQE's skew splitting covers inner / semi / anti / one-sided
     outer joins only).
 
-    1. Hot keys: keys with more than ``hot_rows`` left rows, from a partial
-       aggregate; there are at most rows / ``hot_rows`` of them, so the key
-       list is broadcast with a proven bound.
-    2. Cold keys join as usual.
-    3. Hot keys: left rows get a salt (row hash mod ``buckets``), the
-       matching right rows are replicated once per salt, and the join runs
-       on (key, salt), so a hot key is spread over ``buckets`` tasks.  Right
-       rows of a hot key always have left partners; left rows of a hot key
-       without right rows are added back null-extended for left / full.
+    Hot keys are keys with more than ``hot_rows`` left rows, found by a
+    partial aggregate; there are at most rows / ``hot_rows`` of them, so the
+    key list is broadcast with a proven bound.  Then one join on
+    (key, salt): left rows of hot keys get a salt in [0, buckets) from a row
+    hash, right rows of hot keys are replicated once per salt, everything
+    else has salt 0.  A hot key is thus spread over ``buckets`` tasks; the
+    only extra rows are right replicas that met no left row in their bucket,
+    and those are dropped (a hot key always has left rows).  The left side
+    is read twice (key counts, join), the right side once.
     """
     if how not in ("inner", "left", "right", "full"):
         raise ValueError("how must be inner, left, right or full")
     hot = (left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_rows).select(key))
-    hot_b = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    lmark = left.join(hot_b, key, "left")
-    rmark = right.join(hot_b, key, "left")
-    is_hot, is_cold = F.col("_hot").isNotNull(), F.col("_hot").isNull()
-    l_cold, r_cold = lmark.where(is_cold).drop("_hot"), rmark.where(is_cold).drop("_hot")
-    cold = l_cold.join(r_cold, key, how)
-
-    l_hot = (lmark.where(is_hot).drop("_hot")
-             .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]),
-                                         F.lit(buckets))))
-    r_hot = (rmark.where(is_hot).drop("_hot")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))))
-    matched = l_hot.join(r_hot, [key, "_salt"], "inner").drop("_salt")
-    parts = [cold, matched]
-    if how in ("left", "full"):
-        r_keys = F.broadcast(rmark.where(is_hot).select(key).distinct())  # subset of hot keys
-        lonely = l_hot.drop("_salt").join(r_keys, key, "left_anti")
-        for c in right.columns:
-            if c != key:
-                lonely = lonely.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
-        parts.append(lonely)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+           .where(F.col("_n") > hot_rows).select(key).withColumn("_hot", F.lit(True)))
+    hot_b = F.broadcast(hot)
+    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+    salted_left = (left.join(hot_b, key, "left")
+                   .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets)))
+                               .otherwise(F.lit(0).cast("long")))
+                   .withColumnRenamed("_hot", "_hot_l"))
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))) \
+        .otherwise(F.array(F.lit(0).cast("long")))
+    salted_right = (right.join(hot_b, key, "left")
+                    .withColumn("_salt", F.explode(salts))
+                    .withColumnRenamed("_hot", "_hot_r"))
+    out = salted_left.join(salted_right, [key, "_salt"], how)
+    if how in ("right", "full"):
+        out = out.where(~(F.col("_hot_r").isNotNull() & F.col("_hot_l").isNull()))
+    return out.drop("_salt", "_hot_l", "_hot_r")
