@@ -3,6 +3,12 @@
 Every public operator is a function ``f(df, ...) -> DataFrame`` (or builds one
 from a SparkSession).  Nothing in the library collects data to the driver;
 results are returned as DataFrames and materialised only by the caller.
+
+    from tessera import get_spark
+    from tessera.plans import retail
+    from tessera.sources import adapters
 """
 
-__all__ = ["session"]
+from tessera.session import get_spark, scale_conf, scratch_root
+
+__all__ = ["get_spark", "scale_conf", "scratch_root"]
