@@ -33,7 +33,8 @@ def rank_within(df: DataFrame, group: str, value: str, *, descending: bool = Tru
                 chunks: int | None = None) -> DataFrame:
     """Add ``name`` = rank / row_number / dense_rank of ``value`` within
     ``group``, equal to the window function of the same name, without any
-    group landing whole in one task.  ``value`` must not be null;
+    group landing whole in one task.  Nulls are placed as by the window
+    (last when descending, first when ascending) and tie with each other;
     ``row_number`` orders ties by ``tiebreak`` (then by a row hash)."""
     if method not in _METHODS:
         raise ValueError(f"method must be one of {sorted(_METHODS)}")
@@ -48,33 +49,39 @@ def rank_within(df: DataFrame, group: str, value: str, *, descending: bool = Tru
     ranged = keyed.repartitionByRange(chunks, *keys) if chunks else keyed.repartitionByRange(*keys)
     chunked = ranged.withColumn("_chunk", F.spark_partition_id()).checkpoint(eager=True)
 
-    # Local ranks per (group, chunk), and rows per value inside the chunk.
+    # Local ranks per (group, chunk); the chunk's first and last values in
+    # window order (nulls placed as by the window: last when descending,
+    # first when ascending) and the rows equal to its last value.
     local_order = [v] if method != "row_number" else [v, *ties, F.col("_spread")]
+    part = Window.partitionBy(group, "_chunk")
+    ordered = part.orderBy(*local_order)
+    whole = ordered.rowsBetween(unb, Window.unboundedFollowing)
     local = (chunked
-             .withColumn("_local", _METHODS[method]().over(
-                 Window.partitionBy(group, "_chunk").orderBy(*local_order)))
-             .withColumn("_n_value", F.count(F.lit(1)).over(
-                 Window.partitionBy(group, "_chunk", value))))
+             .withColumn("_local", _METHODS[method]().over(ordered))
+             .withColumn("_first_v", F.first(val).over(whole))
+             .withColumn("_last_v", F.last(val).over(whole)))
+    local = local.withColumn("_is_last", val.eqNullSafe(F.col("_last_v")).cast("int"))
 
-    first_of, last_of = (F.max, F.min) if descending else (F.min, F.max)
-    count_at_last = F.min_by if descending else F.max_by
     stats = local.groupBy(group, "_chunk").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.count_distinct(value).alias("_d"),
-        first_of(value).alias("_first"),
-        last_of(value).alias("_last"),
-        count_at_last("_n_value", val).alias("_n_last"))
+        (F.count_distinct(value) + F.max(val.isNull().cast("int"))).alias("_d"),
+        F.max("_first_v").alias("_first"),
+        F.max("_last_v").alias("_last"),
+        F.sum("_is_last").alias("_n_last"))
 
     by_chunk = Window.partitionBy(group).orderBy("_chunk")
     before = by_chunk.rowsBetween(unb, -1)
+    has_prev = F.lag("_chunk").over(by_chunk).isNotNull()
     stats = (stats
+             .withColumn("_has_prev", has_prev)
              .withColumn("_prev_last", F.lag("_last").over(by_chunk))
              # 1 when this chunk starts with the value the previous one ends on
-             .withColumn("_cont", F.coalesce((F.col("_prev_last") == F.col("_first"))
-                                             .cast("int"), F.lit(0)))
+             .withColumn("_cont", F.when(F.col("_has_prev")
+                                         & F.col("_prev_last").eqNullSafe(F.col("_first")), 1)
+                         .otherwise(0))
              # runs of consecutive chunks ending on the same value
-             .withColumn("_new_run", F.when(F.col("_prev_last").isNull()
-                                            | (F.col("_prev_last") != F.col("_last")), 1)
+             .withColumn("_new_run", F.when(~F.col("_has_prev")
+                                            | ~F.col("_prev_last").eqNullSafe(F.col("_last")), 1)
                          .otherwise(0))
              .withColumn("_run", F.sum("_new_run").over(by_chunk.rowsBetween(unb, 0))))
     stats = stats.withColumn("_tail_rows", F.sum("_n_last").over(
@@ -90,7 +97,8 @@ def rank_within(df: DataFrame, group: str, value: str, *, descending: bool = Tru
     out = local.join(offsets, [group, "_chunk"])
     if method == "rank":
         rank = (F.col("_local") + F.col("_rows_before")
-                - F.when(val == F.col("_first"), F.col("_ties_before")).otherwise(F.lit(0)))
+                - F.when(val.eqNullSafe(F.col("_first")), F.col("_ties_before"))
+                .otherwise(F.lit(0)))
     elif method == "row_number":
         rank = F.col("_local") + F.col("_rows_before")
     else:

@@ -184,3 +184,23 @@ def test_skew_join_equals_join(spark, how):
     got_df = skew_join(left, right, "k", how, hot_rows=100, buckets=8)
     got = sorted(map(tuple, got_df.select("k", "lv", "rv").collect()), key=str)
     assert got == want
+
+
+@pytest.mark.parametrize("method", ["rank", "dense_rank", "row_number"])
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_within_nulls(spark, method, descending):
+    # A third of the rows have a null value; nulls tie and may span chunks.
+    df = spark.range(3000).select(
+        (F.col("id") % 2).alias("g"),
+        F.when(F.col("id") % 3 == 0, F.lit(None).cast("long")).otherwise(F.col("id") % 37).alias("v"),
+        F.col("id"))
+    fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[method]
+    o = F.desc("v") if descending else F.asc("v")
+    w = Window.partitionBy("g").orderBy(o, F.asc("id")) if method == "row_number" else \
+        Window.partitionBy("g").orderBy(o)
+    want = {r.id: r.r for r in df.select("id", fn().over(w).alias("r")).collect()}
+    got = {r.id: r.r for r in rank_within(df, "g", "v", method=method, name="r", chunks=20,
+                                          descending=descending,
+                                          tiebreak="id" if method == "row_number" else None
+                                          ).collect()}
+    assert got == want
