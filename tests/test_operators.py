@@ -204,3 +204,13 @@ def test_rank_within_nulls(spark, method, descending):
                                           tiebreak="id" if method == "row_number" else None
                                           ).collect()}
     assert got == want
+
+
+def test_with_scalar_feeds_aggregate_back(spark):
+    from tessera.operators.aggregate import with_scalar
+    df = spark.range(1, 6).withColumnRenamed("id", "x")
+    out = with_scalar(df, "mx", F.max("x")).withColumn("share", F.col("x") / F.col("mx"))
+    rows = sorted((r.x, r.mx, r.share) for r in out.collect())
+    assert rows[-1] == (5, 5, 1.0) and rows[0] == (1, 5, 0.2)
+    other = spark.range(3).withColumnRenamed("id", "y")
+    assert with_scalar(df, "n", F.count(F.lit(1)), source=other).first().n == 3
