@@ -10,7 +10,8 @@ NAMES = ["clean_orders", "customer_analytics", "product_metrics", "daily_metrics
          "quotes_clean", "sales_trend", "sql_rank", "gen_orders", "agg_first_last",
          "word_count_ws", "agg_collect_list", "win_lag_lead", "monthly_summary",
          "region_sales", "json_purchase_totals", "prf_describe", "smp_split_hash",
-         "gen_customers", "cln_dedup_key", "top_products", "quotes_quote_tags"]
+         "gen_customers", "cln_dedup_key", "top_products", "quotes_quote_tags",
+         "join_full", "quality_report", "sql_rank_window", "agg_pivot_auto"]
 
 
 def rows(df):
