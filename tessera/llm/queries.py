@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import decontamination, exact_dedup, language_id
 from .common import documents
 
 
@@ -14,8 +14,23 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_documents(documents(spark, sf_dir))
+
+
+def op9_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_pages(documents(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op8_decontamination": op8_decontamination,
+    "op9_language_id": op9_language_id,
+    "op9_language_id_pages": op9_language_id_pages,
 }
 
 ORACLE: dict[str, str] = {"op2_exact_dedup": exact_dedup.SQL}
