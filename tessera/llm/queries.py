@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, language_id
+from . import decontamination, exact_dedup, jaccard_join, language_id, sentencepiece_fst
 from .common import documents
 
 
@@ -14,6 +14,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(documents(spark, sf_dir))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_fst.encode_documents(documents(spark, sf_dir))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -28,6 +36,8 @@ def op9_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_jaccard_join": op3_jaccard_join,
+    "op4_sentencepiece": op4_sentencepiece,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op9_language_id_pages": op9_language_id_pages,
