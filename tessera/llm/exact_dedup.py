@@ -190,6 +190,16 @@ def exact_dedup(df: DataFrame, text: str = "text") -> DataFrame:
         (first & (F.col("_i") == 1)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of equal texts, that of the largest
+    doc_id; columns unchanged."""
+    kept = exact_dedup(docs, text).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    kept = stored(kept, "dedup-kept")
+    own = docs.withColumn("_digest", F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+    hit = own["doc_id"].eqNullSafe(kept["_id"]) & (own["_digest"] == kept["_sha"])
+    return own.join(kept, hit, "left_semi").dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+
+
 SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,

@@ -116,7 +116,7 @@ def _children(runs: int):
             path = batch.column("path").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             keys = batch.column("set_key")
             for j in range(BRANCHES * runs):
-                at = (mix(path + np.uint64(j + 1) * np.uint64(0xD1342543DE82EF95)) % np.uint64(TOKENS)).astype(np.int64)
+                at = (mix(path + np.uint64((j + 1) * 0xD1342543DE82EF95 % 2**64)) % np.uint64(TOKENS)).astype(np.int64)
                 value = tokens[np.arange(len(path)), at].astype(np.uint64)
                 child = mix(mix(path * np.uint64(0x9E3779B97F4A7C15) + np.uint64(j)) + (value << np.uint64(8)) + at.astype(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), keys], names=["path", "set_key"])
@@ -329,7 +329,8 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """One row per document: doc_id, class_id (largest doc_id of its connected
     group of near duplicates), links (other shingle sets of similarity >=
     SIMILARITY), class_size (documents), set_id (largest doc_id among the
-    documents with the same shingle set)."""
+    documents with the same shingle set), text_hash, stays (whether it is the
+    document that stands for its group)."""
     rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     embedded = stored(rows.mapInArrow(
         _embed_rows, "doc_id long, text_hash long, set_key binary, size long, tokens binary, brief binary"), "embedded")
@@ -350,18 +351,22 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     classes = components(edges)
     links = count_links(classes, items)
     found = stored(classes.join(links, "set_key"), "classes")
-    per_set = embedded.groupBy("set_key").agg(F.max("doc_id").alias("set_id"), F.count("*").alias("copies"))
-    known = per_set.join(found, "set_key", "left").select(
-        "set_key", "set_id", "copies", F.coalesce("class_key", "set_key").alias("class_key"),
-        F.coalesce("links", F.lit(0).cast("long")).alias("links"))
-    known = stored(known, "set-classes")
-    whole = known.groupBy("class_key").agg(F.max("set_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    return (embedded.select("doc_id", "set_key").join(known.join(whole, "class_key"), "set_key")
-            .select("doc_id", "class_id", "links", "class_size", "set_id"))
+    per_set = embedded.groupBy("set_key").agg(F.max(F.struct("doc_id", "text_hash")).alias("first"),
+                                              F.count("*").alias("copies"))
+    known = stored(per_set.join(found, "set_key", "left").select(
+        "set_key", "first", "copies", F.coalesce("class_key", "set_key").alias("class_key"),
+        F.coalesce("links", F.lit(0).cast("long")).alias("links")), "set-classes")
+    whole = known.groupBy("class_key").agg(F.max("first").alias("winner"), F.sum("copies").alias("class_size"))
+    return (embedded.select("doc_id", "text_hash", "set_key").join(known.join(whole, "class_key"), "set_key")
+            .select("doc_id", F.col("winner.doc_id").alias("class_id"), "links", "class_size",
+                    F.col("first.doc_id").alias("set_id"), "text_hash",
+                    F.struct("doc_id", "text_hash").eqNullSafe(F.col("winner")).alias("stays")))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with only the largest doc_id of each near-duplicate group."""
-    stay = jaccard_join(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id")
-    stay = stored(stay.distinct(), "jaccard-kept").withColumnRenamed("doc_id", "_kept")
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """``docs`` with one row of each near-duplicate group, that of the largest
+    doc_id; columns unchanged."""
+    stay = stored(jaccard_join(docs).filter("stays").select("doc_id", "text_hash").distinct(), "jaccard-kept")
+    own = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    hit = own["doc_id"].eqNullSafe(stay["doc_id"]) & (own["_text_hash"] == stay["text_hash"])
+    return own.join(stay, hit, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")

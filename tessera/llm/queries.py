@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, jaccard_join, language_id, sentencepiece_fst
+from . import (chat_rotation, decontamination, exact_dedup, host_reputation, jaccard_join, language_id,
+               sentencepiece_fst)
 from .common import documents
 
 
+def op1_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_rotation.rotate(documents(spark, sf_dir, "conversations"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -22,6 +27,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_fst.encode_documents(documents(spark, sf_dir))
 
 
+def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_reputation.judge_pages(documents(spark, sf_dir, "pages"), documents(spark, sf_dir, "labels"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -35,12 +44,14 @@ def op9_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_rotation": op1_chat_rotation,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_sentencepiece": op4_sentencepiece,
+    "op7_host_reputation": op7_host_reputation,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op9_language_id_pages": op9_language_id_pages,
 }
 
-ORACLE: dict[str, str] = {"op2_exact_dedup": exact_dedup.SQL}
+ORACLE: dict[str, str] = {"op2_exact_dedup": exact_dedup.SQL, "op7_host_reputation": host_reputation.SQL}
