@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -31,6 +32,15 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bounded_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """At most ``n`` rows of ``df``, chosen by a hash of ``keys``.  The hash
+    leaves about 2 n rows before they are put in order, so that the last step
+    stays small however many tasks there are."""
+    share = min(1.0, 2.0 * n / max(1, df.count()))
+    draw = F.pmod(F.xxhash64(*keys, F.lit(17)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    return df.filter(draw < share).orderBy(draw, *keys).limit(n)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that a slice holds a bounded amount of text (a
     single longer text is a slice of its own)."""

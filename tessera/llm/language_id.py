@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import bounded_sample, slices, stored
 
 LANGUAGES = ("de", "en", "es", "fr")
 SAMPLE_DOCS = 500          # documents per declared language that the text model is fitted on
@@ -97,14 +97,13 @@ def fit_text_model(rows: DataFrame) -> np.ndarray:
 
 
 def sample_rows(df: DataFrame) -> DataFrame:
-    """At most SAMPLE_DOCS rows with a declared language each, those with the
-    smallest hash of text."""
+    """At most SAMPLE_DOCS rows with a declared language each."""
     out = None
     for lang in LANGUAGES:
-        part = (df.filter(F.col("declared") == lang).select("text", "declared")
-                .orderBy(F.xxhash64("text")).limit(SAMPLE_DOCS))
+        own = df.filter(F.col("declared") == lang).select("text", "declared", "row_key")
+        part = bounded_sample(own, SAMPLE_DOCS, "row_key")
         out = part if out is None else out.unionAll(part)
-    return out
+    return out.select("text", "declared")
 
 
 def _scorer(model: np.ndarray):
@@ -188,8 +187,8 @@ def confusion(evidence: DataFrame) -> DataFrame:
 
 
 def identify(df: DataFrame) -> DataFrame:
-    """Fuse the evidence of rows with columns text, declared, host, address
-    (others are carried along): adds language, posterior, text_language and
+    """Fuse the evidence of rows with columns row_key (long, to draw the
+    sample by), text, declared, host, address (others are carried along): adds language, posterior, text_language and
     accepted; text is dropped."""
     model = fit_text_model(sample_rows(df))
     carried = [f for f in df.schema.fields if f.name != "text"]
@@ -223,8 +222,8 @@ def identify_documents(docs: DataFrame) -> DataFrame:
     text_language, accepted, and the key (doc_id, text_hash) of its row."""
     rows = docs.select("doc_id", "text", F.col("lang").alias("declared"), F.col("source").alias("host"),
                        F.lit(None).cast("string").alias("address"),
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    return identify(rows).drop("address")
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.xxhash64("doc_id", "text").alias("row_key"))
+    return identify(rows).drop("address", "row_key")
 
 
 def identify_pages(pages: DataFrame) -> DataFrame:
@@ -235,8 +234,9 @@ def identify_pages(pages: DataFrame) -> DataFrame:
                                r"<[^>]*>", " ")
     declared = F.lower(F.regexp_extract(html, r"(?i)<html[^>]*\blang\s*=\s*[\"']?([A-Za-z]{2})", 1))
     rows = pages.select("page_id", visible.alias("text"), declared.alias("declared"),
-                        host_of(F.col("url")).alias("host"), address_language(F.col("url")).alias("address"))
-    return identify(rows)
+                        host_of(F.col("url")).alias("host"), address_language(F.col("url")).alias("address"),
+                        F.xxhash64("page_id", "html").alias("row_key"))
+    return identify(rows).drop("row_key")
 
 
 def accepted_documents(docs: DataFrame) -> DataFrame:

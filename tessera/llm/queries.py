@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_rotation, decontamination, exact_dedup, host_reputation, jaccard_join, language_id,
-               sentencepiece_fst)
+from . import (chat_rotation, decontamination, exact_dedup, host_reputation, html_extraction, jaccard_join,
+               language_id, secret_scan, sentencepiece_fst)
 from .common import documents
 
 
@@ -27,6 +27,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_fst.encode_documents(documents(spark, sf_dir))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge_pages(documents(spark, sf_dir, "pages"), documents(spark, sf_dir, "labels"))
 
@@ -43,15 +47,21 @@ def op9_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_pages(documents(spark, sf_dir, "pages"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(documents(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_rotation": op1_chat_rotation,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_secret_scan": op5_secret_scan,
     "op7_host_reputation": op7_host_reputation,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op9_language_id_pages": op9_language_id_pages,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE: dict[str, str] = {"op2_exact_dedup": exact_dedup.SQL, "op7_host_reputation": host_reputation.SQL}
