@@ -57,13 +57,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
         yield batch.slice(start)
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def split_words(texts: pa.Array, split=pc.utf8_split_whitespace) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """White-space separated words of every text: (distinct words, code of each
     word, offsets of the texts).  Null is the empty text."""
     texts = pc.fill_null(texts, "")
     if texts.type == pa.string():
         texts = texts.cast(pa.large_string())
-    lists = pc.utf8_split_whitespace(texts)
+    lists = split(texts)
     offsets = lists.offsets.to_numpy().astype(np.int64)
     encoded = lists.values.dictionary_encode()
     codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)

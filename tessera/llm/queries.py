@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_rotation, decontamination, exact_dedup, host_reputation, html_extraction, jaccard_join,
+from . import (chat_rotation, decontamination, exact_dedup, host_reputation, html_extraction, jaccard_join, katz_lm,
                language_id, secret_scan, sentencepiece_fst)
 from .common import documents
 
@@ -31,6 +31,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
 
 
+def op6_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_lm.score_documents(documents(spark, sf_dir))
+
+
 def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge_pages(documents(spark, sf_dir, "pages"), documents(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_secret_scan": op5_secret_scan,
+    "op6_katz_lm": op6_katz_lm,
     "op7_host_reputation": op7_host_reputation,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
