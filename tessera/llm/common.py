@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -32,6 +32,28 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_hash(text: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``docs`` semi- or anti-joined with ``keys`` (doc_id, text_hash), null
+    ids matching each other; a semi join keeps one of repeated rows.  Columns
+    are unchanged, whatever their names."""
+    taken = {c.lower() for c in docs.columns}
+    names = []
+    for name in ("_text_hash", "_key_id", "_key_hash"):
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        names.append(name)
+    own, kid, khash = names
+    keys = keys.select(F.col("doc_id").alias(kid), F.col("text_hash").alias(khash))
+    rows = docs.withColumn(own, text_hash())
+    out = rows.join(keys, F.col("doc_id").eqNullSafe(F.col(kid)) & (F.col(own) == F.col(khash)), how)
+    return (out.dropDuplicates(["doc_id", own]) if how == "left_semi" else out).drop(own)
+
+
 def bounded_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
     """At most ``n`` rows of ``df``, chosen by a hash of ``keys``.  The hash
     leaves about 2 n rows before they are put in order, so that the last step

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHINGLE, SIMILARITY, gram_hashes, hash_words, slices, split_words, stored
+from .common import SHINGLE, SIMILARITY, gram_hashes, hash_words, keep_rows, slices, split_words, stored, text_hash
 
 MIN_TILE = SHINGLE
 COVERAGE = SIMILARITY
@@ -187,7 +187,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: doc_id, text_hash, coverage (largest over the
     items), item_id and tiles of that item, items (all that reach COVERAGE),
     contaminated."""
-    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    rows = docs.select("doc_id", text_hash().alias("text_hash"), "text")
     parts = [rows.mapInArrow(_tiler(*block), RESULT) for block in blocks(benchmark)]
     if not parts:
         parts = [rows.mapInArrow(_tiler([], np.zeros(0, np.uint64), np.zeros(1, np.int64)), RESULT)]
@@ -208,6 +208,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows; columns unchanged."""
     bad = stored(contamination(docs, benchmark).filter("contaminated").select("doc_id", "text_hash"), "contaminated")
-    own = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    hit = own["doc_id"].eqNullSafe(bad["doc_id"]) & (own["_text_hash"] == bad["text_hash"])
-    return own.join(bad, hit, "left_anti").drop("_text_hash")
+    return keep_rows(docs, bad.distinct(), "left_anti")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, stored
+from .common import keep_rows, mix, stored, text_hash
 
 SHARD_KEYS = 50_000   # expected digests in a shard
 GAMMA = 1.5           # bits per key in a level
@@ -190,14 +190,14 @@ def exact_dedup(df: DataFrame, text: str = "text") -> DataFrame:
         (first & (F.col("_i") == 1)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, that of the largest
     doc_id; columns unchanged."""
-    kept = exact_dedup(docs, text).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    kept = stored(kept, "dedup-kept")
-    own = docs.withColumn("_digest", F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
-    hit = own["doc_id"].eqNullSafe(kept["_id"]) & (own["_digest"] == kept["_sha"])
-    return own.join(kept, hit, "left_semi").dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    hashed = docs.select("doc_id", "text", text_hash().alias("text_hash"))
+    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("_id"), "text_sha256")
+    own = hashed.select("doc_id", "text_hash", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha"))
+    stay = own.join(kept, own["doc_id"].eqNullSafe(kept["_id"]) & (own["sha"] == kept["text_sha256"]), "left_semi")
+    return keep_rows(docs, stored(stay.select("doc_id", "text_hash").distinct(), "dedup-kept"), "left_semi")
 
 
 SQL = """

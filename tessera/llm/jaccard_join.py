@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SIMILARITY, hash_words, mix, shingles, slices, split_words, stored
+from .common import SIMILARITY, hash_words, keep_rows, mix, shingles, slices, split_words, stored, text_hash
 
 TOKENS = 64
 BRANCHES = 2
@@ -331,7 +331,7 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     SIMILARITY), class_size (documents), set_id (largest doc_id among the
     documents with the same shingle set), text_hash, stays (whether it is the
     document that stands for its group)."""
-    rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    rows = docs.select("doc_id", "text", text_hash().alias("text_hash"))
     embedded = stored(rows.mapInArrow(
         _embed_rows, "doc_id long, text_hash long, set_key binary, size long, tokens binary, brief binary"), "embedded")
     sets = stored(embedded.filter("size > 0").groupBy("set_key").agg(
@@ -367,6 +367,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each near-duplicate group, that of the largest
     doc_id; columns unchanged."""
     stay = stored(jaccard_join(docs).filter("stays").select("doc_id", "text_hash").distinct(), "jaccard-kept")
-    own = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    hit = own["doc_id"].eqNullSafe(stay["doc_id"]) & (own["_text_hash"] == stay["text_hash"])
-    return own.join(stay, hit, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    return keep_rows(docs, stay, "left_semi")

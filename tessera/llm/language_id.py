@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, slices, stored
+from .common import bounded_sample, keep_rows, slices, stored, text_hash
 
 LANGUAGES = ("de", "en", "es", "fr")
 SAMPLE_DOCS = 500          # documents per declared language that the text model is fitted on
@@ -222,7 +222,7 @@ def identify_documents(docs: DataFrame) -> DataFrame:
     text_language, accepted, and the key (doc_id, text_hash) of its row."""
     rows = docs.select("doc_id", "text", F.col("lang").alias("declared"), F.col("source").alias("host"),
                        F.lit(None).cast("string").alias("address"),
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.xxhash64("doc_id", "text").alias("row_key"))
+                       text_hash().alias("text_hash"), F.xxhash64("doc_id", "text").alias("row_key"))
     return identify(rows).drop("address", "row_key")
 
 
@@ -243,6 +243,4 @@ def accepted_documents(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that language ID rejects; columns unchanged."""
     rejected = stored(identify_documents(docs).filter(~F.col("accepted")).select("doc_id", "text_hash"),
                       "langid-rejected")
-    own = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    hit = own["doc_id"].eqNullSafe(rejected["doc_id"]) & (own["_text_hash"] == rejected["text_hash"])
-    return own.join(rejected, hit, "left_anti").drop("_text_hash")
+    return keep_rows(docs, rejected, "left_anti")
