@@ -38,7 +38,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = get_spark(f"local[{cpus}]", int(cpus) * 2,
-                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                             # each table is one file of one row group here
+                             "spark.tessera.spread": cpus})
     registry = load_all()
     times = {}
     for name in names:

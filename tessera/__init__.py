@@ -9,6 +9,6 @@ results are returned as DataFrames and materialised only by the caller.
     from tessera.sources import adapters
 """
 
-from tessera.session import get_spark, scale_conf, scratch_root
+from tessera.session import clear_scratch, get_spark, scratch_root
 
-__all__ = ["get_spark", "scale_conf", "scratch_root"]
+__all__ = ["clear_scratch", "get_spark", "scratch_root"]

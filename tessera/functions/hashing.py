@@ -1,9 +1,10 @@
 """Reproducible pseudo-randomness from keys.
 
 ``rand()`` changes on every run and on every task retry.  These helpers
-derive a value from the row's key by integer arithmetic instead, so a
-recomputed partition gives the same rows and an SQL engine can reproduce
-them.
+derive a value from the row's key and a salt instead, so a recomputed
+partition gives the same rows and an SQL engine can reproduce them.  The value
+is the first 60 bits of the MD5 of "key:salt": it has no period in the key,
+and two salts are independent.
 """
 
 from __future__ import annotations
@@ -11,48 +12,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the hash: a prime multiplier coprime with the modulus, so
-# ``key -> bucket`` is a permutation of the residues.
-HASH_MULTIPLIER = 7919
-HASH_MODULUS = 10000
+HASH_DIGITS = 15                     # hexadecimal digits of the digest that are used
+HASH_RANGE = 16 ** HASH_DIGITS       # 2^60
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def hash_bucket(key, salt: int = 0) -> Column:
-    """Integer in [0, 10000) determined by an integer key and a salt."""
-    k = F.pmod(_c(key).cast("long"), F.lit(HASH_MODULUS))
-    return F.pmod(k * HASH_MULTIPLIER + F.lit(salt), F.lit(HASH_MODULUS))
+def draw(key, salt: int = 0) -> Column:
+    """Integer in [0, 2^60) determined by a key and a salt; null for null."""
+    text = F.concat(_c(key).cast("string"), F.lit(f":{salt}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_DIGITS), 16, 10).cast("long")
 
 
-def hash_unit(key, salt: int = 0) -> Column:
-    """Uniform-looking double in [0, 1) from a key (replaces ``rand()``)."""
-    return hash_bucket(key, salt) / F.lit(float(HASH_MODULUS))
-
-
-# Fixed values of the wide draws: the Mersenne prime 2^31 - 1 and the
-# multiplier 48271; stream s uses 48271^(1000 + 7919 s) mod (2^31 - 1), a
-# large multiplier, so even small keys wrap around the modulus.
-DRAW_MODULUS = 2147483647
-DRAW_BASE = 48271
-DRAW_STREAMS = 16
-DRAW_MULTIPLIERS = tuple(pow(DRAW_BASE, 1000 + 7919 * s, DRAW_MODULUS) for s in range(DRAW_STREAMS))
+def draw_below(key, salt: int, n) -> Column:
+    """Integer in [0, n) (n a literal or Column)."""
+    n_col = n if isinstance(n, Column) else F.lit(n)
+    return F.pmod(draw(key, salt), n_col.cast("long"))
 
 
-def draw(key, stream: int) -> Column:
-    """Integer in [0, 2^31 - 1) from an integer key, independent-looking per
-    ``stream``: two multiplicative-congruential rounds on exact 64-bit
-    integers, so SQL engines reproduce it."""
-    m = F.lit(DRAW_MODULUS)
-    a = DRAW_MULTIPLIERS[stream]
-    x = F.pmod(_c(key).cast("long"), m) + F.lit(stream + 1)
-    x = F.pmod(x * a, m)
-    return F.pmod(x * a, m)
+def hash_unit(key, salt: int = 0) -> Column:
+    """Uniform-looking double in [0, 1) from a key (replaces ``rand()``)."""
+    return draw(key, salt) / F.lit(float(HASH_RANGE))
 
 
-def draw_below(key, stream: int, n) -> Column:
-    """Integer in [0, n) (n a literal or Column), uniform over the draw."""
-    n_col = n if isinstance(n, Column) else F.lit(n)
-    return F.call_function("div", draw(key, stream) * n_col.cast("long"), F.lit(DRAW_MODULUS))
+def threshold(fraction: float) -> int:
+    """Values of :func:`draw` below this are ``fraction`` of all."""
+    return int(fraction * HASH_RANGE)

@@ -4,7 +4,7 @@ Money arrives as doubles with two decimals.  Summing doubles is
 order-dependent in the last bits and ``round(double, 2)`` rounds the binary
 value, so results would change with partitioning.  These helpers move money
 to integer cents (exact), do the arithmetic on longs and convert back to a
-double once, at the end.  Every rounding is half-up, which is what
+double once, at the end.  Every rounding takes halves away from zero, which is what
 ``F.round`` does on the decimal text of a value.
 """
 
@@ -39,23 +39,23 @@ def sum_money(x) -> Column:
 
 
 def half_up_div(num, den) -> Column:
-    """round(num / den) half-up, as a long; num >= 0 and den > 0."""
+    """round(num / den), halves away from zero, as a long; den > 0."""
     n = _c(num).cast("long")
     d = _c(den).cast("long")
-    return int_div(n * 2 + d, d * 2)
+    return int_div(n * 2 + F.signum(n).cast("long") * d, d * 2)
 
 
 def round_ratio(num, den, digits: int = 2, scale: int = 1) -> Column:
     """``round(scale * num / den, digits)`` computed exactly on integers.
 
-    ``num`` and ``den`` are non-negative integer columns with ``den`` > 0.
+    ``num`` and ``den`` are integer columns with ``den`` > 0.
     """
     p = 10 ** digits
     return half_up_div(_c(num).cast("long") * (scale * p), den) / F.lit(float(p))
 
 
 def avg_money(x) -> Column:
-    """``round(avg(x), 2)`` of non-negative money, exact on cents.
+    """``round(avg(x), 2)`` of money, exact on cents.
 
     Null when the group has no non-null value, like ``avg``.
     """

@@ -1,11 +1,10 @@
-"""Aggregation helpers: argmax with tie-break, dict-form aggregates, pivots,
-scalar aggregates fed back into rows."""
+"""Aggregation helpers: dict-form aggregates, pivots, sorted lists."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _FUNCS = {
@@ -26,35 +25,6 @@ def agg_dict(df: DataFrame, group: Sequence[str], spec: Mapping[str, str],
     return df.groupBy(*group).agg(*exprs)
 
 
-def top_value(df: DataFrame, group: Sequence[str] | str, value: str,
-              alias: str | None = None) -> DataFrame:
-    """Most frequent non-null ``value`` per group; ties go to the smallest
-    value.  One row per group.
-
-    Two aggregates, both with map-side partial aggregation: counts per
-    (group, value), then the best count per group.  No group is ever
-    materialised in one task.
-    """
-    group = [group] if isinstance(group, str) else list(group)
-    counts = (df.where(F.col(value).isNotNull())
-              .groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n")))
-    best = F.min(F.struct((-F.col("_n")).alias("neg_n"), F.col(value).alias("v")))
-    return (counts.groupBy(*group).agg(best.alias("_best"))
-            .select(*group, F.col("_best.v").alias(alias or value)))
-
-
-def with_scalar(df: DataFrame, name: str, scalar_agg: Column,
-                source: DataFrame | None = None) -> DataFrame:
-    """Add a column holding one aggregate over ``source`` (default ``df``).
-
-    Uses a scalar subquery (``DataFrame.scalar``): the value is computed by
-    Spark in the same query, without a driver round trip, and is a single
-    value whatever the data size.
-    """
-    src = df if source is None else source
-    return df.withColumn(name, src.select(scalar_agg).scalar())
-
-
 def pivot_count(df: DataFrame, group: Sequence[str] | str, pivot_col: str,
                 values: Sequence | None = None) -> DataFrame:
     """Rows per (group, pivot value) as columns.  With ``values`` absent

@@ -37,7 +37,7 @@ def quality_report(entity: str, df: DataFrame, keep: Column, key: str) -> DataFr
     from one aggregate over the input (no separate ``count()`` jobs)."""
     kept_key = F.when(keep, F.col(key))
     # Null keys form one group in the dedup, so they add one survivor.
-    null_group = F.max(F.when(keep & F.col(key).isNull(), 1).otherwise(0))
+    null_group = F.coalesce(F.max(F.when(keep & F.col(key).isNull(), 1).otherwise(0)), F.lit(0))
     return df.agg(
         F.lit(entity).alias("entity"),
         F.count(F.lit(1)).alias("initial_count"),

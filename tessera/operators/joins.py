@@ -14,9 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we accept as a "bounded" dimension for a broadcast hint.
-MAX_BOUNDED_ROWS = 1_000_000
-
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
                 how: str = "left", columns: Sequence[str] | None = None,
@@ -24,55 +21,64 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
     """Fact-to-dimension lookup keeping every fact row (``how='left'``);
     unmatched facts get null attributes.
 
-    ``columns`` prunes the dimension before the join.  ``bounded_rows`` is
-    the caller's proof that the dimension cannot grow with the data; only
-    then is it broadcast by hint.  Otherwise AQE decides from runtime sizes
-    and splits skewed keys of a sort-merge join.
+    ``columns`` prunes the dimension before the join.  With ``bounded_rows``
+    the dimension is broadcast by hint if it really has no more rows (at most
+    ``bounded_rows`` + 1 rows are counted).  Otherwise AQE decides from
+    runtime sizes and splits skewed keys of a sort-merge join.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if columns is not None:
         dim = dim.select(*keys, *[c for c in columns if c not in keys])
-    if bounded_rows is not None and bounded_rows <= MAX_BOUNDED_ROWS:
+    if bounded_rows is not None and dim.limit(bounded_rows + 1).count() <= bounded_rows:
         dim = F.broadcast(dim)
     return fact.join(dim, keys, how)
 
 
 DEFAULT_HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *,
-              hot_rows: int = DEFAULT_HOT_ROWS, buckets: int = 32) -> DataFrame:
+              hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Equi-join on ``key`` (one output key column, like ``join(on=key)``)
     that splits hot keys of the left side, for every join type including
     ``full`` (AQE's skew splitting covers inner / semi / anti / one-sided
     outer joins only).
 
-    Hot keys are keys with more than ``hot_rows`` left rows, found by a
-    partial aggregate; there are at most rows / ``hot_rows`` of them, so the
-    key list is broadcast with a proven bound.  Then one join on
-    (key, salt): left rows of hot keys get a salt in [0, buckets) from a row
-    hash, right rows of hot keys are replicated once per salt, everything
-    else has salt 0.  A hot key is thus spread over ``buckets`` tasks; the
-    only extra rows are right replicas that met no left row in their bucket,
-    and those are dropped (a hot key always has left rows).  The left side
-    is read twice (key counts, join), the right side once.
+    A hot key has more than ``hot_rows`` left rows, and more than one
+    MAX_HOT_KEYS-th of all left rows, so there are fewer than MAX_HOT_KEYS of
+    them and their list is broadcast with that bound.  One join on (key, salt)
+    follows: a hot key of n rows has ceil(n / hot_rows) salts; its left rows
+    are dealt to them (equal rows, too), its right rows are replicated once
+    per salt, everything else has salt 0.  Replicas that met no left row in
+    their bucket are dropped (a hot key always has left rows).  Null keys
+    match nothing: they are dealt to as many salts as their number asks for
+    and never replicated.  The left side is read twice (key counts, join),
+    the right side once.
     """
     if how not in ("inner", "left", "right", "full"):
         raise ValueError("how must be inner, left, right or full")
-    hot = (left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_rows).select(key).withColumn("_hot", F.lit(True)))
-    hot_b = F.broadcast(hot)
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    salted_left = (left.join(hot_b, key, "left")
-                   .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets)))
-                               .otherwise(F.lit(0).cast("long")))
-                   .withColumnRenamed("_hot", "_hot_l"))
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))) \
-        .otherwise(F.array(F.lit(0).cast("long")))
-    salted_right = (right.join(hot_b, key, "left")
-                    .withColumn("_salt", F.explode(salts))
-                    .withColumnRenamed("_hot", "_hot_r"))
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    share = left.select((F.count(F.lit(1)) / F.lit(float(MAX_HOT_KEYS))).alias("s")).scalar()
+    hot = (counts.where((F.col("_n") > hot_rows) & (F.col("_n") > share))
+           .select(F.col(key).alias("_hot_key"), F.ceil(F.col("_n") / F.lit(hot_rows)).cast("long").alias("_salts")))
+    marked = F.broadcast(hot)
+    zero = F.lit(0).cast("long")
+
+    def with_salts(df: DataFrame, name: str) -> DataFrame:
+        return (df.join(marked, F.col(key).eqNullSafe(F.col("_hot_key")), "left").drop("_hot_key")
+                .withColumnRenamed("_salts", name))
+    dealt = F.xxhash64(*[F.col(c) for c in left.columns], F.monotonically_increasing_id())
+    salted_left = (with_salts(left, "_salts_l").withColumn("_serial", dealt)
+                   .withColumn("_salt", F.coalesce(F.pmod("_serial", F.col("_salts_l")), zero)).drop("_serial"))
+    spread_null = F.array(F.pmod(F.xxhash64(*[F.col(c) for c in right.columns], F.monotonically_increasing_id()),
+                                 F.coalesce("_salts_r", F.lit(1).cast("long"))))
+    salted_right = with_salts(right, "_salts_r").withColumn("_own", spread_null)
+    salts = (F.when(F.col(key).isNull(), F.col("_own"))
+             .when(F.col("_salts_r").isNotNull(), F.sequence(zero, F.col("_salts_r") - 1)).otherwise(F.array(zero)))
+    salted_right = (salted_right.withColumn("_salt", F.explode(salts)).drop("_own")
+                    .withColumn("_salts_r", F.when(F.col(key).isNotNull(), F.col("_salts_r"))))
     out = salted_left.join(salted_right, [key, "_salt"], how)
     if how in ("right", "full"):
-        out = out.where(~(F.col("_hot_r").isNotNull() & F.col("_hot_l").isNull()))
-    return out.drop("_salt", "_hot_l", "_hot_r")
+        out = out.where(~(F.col("_salts_r").isNotNull() & F.col("_salts_l").isNull()))
+    return out.drop("_salt", "_salts_l", "_salts_r")

@@ -35,7 +35,8 @@ def rank_within(df: DataFrame, group: str, value: str, *, descending: bool = Tru
     ``group``, equal to the window function of the same name, without any
     group landing whole in one task.  Nulls are placed as by the window
     (last when descending, first when ascending) and tie with each other;
-    ``row_number`` orders ties by ``tiebreak`` (then by a row hash)."""
+    ``row_number`` orders ties by ``tiebreak`` (then by a row hash).  A null group
+    is a group of its own; the result is a long."""
     if method not in _METHODS:
         raise ValueError(f"method must be one of {sorted(_METHODS)}")
     scratch_root(df.sparkSession)  # make sure a checkpoint folder is set
@@ -44,15 +45,16 @@ def rank_within(df: DataFrame, group: str, value: str, *, descending: bool = Tru
     v = val.desc() if descending else val.asc()
     ties = [F.col(tiebreak).asc()] if tiebreak else []
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    keyed = df.withColumn("_spread", spread)
-    keys = [F.col(group), v, *ties, F.col("_spread")]
+    # The serial number cuts runs of equal rows, too.
+    keyed = df.withColumns({"_spread": spread, "_serial": F.monotonically_increasing_id()})
+    keys = [F.col(group), v, *ties, F.col("_spread"), F.col("_serial")]
     ranged = keyed.repartitionByRange(chunks, *keys) if chunks else keyed.repartitionByRange(*keys)
     chunked = ranged.withColumn("_chunk", F.spark_partition_id()).checkpoint(eager=True)
 
     # Local ranks per (group, chunk); the chunk's first and last values in
     # window order (nulls placed as by the window: last when descending,
     # first when ascending) and the rows equal to its last value.
-    local_order = [v] if method != "row_number" else [v, *ties, F.col("_spread")]
+    local_order = [v] if method != "row_number" else [v, *ties, F.col("_spread"), F.col("_serial")]
     part = Window.partitionBy(group, "_chunk")
     ordered = part.orderBy(*local_order)
     whole = ordered.rowsBetween(unb, Window.unboundedFollowing)
@@ -94,7 +96,9 @@ def rank_within(df: DataFrame, group: str, value: str, *, descending: bool = Tru
         F.when(F.col("_cont") == 1, F.lag("_tail_rows").over(by_chunk)).otherwise(F.lit(0))
         .alias("_ties_before"))
 
-    out = local.join(offsets, [group, "_chunk"])
+    offsets = offsets.withColumnsRenamed({group: "_group", "_chunk": "_chunk_of"})
+    out = local.join(offsets, F.col(group).eqNullSafe(F.col("_group"))
+                     & (F.col("_chunk") == F.col("_chunk_of")))
     if method == "rank":
         rank = (F.col("_local") + F.col("_rows_before")
                 - F.when(val.eqNullSafe(F.col("_first")), F.col("_ties_before"))
@@ -103,4 +107,4 @@ def rank_within(df: DataFrame, group: str, value: str, *, descending: bool = Tru
         rank = F.col("_local") + F.col("_rows_before")
     else:
         rank = F.col("_local") + F.col("_distinct_before") - F.col("_cont")
-    return out.withColumn(name, rank.cast("int")).select(*df.columns, name)
+    return out.withColumn(name, rank.cast("long")).select(*df.columns, name)

@@ -13,8 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import (cents, half_up_div, hash_bucket,
-                               int_div, round_ratio, sum_money)
+from tessera.functions import cents, draw_below, half_up_div, round_ratio, sum_money
 from tessera.operators.clean import dedup_by_key, quality_report
 from tessera.session import scratch_root
 
@@ -22,6 +21,7 @@ from tessera.session import scratch_root
 DEFAULT_SEGMENTS = (1000.0, 500.0, 100.0)   # Premium, Gold, Silver lower bounds
 PROFIT_RATE_TENTHS = 3                      # profit = 30% of revenue
 COST_SALT = 17                              # salt of the simulated cost draw
+COST_STEPS = 1_000_000                      # values that draw can take
 TOP_PRODUCTS = 10
 
 CUSTOMER_FILL = {"lifetime_value": 0.0, "total_orders": 0, "active_days": 0,
@@ -119,8 +119,8 @@ def product_metrics(products: DataFrame, orders: DataFrame) -> DataFrame:
     margin, and inventory turnover.
 
     ``popularity_score`` divides by the largest ``times_ordered``, a scalar
-    subquery over the checkpointed per-product table (no driver round trip,
-    no second pass over the orders).  The cost
+    subquery over the checkpointed sales counts of the catalogue's products
+    (no driver round trip, no second pass over the orders).  The cost
     factor 0.6 + 0.2 u draws u from the product id (reproducible), and all
     roundings are exact on cents.
     """
@@ -129,20 +129,21 @@ def product_metrics(products: DataFrame, orders: DataFrame) -> DataFrame:
         F.sum("quantity").cast("long").alias("total_quantity_sold"),
         sum_money("total_amount").alias("total_revenue"),
     )
-    ext = (products.join(sales, "product_id", "left")
+    # Four columns per product sold, checkpointed (to the shared checkpoint
+    # folder) by the first job that needs them, so that the global max and the
+    # rows read one materialised table instead of running the orders
+    # aggregate twice.
+    scratch_root(sales.sparkSession)
+    sold = products.select("product_id").join(sales, "product_id").checkpoint(eager=False)
+    ext = (products.join(sold, "product_id", "left")
            .fillna({"times_ordered": 0, "total_quantity_sold": 0, "total_revenue": 0.0}))
-    # One row per product.  Checkpointed (to the shared checkpoint folder)
-    # so the global max and the rows read the same materialised table:
-    # without it the scalar subquery would re-run the orders aggregate.
-    scratch_root(ext.sparkSession)
-    ext = ext.checkpoint(eager=True)
-    max_orders = ext.select(F.greatest(F.coalesce(F.max("times_ordered"), F.lit(0)),
+    max_orders = sold.select(F.greatest(F.coalesce(F.max("times_ordered"), F.lit(0)),
                                        F.lit(1))).scalar()
     price_c = cents("unit_price")
-    # cost = price * (0.6 + 0.2 u / 10000) = price * (60000 + 2u) / 100000,
-    # u in [0, 10000): exact cents.
-    cost_c = half_up_div(price_c * (F.lit(60000) + hash_bucket("product_id", COST_SALT) * 2),
-                         F.lit(100000))
+    # cost = price * (0.6 + 0.2 u / steps) = price * (3 steps + u) / (5 steps),
+    # u in [0, steps): exact cents.
+    cost_c = half_up_div(price_c * (F.lit(3 * COST_STEPS) + draw_below("product_id", COST_SALT, COST_STEPS)),
+                         F.lit(5 * COST_STEPS))
     return (ext
             .withColumn("popularity_score", round_ratio("times_ordered", max_orders, 2, 100))
             .withColumn("_cost_c", cost_c)
@@ -192,5 +193,4 @@ def daily_metrics(orders: DataFrame, products: DataFrame) -> DataFrame:
         (revenue_c / F.lit(100.0)).alias("revenue"),
         "num_orders",
         F.when(F.col("_n_amount") > 0, avg_c / F.lit(100.0)).alias("avg_order_value"),
-        (int_div(revenue_c * (2 * PROFIT_RATE_TENTHS) + 10, F.lit(20)) / F.lit(100.0))
-        .alias("profit"))
+        (half_up_div(revenue_c * PROFIT_RATE_TENTHS, F.lit(10)) / F.lit(100.0)).alias("profit"))

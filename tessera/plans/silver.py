@@ -16,6 +16,9 @@ from tessera.plans import retail as R
 from tessera.sinks.files import write_parquet
 from tessera.sinks.jdbc import publish
 
+# Configuration keys of the published tables.
+PUBLISH_KEYS = {"customers_analytics": "table_customers", "products_metrics": "table_products",
+                "daily_metrics": "table_daily_metrics"}
 OUTPUTS = ("orders_clean", "customers_analytics", "products_metrics", "daily_metrics")
 
 
@@ -23,7 +26,7 @@ def write_silver(customers: DataFrame, products: DataFrame, orders: DataFrame, r
                  segments=R.DEFAULT_SEGMENTS, jdbc: Mapping[str, str] | None = None) -> dict:
     """Write the silver tables below ``root``; returns their paths.  Inputs
     are the cleaned tables.  With ``jdbc`` the three analytics tables are
-    published under the config keys ``table_<name>``."""
+    published under the configuration keys of ``PUBLISH_KEYS``."""
     spark = orders.sparkSession
     paths = {name: f"{root.rstrip('/')}/{name}" for name in OUTPUTS}
     write_parquet(orders, paths["orders_clean"], partition_by=["order_date"], dynamic=True)
@@ -39,8 +42,8 @@ def write_silver(customers: DataFrame, products: DataFrame, orders: DataFrame, r
         else:
             write_parquet(df, paths[name])
     if jdbc is not None:
-        for name in ("customers_analytics", "products_metrics", "daily_metrics"):
-            publish(spark.read.parquet(paths[name]), jdbc, f"table_{name}")
+        for name, key in PUBLISH_KEYS.items():
+            publish(spark.read.parquet(paths[name]), jdbc, key)
     return paths
 
 

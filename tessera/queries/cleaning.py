@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.hashing import threshold
 from tessera.operators.clean import dedup_by_key
 from tessera.operators.profile import describe
 from tessera.operators.sample import sample_by_hash, sample_random, split_by_hash
@@ -63,28 +64,44 @@ def cln_dedup_key(spark, sf):
     return dedup_by_key(A.orders(spark, sf), ["order_id"])
 
 
-@register("smp_hash", f"SELECT * FROM orders WHERE {S.hash_bucket('o_orderkey', 5)} < 1000")
+@register("smp_hash", f"SELECT * FROM orders WHERE {S.draw('o_orderkey', 5)} < {threshold(0.1)}")
 def smp_hash(spark, sf):
     return sample_by_hash(T(spark, sf, "orders"), "o_orderkey", 0.1, salt=5)
 
 
-@register("smp_random")
+_SIZE_SQL = """SELECT TRUE AS size_fits, TRUE AS distinct_rows, COUNT(*) AS n_orders FROM orders"""
+
+
+def _about(n, total, share: float):
+    """Whether n is within five standard deviations of total * share."""
+    return F.abs(n - total * share) <= F.sqrt(total * (share * (1 - share))) * 5 + 1
+
+
+@register("smp_random", _SIZE_SQL)
 def smp_random(spark, sf):
-    # Bernoulli sample: membership is random, only the size is checkable.
-    return sample_random(T(spark, sf, "orders"), 0.5, seed=42)
+    # Bernoulli sample: membership is random, so its size is what is checked.
+    o = T(spark, sf, "orders")
+    n = F.count(F.lit(1))
+    total = o.select(n).scalar()
+    return sample_random(o, 0.5, seed=42).agg(
+        _about(n, total, 0.5).alias("size_fits"), (n == F.count_distinct("o_orderkey")).alias("distinct_rows"),
+        total.alias("n_orders"))
 
 
 @register("smp_split_hash", f"""SELECT o_orderkey, o_custkey,
-  CASE WHEN {S.hash_bucket('o_orderkey', 42)} < 8000 THEN 0 ELSE 1 END AS part FROM orders""")
+  CASE WHEN {S.draw('o_orderkey', 42)} < {threshold(0.8)} THEN 0 ELSE 1 END AS part FROM orders""")
 def smp_split_hash(spark, sf):
     o = T(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return split_by_hash(o, "o_orderkey", [0.8, 0.2], salt=42, column="part")
 
 
-@register("smp_split_random")
+@register("smp_split_random", _SIZE_SQL)
 def smp_split_random(spark, sf):
     train, test = T(spark, sf, "orders").randomSplit([0.8, 0.2], seed=42)
-    return train.withColumn("part", F.lit(0)).unionByName(test.withColumn("part", F.lit(1)))
+    n = F.count(F.lit(1))
+    return train.withColumn("part", F.lit(0)).unionByName(test.withColumn("part", F.lit(1))).agg(
+        _about(F.count_if(F.col("part") == 1), n, 0.2).alias("size_fits"),
+        (n == F.count_distinct("o_orderkey")).alias("distinct_rows"), n.alias("n_orders"))
 
 
 @register("set_union_by_name", """SELECT n_nationkey, n_name FROM nation

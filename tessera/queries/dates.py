@@ -75,12 +75,13 @@ def dat_diff(spark, sf):
 
 
 @register("dat_months_between", _O + """SELECT o_orderkey,
-  CAST(datediff('month', DATE '1992-01-01', CAST(date_trunc('month', d) AS DATE)) AS DOUBLE) AS months
+  CASE WHEN d = last_day(d) THEN CAST((year(d) - 1992) * 12 + month(d) - 1 AS DOUBLE)
+       ELSE round((year(d) - 1992) * 12 + month(d) - 1 + (day(d) - 31) / 31.0, 8) END AS months
   FROM o""")
 def dat_months_between(spark, sf):
-    first = F.trunc("d", "month")
+    # Whole months between month ends, else a fraction of 31 days.
     return _orders(spark, sf).select(
-        "o_orderkey", F.months_between(first, F.lit("1992-01-01").cast("date")).alias("months"))
+        "o_orderkey", F.months_between("d", F.lit("1992-01-31").cast("date")).alias("months"))
 
 
 @register("dat_format", _O + "SELECT o_orderkey, strftime(d, '%b %d, %Y') AS pretty FROM o")

@@ -1,5 +1,6 @@
-"""JON: joins.  Outer / semi joins run against filtered sides so every
-branch (matched, unmatched on either side) occurs in the driver data."""
+"""JON: joins over whole tables.  For the outer and semi joins some keys are
+moved out of range or set to null, so that every branch (matched, unmatched on
+either side, null key) occurs in the driver data."""
 
 from __future__ import annotations
 
@@ -12,8 +13,8 @@ from tessera.queries import sqlbits as S
 from tessera.sources import adapters as A
 from tessera.sources.tables import table as T
 
-BIG_ORDER = 300000.0
-RICH = 5000.0
+STRAY_EVERY = 7       # orders of o_custkey % 7 = 0 point at a customer that does not exist
+NULL_EVERY = 11       # orders of o_orderkey % 11 = 0 have no customer
 NATIONS = 25  # fixed size of the nation table
 
 
@@ -21,13 +22,15 @@ def _cust(spark, sf):
     return T(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
 
 
-def _big_orders(spark, sf):
-    return (T(spark, sf, "orders").where(F.col("o_totalprice") > BIG_ORDER)
-            .select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice"))
+def _strays(spark, sf):
+    k = F.col("o_custkey")
+    key = (F.when(F.col("o_orderkey") % NULL_EVERY == 0, F.lit(None).cast("long"))
+           .when(k % STRAY_EVERY == 0, -k).otherwise(k))
+    return T(spark, sf, "orders").select(key.alias("c_custkey"), "o_orderkey", "o_totalprice")
 
 
-_BIG = f"big AS (SELECT o_custkey AS c_custkey, o_orderkey, o_totalprice FROM orders WHERE o_totalprice > {BIG_ORDER})"
-_RICH = f"rich AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > {RICH})"
+_STRAYS = f"""b AS (SELECT CASE WHEN o_orderkey % {NULL_EVERY} = 0 THEN NULL WHEN o_custkey % {STRAY_EVERY} = 0 THEN -o_custkey
+  ELSE o_custkey END AS c_custkey, o_orderkey, o_totalprice FROM orders)"""
 
 
 @register("join_inner", """SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_totalprice
@@ -40,36 +43,34 @@ def join_inner(spark, sf):
 
 @register("join_left", S.with_ctes(
     "SELECT c.c_custkey, c.c_name, c.c_acctbal, b.o_orderkey, b.o_totalprice "
-    "FROM customer c LEFT JOIN big b ON c.c_custkey = b.c_custkey", _BIG))
+    "FROM customer c LEFT JOIN b ON c.c_custkey = b.c_custkey", _STRAYS))
 def join_left(spark, sf):
-    return _cust(spark, sf).join(_big_orders(spark, sf), "c_custkey", "left")
+    return _cust(spark, sf).join(_strays(spark, sf), "c_custkey", "left")
 
 
 @register("join_right", S.with_ctes(
     "SELECT b.c_custkey, r.c_name, r.c_acctbal, b.o_orderkey, b.o_totalprice "
-    "FROM rich r RIGHT JOIN big b ON r.c_custkey = b.c_custkey", _BIG, _RICH))
+    "FROM customer r RIGHT JOIN b ON r.c_custkey = b.c_custkey", _STRAYS))
 def join_right(spark, sf):
-    rich = _cust(spark, sf).where(F.col("c_acctbal") > RICH)
-    return rich.join(_big_orders(spark, sf), "c_custkey", "right")
+    return _cust(spark, sf).join(_strays(spark, sf), "c_custkey", "right")
 
 
 @register("join_full", S.with_ctes(
     "SELECT COALESCE(r.c_custkey, b.c_custkey) AS c_custkey, r.c_name, r.c_acctbal, "
-    "b.o_orderkey, b.o_totalprice FROM rich r FULL OUTER JOIN big b ON r.c_custkey = b.c_custkey",
-    _BIG, _RICH))
+    "b.o_orderkey, b.o_totalprice FROM customer r FULL OUTER JOIN b ON r.c_custkey = b.c_custkey",
+    _STRAYS))
 def join_full(spark, sf):
     # AQE cannot split a skewed key of a full outer join: the salted
     # skew_join spreads customers with very many orders over several tasks.
-    rich = _cust(spark, sf).where(F.col("c_acctbal") > RICH)
-    return skew_join(_big_orders(spark, sf), rich, "c_custkey", "full").select(
+    return skew_join(_strays(spark, sf), _cust(spark, sf), "c_custkey", "full").select(
         "c_custkey", "c_name", "c_acctbal", "o_orderkey", "o_totalprice")
 
 
 @register("join_semi", S.with_ctes(
     "SELECT c.c_custkey, c.c_name, c.c_acctbal FROM customer c "
-    "WHERE EXISTS (SELECT 1 FROM big b WHERE b.c_custkey = c.c_custkey)", _BIG))
+    "WHERE EXISTS (SELECT 1 FROM b WHERE b.c_custkey = c.c_custkey)", _STRAYS))
 def join_semi(spark, sf):
-    return _cust(spark, sf).join(_big_orders(spark, sf), "c_custkey", "left_semi")
+    return _cust(spark, sf).join(_strays(spark, sf), "c_custkey", "left_semi")
 
 
 @register("join_anti", """SELECT o.* FROM orders o

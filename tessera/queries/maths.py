@@ -49,7 +49,7 @@ def mth_floor(spark, sf):
         "l_orderkey", "l_linenumber", F.floor(F.col("l_extendedprice") / 1000).alias("k"))
 
 
-@register("mth_hash_uniform", f"""SELECT c_custkey, CAST({S.hash_bucket('c_custkey', 3)} AS DOUBLE) / 10000 AS u
+@register("mth_hash_uniform", f"""SELECT c_custkey, CAST({S.draw('c_custkey', 3)} AS DOUBLE) / {2**60} AS u
   FROM customer""")
 def mth_hash_uniform(spark, sf):
     return T(spark, sf, "customer").select("c_custkey", hash_unit("c_custkey", 3).alias("u"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera import schemas
 from tessera.functions import avg_money, cents, sum_money
 from tessera.operators.joins import lookup_join
-from tessera.plans.sales import monthly_summary
+from tessera.plans.sales import enriched_sales, monthly_summary
 from tessera.queries import register
 from tessera.queries import sqlbits as S
 from tessera.session import scratch_path
@@ -75,13 +75,15 @@ def category_grand_total(spark, sf):
 
 @register("customer_totals", """SELECT c.c_custkey, c.c_name,
   CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
-  FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey AND o.o_totalprice > 300000
+  FROM customer c LEFT JOIN (SELECT CASE WHEN o_custkey % 7 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey,
+    o_totalprice FROM orders) o ON c.c_custkey = o.o_custkey
   GROUP BY c.c_custkey, c.c_name ORDER BY c.c_custkey""")
 def customer_totals(spark, sf):
-    """Left join then total: a customer without (big) orders gets null."""
+    """Left join then total: a customer without orders gets null (the orders
+    of every seventh customer are moved to a key that no customer has)."""
     c = T(spark, sf, "customer").select("c_custkey", "c_name")
-    o = (T(spark, sf, "orders").where(F.col("o_totalprice") > 300000)
-         .select(F.col("o_custkey").alias("c_custkey"), "o_totalprice"))
+    k = F.col("o_custkey")
+    o = T(spark, sf, "orders").select(F.when(k % 7 == 0, -k).otherwise(k).alias("c_custkey"), "o_totalprice")
     return (c.join(o, "c_custkey", "left").groupBy("c_custkey", "c_name")
             .agg(sum_money("o_totalprice").alias("total_amount")).orderBy("c_custkey"))
 
@@ -167,13 +169,27 @@ def raw_sales(spark, sf):
   SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, COUNT(*) AS num_transactions,
     CAST(SUM({S.cents('amount')}) AS DOUBLE) / 100 AS total_revenue,
     CAST(SUM({S.cents('amount')}) AS DOUBLE) / COUNT(*) / 100 AS avg_transaction,
-    COUNT(DISTINCT customer_id) AS unique_customers,
-    COUNT(*) FILTER (WHERE amount >= 1000) AS high_value
+    COUNT(DISTINCT customer_id) AS unique_customers
   FROM s GROUP BY 1, 2 ORDER BY 1, 2""", headline=True)
 def monthly_summary_q(spark, sf):
     return monthly_summary(raw_sales(spark, sf))
 
 
+@register("sales_categories", """SELECT CASE WHEN amount > 1000 THEN 'High' WHEN amount > 500 THEN 'Medium' ELSE 'Low' END
+    AS revenue_category, CAST(quarter(d) AS INTEGER) AS quarter, COUNT(*) AS n FROM (
+    SELECT CASE o_orderkey % 5 WHEN 0 THEN 1000.0 WHEN 1 THEN 500.0 WHEN 2 THEN 500.01 ELSE o_totalprice END AS amount,
+           CAST(o_orderdate AS DATE) AS d FROM orders) WHERE amount > 0 GROUP BY 1, 2""")
+def sales_categories(spark, sf):
+    """Rows per revenue category and quarter; amounts on the class limits."""
+    o = T(spark, sf, "orders")
+    k = F.col("o_orderkey") % 5
+    raw = o.select(F.col("o_custkey").cast("string").alias("customer_id"),
+                   F.when(k == 0, "1000.0").when(k == 1, "500.0").when(k == 2, "500.01")
+                   .otherwise(F.col("o_totalprice").cast("string")).alias("amount"),
+                   F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_string"))
+    return enriched_sales(raw).groupBy("revenue_category", "quarter").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("region_sales", f"""SELECT r.r_name AS region, {S.sum_money('o.o_totalprice')} AS total_sales,
   {S.avg_money('o.o_totalprice')} AS avg_sale, COUNT(*) AS n_orders
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey

@@ -104,7 +104,7 @@ PRODUCT_METRICS_CTES = [
         COALESCE(s.total_revenue, 0.0) AS total_revenue
         FROM c_products p LEFT JOIN sales s ON p.product_id = s.product_id)""",
     f"""pm0 AS (SELECT *, {S.cents('unit_price')} AS _pc,
-        {S.half_up_div(f"{S.cents('unit_price')} * (60000 + 2 * ({S.hash_bucket('product_id', R.COST_SALT)}))", '100000')} AS _cc,
+        {S.half_up_div(f"{S.cents('unit_price')} * ({3 * R.COST_STEPS} + {S.draw_below('product_id', R.COST_SALT, R.COST_STEPS)})", str(5 * R.COST_STEPS))} AS _cc,
         (SELECT greatest(COALESCE(MAX(times_ordered), 0), 1) FROM ext) AS _mx FROM ext)""",
     f"""pm AS (SELECT product_id, product_name, category, brand, unit_price, stock_quantity,
         is_active, times_ordered, total_quantity_sold, total_revenue,
@@ -139,8 +139,8 @@ SELECT o.product_id, o.order_date, p.category,
        CAST(SUM(o.quantity) AS BIGINT) AS quantity_sold,
        CAST(SUM({S.cents('o.total_amount')}) AS DOUBLE) / 100 AS revenue,
        COUNT(o.order_id) AS num_orders,
-       {S.avg_money('o.total_amount')} AS avg_order_value,
-       CAST((SUM({S.cents('o.total_amount')}) * 6 + 10) // 20 AS DOUBLE) / 100 AS profit
+       CAST(round(CAST(SUM({S.cents('o.total_amount')}) AS DECIMAL(30,0)) / COUNT(o.total_amount), 0) AS DOUBLE) / 100 AS avg_order_value,
+       CAST(round(CAST(SUM({S.cents('o.total_amount')}) * 3 AS DECIMAL(30,1)) * 0.1, 0) AS DOUBLE) / 100 AS profit
 FROM c_orders o LEFT JOIN c_products p ON o.product_id = p.product_id
 GROUP BY o.product_id, o.order_date, p.category""")
 

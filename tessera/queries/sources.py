@@ -68,6 +68,14 @@ def src_json_lines(spark, sf):
     return read_json(spark, path, ORDERS_DDL)
 
 
+@register("src_json_infer", """SELECT c_acctbal, c_custkey, c_mktsegment, c_name,
+  CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer""")
+def src_json_infer(spark, sf):
+    path = scratch_path(spark, "src_json_infer")
+    write_json(T(spark, sf, "customer"), path)
+    return read_json(spark, path, infer=True)
+
+
 QUOTES_PER_FILE = 100
 
 
@@ -99,13 +107,10 @@ def src_json_strings(spark, sf):
     return T(spark, sf, "events").select("event_id", "user_id", parsed.getField("k").alias("k"))
 
 
-@register("src_parquet", """SELECT l_orderkey, l_partkey, l_extendedprice FROM lineitem
-  WHERE l_shipdate >= TIMESTAMP '1995-01-01 00:00:00'""")
+@register("src_parquet", "SELECT l_orderkey, l_partkey, l_extendedprice FROM lineitem")
 def src_parquet(spark, sf):
     path = f"{sf.rstrip('/')}/lineitem.parquet"
-    return (read_parquet(spark, path)
-            .where(F.col("l_shipdate") >= F.lit("1995-01-01 00:00:00").cast("timestamp_ntz"))
-            .select("l_orderkey", "l_partkey", "l_extendedprice"))
+    return read_parquet(spark, path).select("l_orderkey", "l_partkey", "l_extendedprice")
 
 
 # Fixed lookup values (small literal tables).

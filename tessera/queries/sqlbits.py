@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from tessera.functions.hashing import HASH_MODULUS, HASH_MULTIPLIER
+from tessera.functions.hashing import HASH_DIGITS
 from tessera.sources import adapters as A
 
 
@@ -22,7 +22,8 @@ def sum_money(x: str) -> str:
 
 
 def half_up_div(n: str, d: str) -> str:
-    return f"((CAST({n} AS BIGINT) * 2 + ({d})) // (CAST({d} AS BIGINT) * 2))"
+    """round(n / d), halves away from zero."""
+    return f"(CASE WHEN ({n}) < 0 THEN -((-2 * CAST({n} AS BIGINT) + ({d})) // (2 * CAST({d} AS BIGINT))) ELSE (2 * CAST({n} AS BIGINT) + ({d})) // (2 * CAST({d} AS BIGINT)) END)"
 
 
 def round_ratio(n: str, d: str, digits: int = 2, scale: int = 1) -> str:
@@ -35,9 +36,12 @@ def avg_money(x: str) -> str:
             f"CAST({half_up_div(f'SUM({cents(x)})', f'COUNT({x})')} AS DOUBLE) / 100 END")
 
 
-def hash_bucket(k: str, salt: int = 0) -> str:
-    m = HASH_MODULUS
-    return f"((((CAST({k} AS BIGINT) % {m}) + {m}) % {m}) * {HASH_MULTIPLIER} + {salt}) % {m}"
+def draw(k: str, salt: int = 0) -> str:
+    return f"CAST('0x' || substr(md5(CAST({k} AS VARCHAR) || ':{salt}'), 1, {HASH_DIGITS}) AS BIGINT)"
+
+
+def draw_below(k: str, salt: int, n: str | int) -> str:
+    return f"({draw(k, salt)} % CAST({n} AS BIGINT))"
 
 
 def dedup(src: str, keys: Sequence[str], columns: Sequence[str], where: str | None = None,
@@ -87,7 +91,8 @@ R_ORDERS = f"""r_orders AS (
          CASE WHEN o.o_custkey % {A.NULL_CUSTOMER_EVERY} = 0 THEN NULL ELSE o.o_custkey END AS customer_id,
          l.l_partkey AS product_id, CAST(l.l_quantity AS INTEGER) AS quantity,
          CAST(o.o_orderdate AS DATE) AS order_date, o.o_orderstatus AS order_status,
-         o.o_orderpriority AS payment_method, l.l_extendedprice AS total_amount,
+         o.o_orderpriority AS payment_method, CASE WHEN l.l_partkey % {A.REFUND_EVERY} = 0 THEN -l.l_extendedprice
+              ELSE l.l_extendedprice END AS total_amount,
          l.l_discount AS discount_amount, l.l_tax AS shipping_cost
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
@@ -124,19 +129,6 @@ def with_ctes(body: str, *ctes: str) -> str:
     return f"WITH {', '.join(ctes)}\n{body}" if ctes else body
 
 
-def draw(k: str, stream: int) -> str:
-    from tessera.functions.hashing import DRAW_MODULUS as M, DRAW_MULTIPLIERS as MULT
-    a = MULT[stream]
-    x = f"((((CAST({k} AS BIGINT) % {M}) + {M}) % {M}) + {stream + 1})"
-    x = f"(({x} * {a}) % {M})"
-    return f"(({x} * {a}) % {M})"
-
-
-def draw_below(k: str, stream: int, n: str | int) -> str:
-    from tessera.functions.hashing import DRAW_MODULUS as M
-    return f"(({draw(k, stream)}) * CAST({n} AS BIGINT) // {M})"
-
-
 def pick(values: Sequence[str], k: str, stream: int) -> str:
     items = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
     return f"[{items}][CAST({draw_below(k, stream, len(values))} AS INTEGER) + 1]"

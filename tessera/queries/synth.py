@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.hashing import threshold
 from tessera.plans import synth as G
 from tessera.queries import register
 from tessera.queries import sqlbits as S
@@ -67,17 +68,14 @@ g AS (SELECT CAST(id + 1 AS BIGINT) AS order_id,
   CAST({S.cents_between('id', 6, 1000, 49500)} AS DOUBLE) / 100 AS total_amount,
   CAST({S.cents_between('id', 7, 0, 5000)} AS DOUBLE) / 100 AS discount_amount,
   CAST({S.cents_between('id', 8, 500, 2000)} AS DOUBLE) / 100 AS shipping_cost FROM i)
-SELECT * FROM g UNION ALL SELECT * FROM g WHERE {S.hash_bucket('order_id', 9)} < 10"""
+SELECT * FROM g UNION ALL SELECT * FROM g WHERE {S.draw('order_id', 9)} < {threshold(G.DUPLICATE_FRACTION)}"""
 
 
 @register("gen_orders", _GEN_ORDERS)
 def gen_orders(spark, sf):
     ids = _ids(spark, sf, "orders", "o_orderkey")
-    # The scale rule needs one number, the order count: one count job (the
-    # value, not data, comes to the driver), then the sizes are literals.
-    n = ids.count()
-    n_c = max(G.MIN_CUSTOMERS, n // G.CUSTOMERS_PER_ORDER_DIV)
-    n_p = max(G.MIN_PRODUCTS, n // G.PRODUCTS_PER_ORDER_DIV)
+    # The scale rule needs one number, the order count: a scalar subquery.
+    n_c, n_p = (ids.select(x).scalar() for x in G.table_sizes(F.count(F.lit(1))))
     return G.generate_orders(ids, n_c, n_p, AS_OF)
 
 

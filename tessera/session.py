@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import math
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -49,8 +51,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and checkpoints.
 
-    Uses the cluster's ``spark.checkpoint.dir``.  Only when it is unset (local
-    tests) a private temporary folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``.  Where it is unset, a session
+    in one JVM (``local`` master, tests) gets a temporary folder that is
+    deleted at exit; a cluster raises, since its executors share no local
+    folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -60,7 +64,11 @@ def scratch_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = sc.master if sc is not None else ""
+        if not re.match(r"local(\[[^]]*\])?$", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tessera-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
         if sc is not None:
             sc.setCheckpointDir(root)
@@ -69,27 +77,18 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def _scratch_of(spark: SparkSession) -> str:
+    return os.path.join(scratch_root(spark), "tessera", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared scratch folder."""
-    return os.path.join(scratch_root(spark), "tessera", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(_scratch_of(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def scale_conf(input_bytes: int, cores: int, *, input_per_partition: int = 512 << 20,
-               advisory_partition: int = 128 << 20, max_partitions: int = 100_000) -> dict:
-    """Shuffle and scan settings sized to the input.
-
-    * ``spark.sql.shuffle.partitions``: one partition per ~512 MB of input,
-      at least two per core, at most 100k (map outputs x partitions stays
-      manageable); AQE then coalesces small partitions to ~128 MB and splits
-      skewed ones, so this is an upper bound, not a guess to get exactly right.
-    * ``spark.sql.files.maxPartitionBytes``: 128 MB scan splits.
-    For 100 TB on 8,000 cores this gives 100k shuffle partitions (~1 GB of
-    input each before the map-side combine) and ~800k scan tasks.
-    """
-    parts = min(max_partitions, max(2 * cores, math.ceil(input_bytes / input_per_partition)))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_partition),
-        "spark.sql.files.maxPartitionBytes": str(advisory_partition),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * advisory_partition),
-    }
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to :func:`scratch_path` (call it once
+    no DataFrame that reads from there is needed)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_of(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -22,18 +22,19 @@ NEGATIVE_PRICE_EVERY = 89    # p_partkey % 89 = 0 -> unit_price = -10
 ZERO_PRICE_EVERY = 211       # p_partkey % 211 = 0 -> unit_price = 0
 ZERO_STOCK_EVERY = 53        # p_partkey % 53 = 0 -> stock_quantity = 0
 INACTIVE_EVERY = 20          # p_partkey % 20 = 0 -> is_active = false
+REFUND_EVERY = 31            # l_partkey % 31 = 0 -> total_amount is negative
 NULL_TAGS_EVERY = 50         # doc_id % 50 = 0 -> tags is null
 REGISTRATION_START = "2021-01-01"
 REGISTRATION_DAYS = 1095
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer x nation -> customers schema.  ``nation`` has a fixed 25
-    rows, so broadcasting it is bounded at any scale."""
+    """customer x nation -> customers schema (Spark broadcasts ``nation`` by
+    its measured size)."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     key = F.col("c_custkey")
-    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
             .select(
                 key.alias("customer_id"),
                 F.col("c_name").alias("first_name"),
@@ -89,7 +90,8 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("o_orderdate").cast("date").alias("order_date"),
                 F.col("o_orderstatus").alias("order_status"),
                 F.col("o_orderpriority").alias("payment_method"),
-                F.col("l_extendedprice").alias("total_amount"),
+                F.when(F.col("l_partkey") % REFUND_EVERY == 0, -F.col("l_extendedprice"))
+                 .otherwise(F.col("l_extendedprice")).alias("total_amount"),
                 F.col("l_discount").alias("discount_amount"),
                 F.col("l_tax").alias("shipping_cost"),
             ))

@@ -6,8 +6,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -29,8 +29,11 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str],
 
 def read_json(spark: SparkSession, paths: str | Sequence[str],
               schema: T.StructType | str | None = None, *,
-              multiline: bool = False, **options) -> DataFrame:
-    """JSON-lines scan, or one document / array per file with ``multiline``."""
+              multiline: bool = False, infer: bool = False, **options) -> DataFrame:
+    """JSON-lines scan, or one document / array per file with ``multiline``.
+    Without a schema ``infer`` must ask for the extra pass that finds one."""
+    if schema is None and not infer:
+        raise ValueError("give a schema or infer=True")
     reader = spark.read.option("multiLine", multiline)
     for key, value in options.items():
         reader = reader.option(key, value)
@@ -51,21 +54,31 @@ class EntityReadError(RuntimeError):
 
 
 def read_entity(spark: SparkSession, path: str, entity: str,
-                required: T.StructType | Sequence[str] | None = None) -> DataFrame:
+                required: T.StructType | Sequence[str] | None = None,
+                observation: Observation | None = None) -> DataFrame:
     """Fail-fast parquet read of a named entity.
 
     Raises :class:`EntityReadError` naming the entity when the path cannot be
-    resolved or required columns are missing.  Row counting is left to the
-    caller (``DataFrame.observe``), so no extra job runs here.
+    resolved or its footers not be read, when required columns are missing or,
+    with a StructType, when their types differ.  With ``observation`` (a
+    ``pyspark.sql.Observation``) the row count is observed by the job that
+    reads the table, as ``rows``; no extra job runs here.
     """
     try:
         df = spark.read.parquet(path)
-    except AnalysisException as exc:
+    except Exception as exc:
         raise EntityReadError(f"cannot read {entity} from {path}: {exc}") from exc
     if required is not None:
         names = required.fieldNames() if isinstance(required, T.StructType) else list(required)
         missing = [n for n in names if n not in df.columns]
         if missing:
             raise EntityReadError(f"{entity} at {path} lacks columns {missing}")
+        if isinstance(required, T.StructType):
+            wrong = {f.name: df.schema[f.name].dataType.simpleString() for f in required.fields
+                     if df.schema[f.name].dataType != f.dataType}
+            if wrong:
+                raise EntityReadError(f"{entity} at {path} has columns of other types: {wrong}")
         df = df.select(*names)
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     return df

@@ -17,32 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Above this many cores fan_out does nothing (see its docstring).
-MAX_FAN_OUT = 256
-
-
-def fan_out(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster when its input is a few large files.
-
-    A parquet file with one row group is read by one task, so all per-row
-    work before the first shuffle (tokenising text, a broadcast join, the
-    map side of an aggregate) would run on one core.  When the input has
-    fewer files than the cluster has cores, rows are redistributed round
-    robin; on inputs of many files (any table at scale) this is a no-op and
-    no shuffle is added.  Only the file listing Spark already holds is used.
-    """
-    target = min_partitions or _parallelism(df.sparkSession)
-    if target > MAX_FAN_OUT:
-        # Large cluster: inputs are many files, and listing millions of file
-        # names through the driver would cost more than it could save.
-        return df
-    if len(df.inputFiles()) >= target:
-        return df
-    return df.repartition(target)
-
-
-def _parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect: no SparkContext on the client
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+SPREAD = "spark.tessera.spread"
+
+
+def fan_out(df: DataFrame) -> DataFrame:
+    """Deal rows round robin to ``spark.tessera.spread`` partitions; unset or
+    0, the default, changes nothing.
+
+    A table of one file with one row group is read by one task.  Set this
+    only for such tables (the bench does): tables of many splits need no
+    shuffle before per-row work."""
+    partitions = int(df.sparkSession.conf.get(SPREAD, "0"))
+    return df.repartition(partitions) if partitions > 0 else df

@@ -5,7 +5,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tessera import schemas
-from tessera.operators.aggregate import top_value
 from tessera.plans import retail as R
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -80,14 +79,6 @@ def test_daily_metrics(spark):
     assert rows[(11, D1)].category is None              # dangling product keeps its group
 
 
-def test_top_value_equals_mode(spark):
-    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, "x"), (2, "y"), (3, None)],
-                               "g int, v string")
-    tv = {r.g: r.v for r in top_value(df, "g", "v").collect()}
-    md = {r.g: r.m for r in df.groupBy("g").agg(F.mode("v", True).alias("m")).collect()}
-    assert tv == {1: "b", 2: "x"} and md == {1: "b", 2: "x", 3: None}
-
-
 def test_quality_report_counts_null_key_group(spark):
     from tessera.operators.clean import dedup_by_key, quality_report
     df = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c"), (1, "d"), (2, None)],
