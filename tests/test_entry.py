@@ -29,7 +29,7 @@ def test_queries_and_oracle_keys(se):
     assert all(isinstance(s, str) and s.strip() for s in sql.values())
 
 
-WRITES_OR_CHECKPOINTS = ("snk_", "src_csv", "src_json_lines", "src_json_multiline",
+WRITES_OR_CHECKPOINTS = ("snk_", "src_csv", "src_json_lines", "src_json_infer", "src_json_multiline",
                          "csv_product_summary", "silver_", "product_metrics", "top_products",
                          "sql_rank", "ml_linreg_summary", "ml_linreg_simple")
 
