@@ -84,7 +84,7 @@ def test_hash_sample_and_split(spark):
     n = sample_by_hash(df, "id", 0.1).count()
     assert abs(n - 10000) < 500
     parts = split_by_hash(df, "id", [0.8, 0.2])
-    assert [p.count() for p in parts] == [80000, 20000]
+    assert abs(parts[0].count() - 80000) < 700 and sum(p.count() for p in parts) == 100000
 
 
 def test_partitioned_write_files(spark, tmp_path):
