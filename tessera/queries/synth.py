@@ -74,8 +74,11 @@ SELECT * FROM g UNION ALL SELECT * FROM g WHERE {S.draw('order_id', 9)} < {thres
 @register("gen_orders", _GEN_ORDERS)
 def gen_orders(spark, sf):
     ids = _ids(spark, sf, "orders", "o_orderkey")
-    # The scale rule needs one number, the order count: a scalar subquery.
-    n_c, n_p = (ids.select(x).scalar() for x in G.table_sizes(F.count(F.lit(1))))
+    # The scale rule needs one number, the order count: one count job at plan
+    # time (as scalar subqueries it was planned once per use).
+    n = ids.count()
+    n_c = max(G.MIN_CUSTOMERS, n // G.CUSTOMERS_PER_ORDER_DIV)
+    n_p = max(G.MIN_PRODUCTS, n // G.PRODUCTS_PER_ORDER_DIV)
     return G.generate_orders(ids, n_c, n_p, AS_OF)
 
 
