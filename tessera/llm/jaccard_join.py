@@ -7,14 +7,17 @@ so that the share of equal values estimates the Jaccard similarity.
 Chosen-path tree: at a node every set goes to BRANCHES children, each named by
 one sampled position and the set's own value there, so two sets stay together
 at a child with a probability equal to their similarity.  A node of at most
-LEAF sets is a leaf; a larger one is split again, to DEPTH levels.  Two sets of
+LEAF sets is a leaf; a larger one is split again, to DEPTH levels, unless it
+kept nearly all of its parent's sets: such a dense node is compared as it is,
+as pairs of blocks in many tasks.  Two sets of
 similarity s share a leaf of one run unless a branching process with
 Binomial(BRANCHES, s) children dies out (probability 0.06 at s = 0.8), so the
 number of independent runs follows from the target recall (`runs_for`).
 
 Leaves are compared by brute force: first on the embedding, which prunes sets
-without a likely partner there, then on the real shingle sets.  A leaf yields a
-spanning forest of its verified links, never all pairs.  Classes are the
+without a likely partner there, then on the real shingle sets (leaves of the
+same remaining sets, which the runs find again and again, only once).  A leaf
+yields a spanning forest of its verified links, never all pairs.  Classes are the
 connected components of the forests.  Links only exist inside a class, so the
 exact number of partners (different sets of similarity >= SIMILARITY) is then
 counted inside the classes, in blocks of BLOCK sets: a larger class is handled
@@ -40,10 +43,12 @@ from .common import SIMILARITY, hash_words, keep_rows, mix, shingles, slices, sp
 
 TOKENS = 64
 BRANCHES = 2
-LEAF = 512
+LEAF = 4096
 DEPTH = 8
 BLOCK = 256
 RECALL = 0.9999        # target recall of links at the similarity threshold
+DENSE = 0.6            # a child this near its parent's size is dense: splitting on is useless
+CELLS = 32_000_000     # cells of an incidence matrix held at once
 SURVIVAL_SLACK = 0.1   # an embedding of TOKENS values may show a smaller share
 LIKELY = 0.5           # share of equal values below which a pair is not verified
 
@@ -114,45 +119,49 @@ def _children(runs: int):
                 continue
             tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(-1, TOKENS)
             path = batch.column("path").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            keys = batch.column("set_key")
+            keys, parents = batch.column("set_key"), batch.column("n")
             for j in range(BRANCHES * runs):
                 at = (mix(path + np.uint64((j + 1) * 0xD1342543DE82EF95 % 2**64)) % np.uint64(TOKENS)).astype(np.int64)
                 value = tokens[np.arange(len(path)), at].astype(np.uint64)
                 child = mix(mix(path * np.uint64(0x9E3779B97F4A7C15) + np.uint64(j)) + (value << np.uint64(8)) + at.astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), keys], names=["path", "set_key"])
+                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), keys, parents], names=["path", "set_key", "up"])
     return expand
 
 
 def tree_leaves(sets: DataFrame, runs: int) -> DataFrame:
-    """Leaves (path, set_key) of all runs that hold two sets or more; nodes
-    still larger than LEAF at the last level are cut into pairs of blocks."""
-    nodes = sets.select(F.lit(0).cast("long").alias("path"), "set_key", "tokens")
+    """Leaves (path, part, set_key) of all runs that hold two sets or more;
+    dense nodes and nodes still larger than LEAF at the last level are cut
+    into pairs of blocks."""
+    nodes = sets.select(F.lit(0).cast("long").alias("path"), "set_key", F.lit(0).cast("long").alias("n"), "tokens")
     leaves, roots = None, runs
     for level in range(DEPTH):
-        placed = stored(nodes.mapInArrow(_children(roots), "path long, set_key binary"), f"paths-{level}")
+        placed = stored(nodes.mapInArrow(_children(roots), "path long, set_key binary, up long"), f"paths-{level}")
         roots = 1
         # path counts are combined per task: a hot path is one row per task
-        counted = placed.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
-        kept = stored(placed.join(counted, "path"), f"nodes-{level}")
-        small = kept.filter(F.col("n") <= LEAF).select("path", "set_key", F.lit(0).alias("part"))
-        leaves = small if leaves is None else leaves.unionAll(small)
+        counted = placed.groupBy("path").agg(F.count("*").alias("n"), F.max("up").alias("up")).filter("n > 1")
+        kept = stored(placed.select("path", "set_key").join(counted, "path"), f"nodes-{level}")
+        found = kept.filter(F.col("n") <= LEAF).select("path", F.lit(0).alias("part"), "set_key")
         large = kept.filter(F.col("n") > LEAF)
+        last = level == DEPTH - 1
+        done = F.lit(last) | (F.col("n") >= F.col("up") * DENSE) if level else F.lit(last)
+        found = found.unionAll(block_pairs(large.filter(done), "path", "set_key", F.col("n"), LEAF // 4))
+        leaves = found if leaves is None else leaves.unionAll(found)
+        large = large.filter(~done)
         if large.isEmpty():
-            return leaves
-        if level < DEPTH - 1:
-            nodes = large.select("path", "set_key").join(sets.select("set_key", "tokens"), "set_key")
-    return leaves.unionAll(block_pairs(large, "path", "set_key", F.col("n"), LEAF // 2))
+            break
+        nodes = large.select("path", "set_key", "n").join(sets.select("set_key", "tokens"), "set_key")
+    return leaves
 
 
 def block_pairs(rows: DataFrame, group: str, key: str, n, block: int) -> DataFrame:
     """Rows of a group dealt to blocks of about ``block`` rows, each sent to
-    every pair of blocks that holds its own: (group, key, part)."""
+    every pair of blocks that holds its own: (group, part, key)."""
     blocks = F.ceil(n / F.lit(block)).cast("int")
     own = rows.withColumns({"_blocks": blocks, "_own": F.pmod(F.xxhash64(key, F.lit(7)), blocks).cast("int")})
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     dealt = own.select(group, key, "_own", "_blocks", other.alias("_other"))
     low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
-    return dealt.select(group, key, (low * F.col("_blocks") + high).cast("int").alias("part"))
+    return dealt.select(group, (low * F.col("_blocks") + high).cast("int").alias("part"), key)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -189,10 +198,11 @@ def likely_rows(tokens: np.ndarray, group: np.ndarray) -> np.ndarray:
     while True:
         at = at[at + step < len(tokens)]
         at = at[group[at] == group[at + step]]
+        todo = at[~(out[at] & out[at + step])]
         if not len(at):
             return out
-        for a in range(0, len(at), 8192):
-            one = at[a:a + 8192]
+        for a in range(0, len(todo), 8192):
+            one = todo[a:a + 8192]
             hit = one[(tokens[one] == tokens[one + step]).sum(axis=1) >= LIKELY * TOKENS]
             out[hit] = True
             out[hit + step] = True
@@ -200,39 +210,51 @@ def likely_rows(tokens: np.ndarray, group: np.ndarray) -> np.ndarray:
 
 
 def _prune_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a likely partner, under a number that depends on the leaf's
+    remaining sets alone."""
     for table, group in whole_groups(batches, ["path", "part"]):
         tokens = np.frombuffer(b"".join(table.column("brief").to_pylist()), np.uint8).reshape(-1, TOKENS)
-        keep = pa.array(likely_rows(tokens, group))
-        yield from table.select(["path", "part", "set_key"]).filter(keep).combine_chunks().to_batches()
-
-
-def _overlaps(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Rows as (owner, item code) sorted by item, for counting overlaps."""
-    flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    order = np.argsort(flat, kind="stable")
-    return flat[order], owner[order]
+        keep = likely_rows(tokens, group)
+        if not keep.any():
+            continue
+        keys = table.column("set_key").filter(pa.array(keep))
+        heads = np.frombuffer(b"".join(keys.to_pylist()), np.uint64)[::2]
+        _, member = np.unique(group[keep], return_inverse=True)
+        sums = np.zeros(member.max() + 1, np.uint64)
+        np.add.at(sums, member, mix(heads))
+        yield pa.RecordBatch.from_arrays([pa.array(sums[member].view(np.int64)), keys.combine_chunks()], names=["leaf", "set_key"])
 
 
 def similar(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
-    """For each set, the set numbers whose Jaccard similarity with it is at
-    least SIMILARITY (itself left out)."""
-    sizes = np.array([len(s) for s in sets])
-    flat, owner = _overlaps(sets)
-    _, code = np.unique(flat, return_inverse=True) if len(flat) else (None, np.zeros(0, np.int64))
-    starts = np.concatenate([[0], np.flatnonzero(np.diff(code)) + 1, [len(code)]]) if len(code) else np.zeros(1, np.int64)
-    by_owner = np.argsort(owner, kind="stable")
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    for i in range(len(sets)):
-        mine = code[by_owner[ends[i]:ends[i + 1]]]
-        spans = starts[mine + 1] - starts[mine]
-        at = np.repeat(starts[mine] - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
-        common = np.bincount(owner[at], minlength=len(sets))
+    """For each set, the numbers of the sets whose Jaccard similarity with it
+    is at least SIMILARITY (itself left out)."""
+    n, sizes = len(sets), np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(n), sizes)
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[code] > 1                                # other items are in no overlap
+    owner, code = owner[shared], (np.cumsum(times > 1) - 1)[code[shared]]
+    width = int((times > 1).sum())
+
+    def hits(i: int, common: np.ndarray) -> tuple[int, np.ndarray]:
         union = sizes[i] + sizes - common
-        hit = common >= SIMILARITY * union - 1e-9
-        hit &= union > 0
+        hit = (common >= SIMILARITY * union - 1e-9) & (union > 0)
         hit[i] = False
-        yield i, np.flatnonzero(hit)
+        return i, np.flatnonzero(hit)
+    if n * width <= CELLS:
+        cells = np.zeros((n, width), np.float32)
+        cells[owner, code] = 1.0
+        for a in range(0, n, 256):
+            for i, common in enumerate(cells[a:a + 256] @ cells.T, a):
+                yield hits(i, np.rint(common))
+        return
+    order = np.argsort(code, kind="stable")
+    by_item, starts = owner[order], np.concatenate([[0], np.cumsum(np.bincount(code, minlength=width))])
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+    for i in range(n):
+        mine = code[ends[i]:ends[i + 1]]
+        spans = starts[mine + 1] - starts[mine]
+        at = np.repeat(starts[mine] - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
+        yield hits(i, np.bincount(by_item[at], minlength=n))
 
 
 def _items(column) -> list[np.ndarray]:
@@ -261,7 +283,7 @@ def _star(keys: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]
 
 
 def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table, group in whole_groups(batches, ["path", "part"]):
+    for table, group in whole_groups(batches, ["leaf"]):
         keys, sets = table.column("set_key").to_pylist(), _items(table.column("items").to_pylist())
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
         edges = [e for a, b in zip(cuts[:-1], cuts[1:]) if b - a > 1 for e in _star(keys[a:b], sets[a:b])]
@@ -339,14 +361,14 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         F.max(F.struct("doc_id", "text_hash")).alias("reader")), "sets")
     leaves = tree_leaves(sets, runs_for(recall, SIMILARITY))
     pruned = stored(grouped(leaves.join(sets.select("set_key", "brief"), "set_key"), "path", "part")
-                    .mapInArrow(_prune_leaves, "path long, part int, set_key binary"), "likely")
+                    .mapInArrow(_prune_leaves, "leaf long, set_key binary").distinct(), "likely")
     # one document of each likely set is read again for its shingles
     readers = (sets.join(pruned, "set_key", "left_semi")
                .select(F.col("reader.doc_id").alias("_id"), F.col("reader.text_hash").alias("_hash")))
     again = rows["doc_id"].eqNullSafe(readers["_id"]) & (rows["text_hash"] == readers["_hash"])
     items = stored(rows.join(readers, again, "left_semi").select("text")
                    .mapInArrow(_set_rows, "set_key binary, items binary").dropDuplicates(["set_key"]), "items")
-    edges = (grouped(pruned.join(items, "set_key"), "path", "part")
+    edges = (grouped(pruned.join(items, "set_key"), "leaf")
              .mapInArrow(_forests, "a binary, b binary"))
     classes = components(edges)
     links = count_links(classes, items)

@@ -130,11 +130,25 @@ def test_jaccard_join_is_brute_force(spark):
 
 
 def test_large_groups_are_split(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LEAF", 64)
     rng = random.Random(6)
     words = [f"w{i}" for i in range(150)]
-    rows = list(enumerate(near_copies(rng, words, 700, 3)))
-    assert jaccard_join.LEAF < 700                        # the tree must split or block the group
-    check(spark, rows)
+    texts = near_copies(rng, words, 300, 3)               # a dense node, cut into blocks
+    passage = [f"p{i}" for i in range(60)]                # a node that the tree splits on
+    texts += [" ".join(passage + [f"q{rng.randrange(10**6)}" for _ in range(60)]) for _ in range(200)]
+    texts += near_copies(rng, passage + [f"r{i}" for i in range(60)], 5, 2)
+    check(spark, list(enumerate(texts)))
+
+
+def test_similar_of_wide_sets(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 50)).astype(np.uint64)) for _ in range(60)]
+    sets += [s[1:] for s in sets[:20]]
+    narrow = [h.tolist() for _, h in jaccard_join.similar(sets)]
+    monkeypatch.setattr(jaccard_join, "CELLS", 0)
+    assert [h.tolist() for _, h in jaccard_join.similar(sets)] == narrow and any(narrow)
+    assert narrow[0] == [j for j, s in enumerate(sets) if j and len(set(s) | set(sets[0]))
+                         and len(set(s) & set(sets[0])) >= 0.8 * len(set(s) | set(sets[0]))]
 
 
 def test_jaccard_join_empty_and_columns(spark):
