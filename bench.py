@@ -24,7 +24,7 @@ HEADLINE = [
     "quality_report", "sales_trend", "monthly_summary", "word_count_ws", "word_count_space",
     "quotes_clean", "sql_rank", "sql_dept_stats", "region_sales", "category_stats",
     "join_lookup", "agg_group_multi", "agg_count_distinct", "top_k", "gen_orders",
-    "json_purchase_totals", "line_value", "cln_dedup_key",
+    "json_purchase_totals", "line_value", "cln_dedup_key", "snk_dynamic_overwrite",
 ]
 
 
