@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 # Fixed values: (verdict, host, path) of the rules.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -60,7 +62,7 @@ def levels(host_: Column) -> tuple[Column, Column]:
     return F.when(long, last(3)).otherwise(last(2)), F.when(long, last(2)).otherwise(last(1))
 
 
-def _weight(groups: DataFrame) -> Column:
+def _weight(groups: DataFrame) -> float:
     """Pseudo pages of the prior of rows (n, bad, prior): method of moments
     for the beta-binomial, from the spread of rates around their priors."""
     spread = F.sum(F.when(F.col("n") > 0, F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("prior"), F.lit(2.0))))
@@ -69,25 +71,28 @@ def _weight(groups: DataFrame) -> Column:
     total, squares = F.sum("n"), F.sum(F.col("n") * F.col("n"))
     rho = F.try_divide(spread - noise * k, noise * (total - F.try_divide(squares, total) - k))
     bounded = F.least(F.greatest(F.coalesce(rho, F.lit(0.001)), F.lit(0.001)), F.lit(0.5))
-    return groups.agg((1.0 / bounded - 1.0).alias("w")).select("w").scalar()
+    return float(groups.agg((1.0 / bounded - 1.0).alias("w")).first()["w"])
 
 
 def reputations(hosts: DataFrame) -> DataFrame:
-    """(host, labelled, bad_rate, bad_bound) from rows (host, n, bad)."""
+    """(host, labelled, bad_rate, bad_bound) from rows (host, n, bad).
+
+    The counts are written once; what comes to the driver is one number per
+    level (the rate of all labels, the weights of the priors)."""
     domain, suffix = levels(F.col("host"))
-    base = hosts.select("host", domain.alias("domain"), suffix.alias("suffix"),
-                        F.col("n").cast("double").alias("n"), F.col("bad").cast("double").alias("bad"))
-    overall = base.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("n")), F.lit(0.0)).alias("p")).select("p").scalar()
+    base = stored(hosts.select("host", domain.alias("domain"), suffix.alias("suffix"),
+                               F.col("n").cast("double").alias("n"), F.col("bad").cast("double").alias("bad")), "hosts")
+    overall = base.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("n")), F.lit(0.0)).alias("p")).first()["p"]
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    mean = lambda w: (F.col("bad") + w * F.col("prior")) / (F.col("n") + w)
-    by_suffix = base.groupBy("suffix").agg(*sums).withColumn("prior", overall)
+    mean = lambda w: (F.col("bad") + F.lit(w) * F.col("prior")) / (F.col("n") + F.lit(w))
+    by_suffix = base.groupBy("suffix").agg(*sums).withColumn("prior", F.lit(overall))
     suffixes = by_suffix.select("suffix", mean(_weight(by_suffix)).alias("prior"))
     by_domain = base.groupBy("suffix", "domain").agg(*sums).join(suffixes, "suffix")
     domains = by_domain.select("domain", mean(_weight(by_domain)).alias("prior"))
     by_host = base.join(domains, "domain")
     w = _weight(by_host)
     rate = mean(w)
-    deviation = F.sqrt(rate * (1 - rate) / (F.col("n") + w + 1))
+    deviation = F.sqrt(rate * (1 - rate) / (F.col("n") + F.lit(w) + 1))
     return by_host.select("host", F.col("n").cast("long").alias("labelled"), rate.alias("bad_rate"),
                           (rate - BOUND_Z * deviation).alias("bad_bound"))
 
