@@ -34,6 +34,14 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
     return fact.join(dim, keys, how)
 
 
+def serial(df: DataFrame, name: str) -> DataFrame:
+    """Number the rows of each partition in the order of their hash: equal rows
+    get different numbers, and a task that is run again gives the same set of
+    (row, number) whatever order its input comes in."""
+    by_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.sortWithinPartitions(by_hash).withColumn(name, F.monotonically_increasing_id())
+
+
 DEFAULT_HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
 
@@ -68,12 +76,10 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *
     def with_salts(df: DataFrame, name: str) -> DataFrame:
         return (df.join(marked, F.col(key).eqNullSafe(F.col("_hot_key")), "left").drop("_hot_key")
                 .withColumnRenamed("_salts", name))
-    dealt = F.xxhash64(*[F.col(c) for c in left.columns], F.monotonically_increasing_id())
-    salted_left = (with_salts(left, "_salts_l").withColumn("_serial", dealt)
+    salted_left = (with_salts(serial(left, "_serial"), "_salts_l")
                    .withColumn("_salt", F.coalesce(F.pmod("_serial", F.col("_salts_l")), zero)).drop("_serial"))
-    spread_null = F.array(F.pmod(F.xxhash64(*[F.col(c) for c in right.columns], F.monotonically_increasing_id()),
-                                 F.coalesce("_salts_r", F.lit(1).cast("long"))))
-    salted_right = with_salts(right, "_salts_r").withColumn("_own", spread_null)
+    spread_null = F.array(F.pmod("_serial", F.coalesce("_salts_r", F.lit(1).cast("long"))))
+    salted_right = with_salts(serial(right, "_serial"), "_salts_r").withColumn("_own", spread_null).drop("_serial")
     salts = (F.when(F.col(key).isNull(), F.col("_own"))
              .when(F.col("_salts_r").isNotNull(), F.sequence(zero, F.col("_salts_r") - 1)).otherwise(F.array(zero)))
     salted_right = (salted_right.withColumn("_salt", F.explode(salts)).drop("_own")

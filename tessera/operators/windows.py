@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import serial
 from tessera.session import scratch_root
 
 _METHODS = {"rank": F.rank, "row_number": F.row_number, "dense_rank": F.dense_rank}
@@ -46,7 +47,7 @@ def rank_within(df: DataFrame, group: str, value: str, *, descending: bool = Tru
     ties = [F.col(tiebreak).asc()] if tiebreak else []
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
     # The serial number cuts runs of equal rows, too.
-    keyed = df.withColumns({"_spread": spread, "_serial": F.monotonically_increasing_id()})
+    keyed = serial(df, "_serial").withColumn("_spread", spread)
     keys = [F.col(group), v, *ties, F.col("_spread"), F.col("_serial")]
     ranged = keyed.repartitionByRange(chunks, *keys) if chunks else keyed.repartitionByRange(*keys)
     chunked = ranged.withColumn("_chunk", F.spark_partition_id()).checkpoint(eager=True)
