@@ -15,8 +15,8 @@ from ..session import scratch_path
 
 SHINGLE = 5            # words per shingle
 SIMILARITY = 0.8       # Jaccard similarity of near duplicates
-SLICE_ROWS = 512       # rows handled at once inside a task ...
-SLICE_BYTES = 4 << 20  # ... and about as many bytes of text
+SLICE_ROWS = 256       # rows handled at once inside a task ...
+SLICE_BYTES = 1 << 20  # ... and about as many bytes of text
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -63,7 +63,8 @@ def bounded_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
     return df.filter(draw < share).orderBy(draw, *keys).limit(n)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = SLICE_ROWS,
+           size_limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that a slice holds a bounded amount of text (a
     single longer text is a slice of its own)."""
     for batch in batches:
@@ -72,11 +73,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
         size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(size):
-            if i > start and (held + n > SLICE_BYTES or i - start >= SLICE_ROWS):
+            if i > start and (held + n > size_limit or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += int(n)
         yield batch.slice(start)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array, split=pc.utf8_split_whitespace) -> tuple[pa.Array, np.ndarray, np.ndarray]:
