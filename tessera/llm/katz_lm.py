@@ -1,50 +1,69 @@
-"""Katz backoff language model, fitted and evaluated as Spark tables.
-
-Tokens are the words of the lower-cased (A-Z) text and one end per text.  For
-every order k from ORDER down to 2 there is a table of n-grams (context, word,
-count c) with their discounted probability d_c * c / c(context), and a table of
-contexts with their backoff weight.  Counts up to CUT are discounted by Good
-and Turing's estimate, d_r = (r*/r - x) / (1 - x), r* = (r + 1) n_{r+1} / n_r,
-x = (CUT + 1) n_{CUT+1} / n_1; larger counts are trusted.  The weight of a
-context is exactly what is left over:
-
-    (1 - sum of its n-grams' probabilities) /
-    (1 - sum of the same words' probabilities at order k - 1)
-
-a context whose counts are all above CUT holds back one count more, and the
-lowest order is the add-one unigram distribution (c + 1) / (N + V + 1)
-over the V known words and one unknown class, so that every context's
-probabilities sum to one.  A token's probability is that of its n-gram where
-the table has it, else the context's weight times the token's probability at
-the next lower order, evaluated by joins order by order.
-
-Words and contexts are 64-bit hashes.  A task counts equal n-grams (for the
-tables) and equal n-grams of a text (for the scores) before any shuffle, so a
-frequent n-gram is one row per slice of texts; joins against frequent contexts
-are split by the skew join.  The tables are written to the shared folder.
-
-Defined results: null text is empty and has the end only; a null doc_id has
-the empty string's checksum; repeated rows are each learnt from and scored;
-with no training rows every probability is that of the unknown class.
+"""Katz backoff language model of order 2, fitted and evaluated in one shuffle
+of the corpus.
+
+Tokens are the words of the lower-cased (A-Z) text and one end per text; a
+token's context is the token before it (a start before the first).  With c the
+training counts,
+
+    P(w | h) = d_c * c(h, w) / (c(h) + 1)       if c(h, w) > 0
+             = weight(h) * P(w)                 if c(h) > 0
+             = P(w)                             else
+    P(w)     = (c(w) + 1) / (N + V + 1)
+
+evaluated token by token.  Counts up to CUT are discounted by Good and Turing's
+estimate, d_r = (r*/r - x) / (1 - x), r* = (r + 1) n_{r+1} / n_r,
+x = (CUT + 1) n_{CUT+1} / n_1; larger counts are trusted, and every context
+holds back one count more, so that something is always left.  The weight of a
+context is exactly what is left over,
+
+    (1 - sum of P(w | h)) / (1 - sum of P(w))   over the w seen after h,
+
+and P(w) sums to one over the V known words and one unknown class, so that
+every context's probabilities sum to one.
+
+Work.  The unigram table is a grouped count.  Its most frequent words (at most
+2^HEAD_BITS, a fixed bound) go to every task; a shard gets the counts of the
+rarer words that it meets by a join.  Tokens are dealt to shards by context, as
+packed arrays per slice of texts (equal tokens of a text counted, words and
+contexts named once per slice).  A shard merges its n-grams (this is the
+partitioned n-gram table), scores what needs no global number, and keeps, per
+text, how often each count up to CUT occurred and which contexts it backed off
+from.  When all shards are written, the discounts follow from their counts of
+counts, and one map finishes the scores.
+
+Hot contexts (more than `limit` tokens) are split over several shards by word,
+their sums are merged before the finish; hot n-grams are counted ahead and dealt
+by text.  There are at most 2^20 of either, whatever the corpus.
+
+Words are 64-bit hashes.  Defined results: null text is empty and has the end
+only; a null doc_id has the empty string's checksum; repeated rows are each
+learnt from and scored; with no training rows every probability is that of the
+unknown class.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import hash_words, mix, slices, split_words, stored
 
-ORDER = 2
 CUT = 5                 # counts above are not discounted
 FOLDS, HELD_OUT = 7, 2  # crc32(doc_id) mod FOLDS == HELD_OUT is not learnt from
 START, END = np.uint64(1), np.uint64(2)
+HEAD_BITS = 20          # frequent words that every task holds
+SHARD_TOKENS = 3_000_000
+PACK_ROWS, PACK_BYTES = 4096, 8 << 20    # texts of one packed slice
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def token_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,58 +78,33 @@ def token_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, offsets + np.arange(n + 1)
 
 
-def contexts(tokens: np.ndarray, offsets: np.ndarray, order: int) -> list[np.ndarray]:
-    """For k = 2 .. order, the hash of the k - 1 tokens before each token
-    (START before the first)."""
-    out, before, hashed = [], tokens, np.zeros(len(tokens), np.uint64)
-    first = np.zeros(len(tokens), bool)
-    first[offsets[:-1]] = True
-    for _ in range(order - 1):
-        before = np.concatenate([[START], before[:-1]]) if len(before) else before
-        before = np.where(first, START, before)
-        hashed = mix(hashed * np.uint64(0x9E3779B97F4A7C15) + before)
-        out.append(hashed)
+def before(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The token before each token, START before a text's first."""
+    out = np.concatenate([[START], tokens[:-1]]) if len(tokens) else tokens
+    out[offsets[:-1]] = START
     return out
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for part in slices(batches, "text"):
+    for part in slices(batches, "text", PACK_ROWS, PACK_BYTES):
         tokens, offsets = token_hashes(part.column("text"))
-        yield part, tokens, offsets, np.repeat(np.arange(part.num_rows), np.diff(offsets))
+        yield part, tokens, before(tokens, offsets), np.repeat(np.arange(part.num_rows), np.diff(offsets))
 
 
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _counter(order: int):
-    """Rows (context, shorter, word, n) of the training texts, equal ones of a
-    slice counted; shorter is the next lower order's context (0: none)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, tokens, offsets, row in _texts(batches):
-            train = ~part.column("held_out").to_numpy(zero_copy_only=False)[row]
-            none = np.zeros(len(tokens), np.uint64)
-            shorter, context = [none, none, *contexts(tokens, offsets, order)][-2:]
-            c, s, w = context[train], shorter[train], tokens[train]
-            _, at, n = np.unique(mix(c * np.uint64(0x9E3779B97F4A7C15) + w), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([_long(c[at]), _long(s[at]), _long(w[at]), pa.array(n)],
-                                             names=["context", "shorter", "word", "n"])
-    return run
+def _pair(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix(h * GOLDEN + w)
 
 
-def _token_rows(order: int):
-    """Rows (row_key, word, context2 ..., n): tokens with their contexts, equal
-    ones of a text counted."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, tokens, offsets, row in _texts(batches):
-            ctx = contexts(tokens, offsets, order)
-            key = mix(mix(ctx[-1] + tokens) + row.astype(np.uint64)) if ctx else mix(tokens + mix(row.astype(np.uint64)))
-            _, at, n = np.unique(key, return_index=True, return_counts=True)
-            owner = part.column("row_key").to_numpy(zero_copy_only=False)[row[at]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(owner), _long(tokens[at]), *[_long(c[at]) for c in ctx], pa.array(n)],
-                names=["row_key", "word", *[f"context{k}" for k in range(2, order + 1)], "n"])
-    return run
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (word, n) of the training texts, equal words of a slice counted."""
+    for part, tokens, _, row in _texts(batches):
+        train = ~part.column("held_out").to_numpy(zero_copy_only=False)[row]
+        words, n = np.unique(tokens[train], return_counts=True)
+        yield pa.RecordBatch.from_arrays([_long(words), pa.array(n)], names=["word", "n"])
 
 
 def good_turing(n: dict[int, int]) -> dict[int, float]:
@@ -126,81 +120,299 @@ def good_turing(n: dict[int, int]) -> dict[int, float]:
     return out
 
 
-def _discounted(c: Column, d: dict[int, float]) -> Column:
-    out = c.cast("double")
-    for r, x in d.items():
-        out = F.when(c == r, F.lit(x * r)).otherwise(out)
-    return out
+def _columns(df: DataFrame) -> list[np.ndarray]:
+    """A bounded table's two long columns on the driver, as packed bytes."""
+    a, b = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([c.to_numpy().tobytes()], pa.binary()) for c in batch.columns],
+                                                 names=["a", "b"])
+    rows = df.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).mapInArrow(run, "a binary, b binary").collect()
+    return [np.frombuffer(b"".join(bytes(r[k]) for r in rows), np.int64) for k in ("a", "b")]
+
+
+@dataclass
+class Plan:
+    """What every task knows: frequent words, hot contexts and n-grams."""
+    shards: int
+    limit: int
+    unknown: float                       # probability of one unknown word
+    head: np.ndarray                     # frequent words, sorted
+    head_n: np.ndarray
+    hot: np.ndarray                      # hot contexts, sorted
+    hot_n: np.ndarray
+    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))   # hot n-grams, sorted
+    pairs_n: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+
+    @staticmethod
+    def find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(sorted_keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+        return at, sorted_keys[at] == keys
+
+    def shard_of(self, h: np.ndarray, w: np.ndarray, row_key: np.ndarray) -> np.ndarray:
+        """A context's shard; a hot context has several, a word is in one of
+        them; a hot n-gram goes where its text says."""
+        at, is_hot = self.find(self.hot, h)
+        split = np.ones(len(h), np.uint64)
+        if len(self.hot):
+            split[is_hot] = (-(-self.hot_n[at[is_hot]] // self.limit)).astype(np.uint64)
+        key = mix(h + GOLDEN * (mix(w ^ h) % split))
+        dealt = self.find(self.pairs, _pair(h, w))[1]
+        key = np.where(dealt, mix(row_key), key)
+        return (key % np.uint64(self.shards)).astype(np.int32)
+
+
+def _ahead(plan: Plan):
+    """Rows (shard, context, word, n): rarer words that a shard meets (n 0),
+    and the counts of n-grams of two hot words (shard -1)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, tokens, ctx, row in _texts(batches):
+            keys = part.column("row_key").to_numpy().view(np.uint64)[row]
+            rare = ~plan.find(plan.head, tokens)[1]
+            shard = plan.shard_of(ctx[rare], tokens[rare], keys[rare])
+            _, at = np.unique(mix(tokens[rare] * GOLDEN + shard.astype(np.uint64)), return_index=True)
+            zero = np.zeros(len(at), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shard[at]), pa.array(zero), _long(tokens[rare][at]), pa.array(zero)],
+                                             names=["shard", "context", "word", "n"])
+            train = ~part.column("held_out").to_numpy(zero_copy_only=False)[row]
+            both = train & plan.find(plan.hot, ctx)[1] & plan.find(plan.hot, tokens)[1]
+            _, at, n = np.unique(_pair(ctx[both], tokens[both]), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), -1, np.int32)), _long(ctx[both][at]), _long(tokens[both][at]),
+                                              pa.array(n)], names=["shard", "context", "word", "n"])
+    return run
+
+
+PACKED = ("shard int, row_keys binary, held binary, contexts binary, runs binary, words binary, word_at binary, row_at binary, "
+          "times binary")
+
+
+def _narrow(x: np.ndarray) -> bytes:
+    """Small numbers in one, two or four bytes each, compressed."""
+    most = int(x.max(initial=0))
+    return zstandard.compress(x.astype(np.uint8 if most < 256 else np.uint16 if most < 65536 else np.uint32).tobytes(), 1)
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    raw = zstandard.decompress(data)
+    return np.frombuffer(raw, {n: np.uint8, 2 * n: np.uint16}.get(len(raw), np.uint32)).astype(np.int64)
+
+
+def _pack(plan: Plan):
+    """One row per slice and shard: tokens in the order of their context."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, tokens, ctx, row in _texts(batches):
+            row_keys = part.column("row_key").to_numpy().view(np.uint64)
+            held = np.packbits(part.column("held_out").to_numpy(zero_copy_only=False)).tobytes()
+            _, at, times = np.unique(mix(_pair(ctx, tokens) + row.astype(np.uint64)), return_index=True, return_counts=True)
+            tokens, ctx, row = tokens[at], ctx[at], row[at]
+            shard = plan.shard_of(ctx, tokens, row_keys[row])
+            order = np.lexsort((ctx, shard))
+            cuts = np.searchsorted(shard[order], np.arange(plan.shards + 1))
+            out: list[list] = [[] for _ in range(9)]
+            for s in np.flatnonzero(np.diff(cuts)):
+                own = order[cuts[s]:cuts[s + 1]]
+                h, first = np.unique(ctx[own], return_index=True)
+                w, word_at = np.unique(tokens[own], return_inverse=True)
+                texts, row_at = np.unique(row[own], return_inverse=True)
+                flags = np.unpackbits(np.frombuffer(held, np.uint8), count=len(row_keys))[texts]
+                for column, value in zip(out, (int(s), row_keys[texts].tobytes(), np.packbits(flags).tobytes(), h.tobytes(),
+                                               _narrow(np.diff(np.append(first, len(own)))), w.tobytes(),
+                                               _narrow(word_at), _narrow(row_at), _narrow(times[own]))):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]],
+                                             names=[c.split()[0] for c in PACKED.split(", ")])
+    return run
+
+
+MERGED = ("row_keys binary, n_tokens binary, n_known binary, base binary, fixed binary, small binary, event_row binary, event_at binary, "
+          "event_times binary, event_context binary, event_sums binary, hot_context binary, hot_sums binary, counts array<long>")
+SUMS = CUT + 3          # per context: n-grams of count 1 .. CUT, tokens of larger counts, sum of P(w), total
+
+
+def _merge(plan: Plan):
+    def run(packed: pd.DataFrame, rare: pd.DataFrame) -> pd.DataFrame:
+        if not len(packed):
+            return pd.DataFrame(columns=[c.split()[0] for c in MERGED.split(", ")])
+        keys, held, ctx, word, row, times, base_row = [], [], [], [], [], [], 0
+        for r in packed.itertuples(index=False):
+            own = np.frombuffer(r.row_keys, np.uint64)
+            runs = _wide(r.runs, len(r.contexts) // 8)
+            n = int(runs.sum())
+            keys.append(own)
+            held.append(np.unpackbits(np.frombuffer(r.held, np.uint8), count=len(own)).astype(bool))
+            ctx.append(np.repeat(np.frombuffer(r.contexts, np.uint64), runs))
+            word.append(np.frombuffer(r.words, np.uint64)[_wide(r.word_at, n)])
+            row.append(_wide(r.row_at, n).astype(np.int32) + np.int32(base_row))
+            times.append(_wide(r.times, n).astype(np.int32))
+            base_row += len(own)
+        del packed
+        keys, held, ctx, word, row, times = map(np.concatenate, (keys, held, ctx, word, row, times))
+        # n-grams of this shard, with their training counts
+        pair, first, gram = np.unique(_pair(ctx, word), return_index=True, return_inverse=True)
+        h, w = ctx[first], word[first]
+        del ctx, word
+        c = np.bincount(gram, weights=np.where(held[row], 0, times), minlength=len(pair)).astype(np.int64)
+        at, ahead = plan.find(plan.pairs, pair)
+        if ahead.any():
+            c[ahead] = plan.pairs_n[at[ahead]]
+        at, known = plan.find(plan.head, w)
+        c_w = np.where(known, plan.head_n[at] if len(plan.head_n) else 0, 0)
+        order = np.argsort(rare["word"].to_numpy().view(np.uint64)) if len(rare) else np.zeros(0, np.int64)
+        rare_w = rare["word"].to_numpy().view(np.uint64)[order] if len(rare) else np.zeros(0, np.uint64)
+        at, in_rare = plan.find(rare_w, w)
+        if in_rare.any():
+            c_w[in_rare] = rare["c"].to_numpy()[order][at[in_rare]]
+        p = (c_w + 1) * plan.unknown
+        # contexts
+        contexts, of = np.unique(h, return_inverse=True)
+        own = ~ahead                                      # n-grams counted ahead are added once, at the end
+        sums = np.zeros((len(contexts), SUMS))
+        for r in range(1, CUT + 1):
+            sums[:, r - 1] = np.bincount(of, weights=own & (c == r), minlength=len(contexts))
+        sums[:, CUT] = np.bincount(of, weights=np.where(own & (c > CUT), c, 0), minlength=len(contexts))
+        sums[:, CUT + 1] = np.bincount(of, weights=np.where(own & (c > 0), p, 0.0), minlength=len(contexts))
+        total = np.bincount(of, weights=np.where(own, c, 0), minlength=len(contexts))
+        at, is_hot = plan.find(plan.hot, contexts)
+        if is_hot.any():
+            total[is_hot] = plan.hot_n[at[is_hot]]
+        sums[:, CUT + 2] = total
+        # texts
+        n_rows, weight = len(keys), times.astype(float)
+        add = lambda value: np.bincount(row, weights=value, minlength=n_rows)
+        log_p = np.log10(p)
+        seen = c > 0
+        fixed = np.where(seen, np.log10(np.maximum(c, 1) / (total[of] + 1)), log_p)
+        small = np.stack([add(np.where(c[gram] == r, times, 0)) for r in range(1, CUT + 1)], axis=1)
+        backed = ~seen & (total[of] > 0)                  # these take their context's weight, too
+        events = np.flatnonzero(backed[gram])
+        used, event_at = np.unique(of[gram[events]], return_inverse=True)
+        return pd.DataFrame([{
+            "row_keys": keys.tobytes(), "n_tokens": add(weight).astype(np.int64).tobytes(),
+            "n_known": add(np.where(c_w[gram] > 0, times, 0)).astype(np.int64).tobytes(),
+            "base": add(weight * log_p[gram]).tobytes(), "fixed": add(weight * fixed[gram]).tobytes(),
+            "small": small.astype(np.int32).tobytes(), "event_row": row[events].astype(np.int32).tobytes(),
+            "event_at": event_at.astype(np.int32).tobytes(), "event_times": times[events].astype(np.int32).tobytes(),
+            "event_context": contexts[used].tobytes(), "event_sums": sums[used].tobytes(),
+            "hot_context": contexts[is_hot].tobytes(), "hot_sums": sums[is_hot].tobytes(),
+            "counts": np.bincount(np.minimum(c[own & seen], CUT + 2), minlength=CUT + 3)[1:CUT + 2]}])
+    return run
+
+
+def _hot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for h, s in zip(batch.column("hot_context").to_pylist(), batch.column("hot_sums").to_pylist()):
+            sums = np.frombuffer(s, float).reshape(-1, SUMS)
+            yield pa.RecordBatch.from_arrays([_long(np.frombuffer(h, np.uint64).copy()), *[pa.array(sums[:, k]) for k in range(CUT + 2)]],
+                                             names=["context", *[f"s{k}" for k in range(CUT + 2)]])
+
+
+def _finish(discount: dict[int, float], hot: np.ndarray, hot_sums: np.ndarray):
+    """Rows (row_key, n_tokens, n_known, base_score, score) of one shard."""
+    rate = np.array([discount[r] for r in range(1, CUT + 1)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                fixed = np.frombuffer(r["fixed"], float)
+                score = fixed + np.frombuffer(r["small"], np.int32).reshape(-1, CUT) @ np.log10(rate)
+                contexts, sums = np.frombuffer(r["event_context"], np.uint64), np.frombuffer(r["event_sums"], float).reshape(-1, SUMS).copy()
+                at, is_hot = Plan.find(hot, contexts)
+                if is_hot.any():
+                    sums[is_hot, :CUT + 2] = hot_sums[at[is_hot]]
+                kept = sums[:, :CUT] @ (rate * np.arange(1, CUT + 1)) + sums[:, CUT]
+                weight = np.log10((1 - kept / (sums[:, CUT + 2] + 1)) / (1 - sums[:, CUT + 1]))
+                extra = weight[np.frombuffer(r["event_at"], np.int32)] * np.frombuffer(r["event_times"], np.int32)
+                score = score + np.bincount(np.frombuffer(r["event_row"], np.int32), weights=extra, minlength=len(score))
+                yield pa.RecordBatch.from_arrays(
+                    [_long(np.frombuffer(r["row_keys"], np.uint64)), pa.array(np.frombuffer(r["n_tokens"], np.int64)),
+                     pa.array(np.frombuffer(r["n_known"], np.int64)), pa.array(np.frombuffer(r["base"], float)), pa.array(score)],
+                    names=["row_key", "n_tokens", "n_known", "base_score", "score"])
+    return run
 
 
 class Katz:
-    """Fitted tables: unigrams (word, c, p), and per order k >= 2 n-grams
-    (context, word, p) and contexts (context, weight)."""
-
-    def __init__(self, rows: DataFrame, order: int = ORDER):
-        self.order = order
-        schema = "context long, shorter long, word long, n long"
-        uni = rows.select("text", "held_out").mapInArrow(_counter(1), schema)
-        uni = stored(uni.groupBy("word").agg(F.sum("n").alias("c")), "unigrams")
-        total = uni.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-        self.tokens, self.words = int(total["n"]), int(total["v"])
-        self.unknown = 1.0 / (self.tokens + self.words + 1)
-        self.unigrams = uni.withColumn("p", (F.col("c") + 1) * F.lit(self.unknown))
-        self.ngrams: dict[int, DataFrame] = {}
-        self.weights: dict[int, DataFrame] = {}
-        for k in range(2, order + 1):
-            self._fit(k, rows.select("text", "held_out").mapInArrow(_counter(k), schema))
-
-    def _fit(self, k: int, counted: DataFrame) -> None:
-        grams = stored(counted.groupBy("context", "word").agg(F.sum("n").alias("c"), F.first("shorter").alias("shorter")),
-                       f"grams-{k}")
-        seen = {int(r["c"]): int(r["n"]) for r in
-                grams.filter(F.col("c") <= CUT + 1).groupBy("c").agg(F.count("*").alias("n")).collect()}
-        mass = _discounted(F.col("c"), good_turing(seen))
-        if k == 2:
-            wide = grams.join(self.unigrams.select("word", F.col("p").alias("low")), "word")
-        else:   # the same word was seen after the shorter context, too
-            lower = self.ngrams[k - 1].join(self.weights[k - 1], "context")
-            wide = grams.join(lower.select(F.col("context").alias("shorter"), "word", (F.col("mass") / F.col("total")).alias("low")),
-                              ["shorter", "word"])
-        sums = wide.groupBy("context").agg(F.sum("c").cast("double").alias("c"), F.sum(mass).alias("kept"), F.sum("low").alias("low"))
-        total = F.when(F.col("kept") < F.col("c"), F.col("c")).otherwise(F.col("c") + 1)
-        self.weights[k] = stored(sums.select("context", total.alias("total"),
-                                             ((1 - F.col("kept") / total) / (1 - F.col("low"))).alias("weight")), f"weights-{k}")
-        self.ngrams[k] = grams.select("context", "word", mass.alias("mass"))
-
-    def score(self, rows: DataFrame) -> DataFrame:
-        """Per row_key: n_tokens, n_known, base_score, score (log10)."""
-        ctx = [f"context{k} long" for k in range(2, self.order + 1)]
-        out = rows.select("row_key", "text").mapInArrow(
-            _token_rows(self.order), ", ".join(["row_key long", "word long", *ctx, "n long"]))
-        out = out.join(self.unigrams, "word", "left")
-        base = F.coalesce("p", F.lit(self.unknown))
-        p = base
-        for k in range(2, self.order + 1):
-            grams = self.ngrams[k].withColumnsRenamed({"context": f"context{k}", "mass": f"mass{k}"})
-            weights = self.weights[k].withColumnsRenamed({"context": f"context{k}", "total": f"total{k}", "weight": f"weight{k}"})
-            out = out.join(grams, [f"context{k}", "word"], "left").join(weights, f"context{k}", "left")
-            p = (F.when(F.col(f"mass{k}").isNotNull(), F.col(f"mass{k}") / F.col(f"total{k}"))
-                 .when(F.col(f"weight{k}").isNotNull(), F.col(f"weight{k}") * p).otherwise(p))
-        return out.groupBy("row_key").agg(
-            F.sum("n").alias("n_tokens"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("n_known"),
-            F.sum(F.col("n") * F.log10(base)).alias("base_score"), F.sum(F.col("n") * F.log10(p)).alias("score"))
+    """Model fitted on rows (row_key, text, held_out) and the scores of all of
+    them: ``scores`` has (row_key, n_tokens, n_known, base_score, score)."""
+
+    def __init__(self, rows: DataFrame, shard_tokens: int = SHARD_TOKENS):
+        words = stored(rows.select("text", "held_out").mapInArrow(_count_words, "word long, n long")
+                       .groupBy("word").agg(F.sum("n").alias("c")), "unigrams")
+        total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+        self.unigrams, self.tokens, self.words = words, int(total["n"]), int(total["v"])
+        plan = self.plan = self._plan(shard_tokens)
+        rows = rows.select("row_key", "text", "held_out")
+        ahead = rows.mapInArrow(_ahead(plan), "shard int, context long, word long, n long")
+        ahead = stored(ahead.groupBy("shard", "context", "word").agg(F.sum("n").alias("n")), "ahead")
+        hot_pairs = ahead.filter((F.col("shard") < 0) & (F.col("n") > plan.limit)).toPandas()    # at most tokens / limit
+        if len(hot_pairs):
+            h, w = (hot_pairs[k].to_numpy().view(np.uint64) for k in ("context", "word"))
+            pair = _pair(h, w)
+            order = np.argsort(pair)
+            plan.pairs, plan.pairs_n = pair[order], hot_pairs["n"].to_numpy()[order]
+        rare = ahead.filter("shard >= 0").select("shard", "word").join(words, "word")
+        packed = rows.mapInArrow(_pack(plan), PACKED)
+        merged = packed.groupBy("shard").cogroup(rare.groupBy("shard")).applyInPandas(_merge(plan), MERGED)
+        self.shards = stored(merged, "katz-shards")
+        counts = [F.sum(F.col("counts")[k]).alias(str(k + 1)) for k in range(CUT + 1)]
+        self.discount = good_turing({int(k): int(v or 0) for k, v in self.shards.agg(*counts).first().asDict().items()})
+        hot = (self.shards.select("hot_context", "hot_sums").mapInArrow(
+            _hot_rows, ", ".join(["context long", *[f"s{k} double" for k in range(CUT + 2)]]))
+            .groupBy("context").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(CUT + 2)])).toPandas()
+        contexts = hot["context"].to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(contexts)
+        contexts, sums = contexts[order], hot[[f"s{k}" for k in range(CUT + 2)]].to_numpy(float)[order].copy()
+        if len(hot_pairs):                                # each adds its tokens and its word's P(w) once
+            at, _ = Plan.find(contexts, h)
+            np.add.at(sums[:, CUT], at, hot_pairs["n"].to_numpy())
+            in_head, _ = Plan.find(plan.head, w)
+            np.add.at(sums[:, CUT + 1], at, (plan.head_n[in_head] + 1) * plan.unknown)
+        self.scores = (self.shards.mapInArrow(_finish(self.discount, contexts, sums),
+                                              "row_key long, n_tokens long, n_known long, base_score double, score double")
+                       .groupBy("row_key").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]))
+
+    def _plan(self, shard_tokens: int) -> Plan:
+        """Frequent words: the most frequent powers of two of counts that
+        together are at most 2^HEAD_BITS words."""
+        level = F.floor(F.log2("c")).cast("int")
+        least, held = 63, 0
+        for r in sorted(self.unigrams.groupBy(level.alias("k")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["k"]):
+            held += r["n"]
+            if held > 1 << HEAD_BITS:
+                break
+            least = r["k"]
+        limit = max(1, shard_tokens // 8, self.tokens >> 20)
+        frequent = self.unigrams.filter((F.col("c") >= F.lit(float(2**least))) | (F.col("c") > limit))
+        head, n = _columns(frequent.select("word", "c"))
+        head = head.view(np.uint64)
+        order = np.argsort(head)
+        head, n = head[order], n[order]
+        # as a context, START is as frequent as END; END is none
+        end, found = Plan.find(head, np.array([END]))
+        hot = (n > limit) & (head != END)
+        contexts, many = head[hot], n[hot]
+        if found[0] and n[end[0]] > limit:
+            contexts, many = np.append(contexts, START), np.append(many, n[end[0]])
+        order = np.argsort(contexts)
+        shards = max(1, math.ceil(self.tokens * FOLDS / (FOLDS - 1) / shard_tokens))
+        return Plan(shards, limit, 1.0 / (self.tokens + self.words + 1), head, n, contexts[order], many[order])
 
 
 def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score."""
     rows = docs.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("row_key"),
                        held_out().alias("held_out"), "text")
-    model = Katz(rows)
-    scores = model.score(rows)
+    model = Katz(rows, shard_tokens)
     known = rows.groupBy("row_key", "doc_id", "held_out").agg(F.count("*").alias("copies"))
-    joined = known.join(scores, "row_key").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    joined = known.join(model.scores, "row_key").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     per = lambda c: (F.col(c) / F.col("copies")).alias(c)
     return joined.select("doc_id", "held_out", per("n_tokens").cast("long").alias("n_tokens"), per("n_known").cast("long").alias("n_known"),
                          F.lit(model.tokens).cast("long").alias("train_tokens"), per("base_score"), per("score"))

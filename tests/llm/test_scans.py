@@ -123,7 +123,7 @@ def fit_brute(rows, held):
     for (a, w), c in b.items():
         kept[a] += c * d.get(c, 1)
         lower[a] += base(w)
-    total = {a: c if kept[a] < c else c + 1 for a, c in h.items()}
+    total = {a: c + 1 for a, c in h.items()}
 
     def prob(a, w):
         if b[a, w]:
@@ -132,14 +132,18 @@ def fit_brute(rows, held):
     return tokens, u, n, base, prob, total
 
 
-def test_katz_is_brute_force_and_normalised(spark):
+@pytest.mark.parametrize("shard_tokens, head_bits", [(4_000_000, 20), (6000, 6), (800, 0)])
+def test_katz_is_brute_force_and_normalised(spark, monkeypatch, shard_tokens, head_bits):
+    """One shard; many shards with hot contexts, hot n-grams and rarer words
+    joined; hardly anything but hot and rare ones."""
+    monkeypatch.setattr(katz_lm, "HEAD_BITS", head_bits)
     rows = [(r["doc_id"], r["text"]) for r in documents(spark, SF).collect()]
     rows += [(901, None), (902, ""), (903, "\x0b A\x0cb \u2003É\u00a0x"), (5, rows[5][1]), (None, "The the THE"), (904, "again " * 30_000)]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows]
     tokens, u, n, base, prob, total = fit_brute(rows, held)
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, word int")
     got = collections.defaultdict(list)
-    for r in katz_lm.score_documents(df).collect():
+    for r in katz_lm.score_documents(df, shard_tokens).collect():
         got[r["doc_id"]].append(r)
     assert sum(map(len, got.values())) == len(rows)
     for (i, _), w, out in zip(rows, tokens, held):
@@ -151,20 +155,6 @@ def test_katz_is_brute_force_and_normalised(spark):
         assert sum(prob(a, w) for w in u) + prob(a, "\0unknown") == pytest.approx(1.0, abs=1e-9)
 
 
-def test_katz_of_higher_order(spark):
-    rows = [(i, t) for i, t in enumerate(["a b c", "a b d", "a b c d", "c b c", "b c b a"] * 3)]
-    from pyspark.sql import functions as F
-    df = spark.createDataFrame(rows, "doc_id long, text string").select(
-        F.xxhash64("doc_id").alias("row_key"), "text", F.lit(False).alias("held_out"))
-    model = katz_lm.Katz(df, order=3)
-    grams = model.ngrams[3].join(model.weights[3], "context").selectExpr("context", "mass / total as p")
-    sums = {r["context"]: r["s"] for r in grams.groupBy("context").agg(F.sum("p").alias("s")).collect()}
-    assert all(0 < s < 1 for s in sums.values())
-    probe = spark.createDataFrame([(1, "a b c"), (2, "a b a")], "row_key long, text string")
-    got = {r["row_key"]: r["score"] for r in model.score(probe).collect()}
-    assert got[1] > got[2] > -20
-
-
 def test_katz_without_training_rows(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     df = spark.createDataFrame([(held, "a b")], "doc_id long, text string")
