@@ -62,7 +62,7 @@ FOLDS, HELD_OUT = 7, 2  # crc32(doc_id) mod FOLDS == HELD_OUT is not learnt from
 START, END = np.uint64(1), np.uint64(2)
 HEAD_BITS = 20          # frequent words that every task holds
 SHARD_TOKENS = 3_000_000
-PACK_ROWS, PACK_BYTES = 4096, 8 << 20    # texts of one packed slice
+PACK_ROWS, PACK_BYTES = 4096, 5 << 20    # texts of one packed slice
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -88,6 +88,7 @@ def before(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for part in slices(batches, "text", PACK_ROWS, PACK_BYTES):
         tokens, offsets = token_hashes(part.column("text"))
+        pa.default_memory_pool().release_unused()
         yield part, tokens, before(tokens, offsets), np.repeat(np.arange(part.num_rows), np.diff(offsets))
 
 
@@ -250,6 +251,7 @@ def _merge(plan: Plan):
             times.append(_wide(r.times, n).astype(np.int32))
             base_row += len(own)
         del packed
+        pa.default_memory_pool().release_unused()
         keys, held, ctx, word, row, times = map(np.concatenate, (keys, held, ctx, word, row, times))
         # n-grams of this shard, with their training counts
         pair, first, gram = np.unique(_pair(ctx, word), return_index=True, return_inverse=True)
