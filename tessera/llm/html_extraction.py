@@ -68,7 +68,10 @@ SIDE_PATHS = (("nav", "ul", "li"), ("nav", "a"), ("div.menu", "ul", "li"), ("ul.
               ("div.social", "p"), ("div.tags", "li"), ("noscript", "p"), ("noscript",))
 SIDE_TAGS = frozenset("nav header footer aside form button select textarea dialog menu noscript head title".split())
 
-_TOKEN = re.compile(r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
+# Attributes as HTML reads them: a quote opens a value only directly after =,
+# any other quote is part of a name or of an unquoted value.
+_ATTRS = r"""(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)?+)*+"""
+_TOKEN = re.compile(r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>" + _ATTRS + r")(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 

@@ -209,6 +209,15 @@ def model(spark):
     return html_extraction.train(html_extraction.sample(documents(spark, "/root/testdata/sf0.01", "pages"), 120))
 
 
+def test_stray_quotes_in_tags_lose_no_text():
+    long = "more text " * 2000
+    for tag in ("<p title=O'Brien>", '<img alt="5" tall"><p>', '<a href=/x?q="foo bar><p>', "<p it's>", '<p ="x>', '<p a=="x>'):
+        got = html_extraction.blocks(f"<article>{tag}first text</p><p>{long}</p></article>")
+        assert [t for _, t in got] == ["first text", long.strip()], tag
+    got = html_extraction.blocks("<article><p title = 'a > b' class=\"c>\">text</p></article>")
+    assert got == [((("article",), ("p", "class=c")), "text")]
+
+
 def test_blocks_read_broken_markup():
     got = html_extraction.blocks("<p>a&amp;b <b>c<br>d</p>x<script>1<2</script><ul><li>q<li>r &eacute;&#x41;</ul><STYLE>y</style  ><td title='>'>z<!-- un")
     assert [t for _, t in got] == ["a&b c d", "x", "q", "r éA", "z"]
