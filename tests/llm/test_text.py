@@ -44,6 +44,35 @@ def test_rejects_go_and_columns_stay(spark):
     assert language_id.identify_documents(d.limit(0)).count() == 0
 
 
+def test_other_languages_and_junk_are_rejected(spark):
+    rng = random.Random(4)
+    foreign = ["Все люди рождаются свободными и равными в своем достоинстве и правах. " * 8,
+               "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione.",
+               "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。" * 4,
+               "".join(rng.choice("!@#$%^&*()_+{}[]0123456789abcxyz") for _ in range(1000)),
+               "".join(rng.choice("0123456789=%") + rng.choice("abcxyz") for _ in range(500))]
+    known = ["All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience.",
+             "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt."]
+    d = documents(spark, "/root/testdata/sf0.01").select("doc_id", "text", "lang", "source")
+    more = spark.createDataFrame([(10**6 + i, x, None, None) for i, x in enumerate(foreign + known)],
+                                 "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in language_id.identify_documents(d.unionByName(more)).collect()}
+    assert [got[10**6 + i]["accepted"] for i in range(7)] == [False] * 5 + [True] * 2
+    assert [got[10**6 + i]["language"] for i in range(7)] == [None] * 5 + ["en", "de"]
+    assert all(r["accepted"] for i, r in got.items() if i < 10**6)
+
+
+def test_languages_follow_from_declared_values(spark):
+    rng = random.Random(5)
+    words = "tutti gli esseri umani nascono liberi ed eguali in dignità e diritti essi sono dotati di ragione e coscienza".split()
+    texts = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(30)]
+    d = documents(spark, SF).select("doc_id", "text", "lang", "source")
+    more = spark.createDataFrame([(10**6 + i, x, "it" if i < 25 else None, None) for i, x in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string")
+    got = language_id.identify_documents(d.unionByName(more)).filter("doc_id >= 1000000").collect()
+    assert len(got) == 30 and all(r["language"] == r["text_language"] == "it" and r["accepted"] for r in got)
+
+
 def test_page_evidence(spark):
     rows = queries.op9_language_id_pages(spark, SF).collect()
     assert len(rows) == 50 and sum(r["language"] == r["declared"] for r in rows) >= 48
