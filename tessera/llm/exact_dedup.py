@@ -1,7 +1,7 @@
 """Exact dedup against a history held in a minimal perfect hash.
 
-The distinct digests of the history are cut into shards of bounded size by
-their leading bits; each shard is a minimal perfect hash (levels of bit
+The distinct digests of history and batch are cut into shards of bounded size
+by their leading bits; each shard is a minimal perfect hash (levels of bit
 arrays: a key that is alone at its place in a level is settled there, the
 others go to the next level) plus one slot per key that holds the full
 32-byte digest, the winner's locator (its doc_id) and the number of copies.
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from .common import keep_rows, mix, stored, text_hash
 
-SHARD_KEYS = 50_000   # expected digests in a shard
+SHARD_KEYS = 50_000   # expected digests of the larger input in a shard
 GAMMA = 1.5           # bits per key in a level
 MAX_LEVELS = 200
 
@@ -141,9 +141,10 @@ def lookup(batch: DataFrame, index: DataFrame, shards: int) -> DataFrame:
             .applyInPandas(_lookup_shard, schema))
 
 
-def shard_count(groups: DataFrame) -> int:
-    """So many shards that each holds about SHARD_KEYS digests."""
-    return max(1, math.ceil(groups.count() / SHARD_KEYS))
+def shard_count(*inputs: DataFrame) -> int:
+    """So many shards that each holds about SHARD_KEYS digests of the largest
+    input, and no more of any other."""
+    return max(1, math.ceil(max(groups.count() for groups in inputs) / SHARD_KEYS))
 
 
 def winners(history: DataFrame, batch: DataFrame) -> DataFrame:
@@ -153,7 +154,7 @@ def winners(history: DataFrame, batch: DataFrame) -> DataFrame:
     join the history's group; nonmembers group among themselves."""
     old = stored(per_digest(history), "dedup-history")
     new = stored(per_digest(batch), "dedup-batch")
-    shards = shard_count(old)
+    shards = shard_count(old, new)
     index = stored(build_index(old, shards), "dedup-index")
     found = lookup(new, index, shards)
     merged = found.select("digest", F.greatest("winner", "old_winner").alias("keep_id"),

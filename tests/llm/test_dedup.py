@@ -61,6 +61,23 @@ def test_exact_dedup_of_nothing_and_of_one_side(spark):
     assert exact_dedup.exact_dedup(docs(spark, [(None, "a"), (None, "a")])).filter("kept").count() == 1
 
 
+@pytest.mark.parametrize("ids", ["skewed", "null"])
+def test_shards_of_the_batch_are_bounded(spark, monkeypatch, ids):
+    rows = [(0 if i == 0 else 10**12 + i, f"t{i % 900}") for i in range(1000)]
+    rows = [(None if ids == "null" else i, t) for i, t in rows]
+    seen, lookup = [], exact_dedup.lookup
+
+    def spy(batch, index, shards):
+        seen.append((shards, max(r["count"] for r in exact_dedup._sharded(batch, shards).groupBy("shard").count().collect())))
+        return lookup(batch, index, shards)
+    monkeypatch.setattr(exact_dedup, "SHARD_KEYS", 50)
+    monkeypatch.setattr(exact_dedup, "lookup", spy)
+    got = exact_dedup.exact_dedup(docs(spark, rows)).collect()
+    assert [s for s, _ in seen] == [18] and seen[0][1] <= 100
+    assert len(got) == 1000 and sum(r["kept"] for r in got) == 900
+    assert collections.Counter(r["group_size"] for r in got) == {1: 800, 2: 200}
+
+
 def test_one_of_each_keeps_columns(spark):
     d = docs(spark, [(1, "a"), (2, "a"), (2, "a"), (3, None), (4, "")])
     out = exact_dedup.one_of_each(d)
