@@ -11,7 +11,11 @@ html) are labelled by their semantic tags (inside article or main, outside
 boilerplate elements).  Each is also varied: its main text moves to another
 usual container and usual boilerplate (menus, sidebars, notices, forms,
 comments, ...) with words of the sample is put around and inside it, so that
-the labeller learns those paths whatever the words are.  Weights start from a
+the labeller learns those paths whatever the words are.  A page without an
+article or main has no such labels: in its place stand variations of labelled
+pages (of built-in layouts where the sample has none) with their main text in
+a usual container without semantic tags or in that of the page's own longest
+block, between the page's blocks that are boilerplate by their tags or names.  Weights start from a
 fixed seed; the model is a few hundred kB and goes to the tasks in the closure.
 
 Defined results: null html is an empty page with an empty text; blocks of
@@ -53,6 +57,8 @@ CLOSES_P = BLOCK_TAGS - {"label", "button", "option"}
 MAIN_PATHS = (("article",), ("main",), ("main", "article"), ("div.content",), ("div#content",), ("div.post",),
               ("div.article",), ("div.entry-content",), ("section.article-body",), ("div#main", "div.text"),
               ("article.post", "div.body"))
+BARE_PATHS = tuple(p for p in MAIN_PATHS if not {e.partition(".")[0] for e in p} & {"article", "main"}) + (
+    (), ("div",), ("div", "div"), ("table", "tr", "td"), ("table", "tbody", "tr", "td"), ("center",))
 SIDE_PATHS = (("nav", "ul", "li"), ("nav", "a"), ("div.menu", "ul", "li"), ("ul.nav", "li"), ("div#navigation", "p"),
               ("div.breadcrumbs", "span"), ("header", "div"), ("header", "h1"), ("header", "p"), ("div.header", "p"),
               ("div#header", "h2"), ("footer", "p"), ("footer",), ("div.footer", "p"), ("div#footer", "div"), ("aside", "p"),
@@ -315,20 +321,40 @@ def _parse(path: tuple[str, ...]) -> tuple[tuple[str, ...], ...]:
 _SIDE_WORDS = frozenset(f for p in SIDE_PATHS for e in _parse(p) for f in e if "=" in f)
 
 
+def is_side(path: tuple[tuple[str, ...], ...]) -> bool:
+    return any(e[0] in SIDE_TAGS or not _SIDE_WORDS.isdisjoint(e) for e in path)
+
+
 def semantic_labels(page: list) -> np.ndarray:
     """Labels of a page's blocks by its own markup."""
     def main(path) -> bool:
-        names = {f for e in path for f in e}
-        tags = {e[0] for e in path}
-        return bool(tags & {"article", "main"}) and not tags & SIDE_TAGS and not names & _SIDE_WORDS
+        return bool({e[0] for e in path} & {"article", "main"}) and not is_side(path)
     return np.array([main(path) for path, _ in page], float)
 
 
-def varied(page: list, labels: np.ndarray, words: list[str], rng: random.Random) -> tuple[list, np.ndarray]:
+def has_semantics(page: list) -> bool:
+    return any(e[0] in ("article", "main") for path, _ in page for e in path)
+
+
+def built_in(words: list[str], rng: random.Random) -> list:
+    """Main text of usual shape with the given words."""
+    path = (("html",), ("body",), ("article",))
+    tails = [(("h1",),)] * rng.randint(0, 1) + [rng.choice(((("p",),), (("p",),), (("p",),), (("h2",),), (("ul",), ("li",)), (("blockquote",),)))
+                                              for _ in range(rng.randint(1, 12))]
+    out = []
+    for tail in tails:
+        n = rng.choice((2, 5, 10)) if tail[0][0] in ("h1", "h2") else rng.choice((5, 12, 40, 80))
+        start = rng.randrange(max(1, len(words) - n))
+        out.append((path + tail, " ".join(words[start:start + n])))
+    return out
+
+
+def varied(page: list, labels: np.ndarray, words: list[str], rng: random.Random, container=None) -> tuple[list, np.ndarray]:
     """The page with another main container and usual boilerplate before,
     after and inside its main text."""
     body = (("html",), ("body",))
-    container = _parse(rng.choice(MAIN_PATHS))
+    if container is None:
+        container = _parse(rng.choice(MAIN_PATHS))
     bold = {"b", "i", "a", "em", "strong", "span"}
     mains = []
     for (path, text), y in zip(page, labels):
@@ -357,11 +383,26 @@ def varied(page: list, labels: np.ndarray, words: list[str], rng: random.Random)
 def train(pages: list[str], seed: int = 3) -> Labeller:
     rng = random.Random(seed)
     read = [blocks(p) for p in pages]
-    labels = [semantic_labels(p) for p in read]
     words = [w for p in read for _, text in p for w in text.split()[:200]] or ["x"]
-    data = list(zip(read, labels))
-    for p, y in zip(read, labels):
+    labelled = [(p, semantic_labels(p)) for p in read if has_semantics(p)]
+    if read and not any(y.any() for _, y in labelled):
+        labelled += [(p, np.ones(len(p))) for p in (built_in(words, rng) for _ in range(60))]
+    data = list(labelled)
+    for p, y in labelled:
         data += [varied(p, y, words, rng) for _ in range(2)]
+    bases = [(p, y) for p, y in labelled if y.any()]
+    for page in read:
+        if not page or has_semantics(page):
+            continue
+        sides = [is_side(path) for path, _ in page]
+        first = sides.index(False) if False in sides else len(page)
+        before, after = page[:first], [b for b, side in zip(page[first:], sides[first:]) if side]
+        longest = max((b for b, side in zip(page, sides) if not side), key=lambda b: len(b[1]), default=((), ""))[0]
+        own = tuple(e for e in longest if e[0] in ("div", "section", "table", "tbody", "tr", "td", "center"))
+        for k in range(3):
+            p, y = rng.choice(bases) if rng.random() < 0.5 else (main := built_in(words, rng), np.ones(len(main)))
+            p, y = varied(p, y, words, rng, own if k else _parse(rng.choice(BARE_PATHS)))
+            data.append((before + p + after, np.concatenate([np.zeros(len(before)), y, np.zeros(len(after))])))
     return Labeller().fit([(p[:TRAIN_BLOCKS], y[:TRAIN_BLOCKS]) for p, y in data])
 
 

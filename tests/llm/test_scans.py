@@ -244,6 +244,26 @@ def test_unseen_layouts(model):
     assert wrong <= 0.03 * sum(len(y) for _, y in pages)
 
 
+def test_pages_without_semantic_tags():
+    rng, with_tags = random.Random(12), 15
+    words = [f"w{i}" for i in range(400)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    layouts = ["<div class=content>%s</div>", "<table><tr><td>%s</td></tr></table>", "%s"]
+
+    def page(layout):
+        main = [text(rng.randint(20, 60)) for _ in range(rng.randint(2, 6))]
+        side = "".join(f"<li><a>{text(1)}</a>" for _ in range(4))
+        return (f"<html><head><title>{text(4)}</title></head><body><nav><ul>{side}</ul></nav>"
+                + layout % "".join(f"<p>{t}</p>" for t in main) + f"<footer>{text(6)}</footer></body></html>"), main
+    sample = [page(layouts[i % 3])[0] for i in range(150 - with_tags)] + [page("<article>%s</article>")[0] for _ in range(with_tags)]
+    model = html_extraction.train(sample)
+    held = [page(layouts[i % 3]) for i in range(60)]
+    read = [html_extraction.blocks(h) for h, _ in held]
+    found = model.main(read, html_extraction.Features())
+    got = [[t for (_, t), y in zip(p, c) if y] for p, c in zip(read, found)]
+    assert sum(g == main for g, (_, main) in zip(got, held)) >= 57
+
+
 def test_extract(spark, model):
     article = "<article><h1>T &lt; U</h1><p>one\n  two</p><p>th&eacute;<b> re</b>e</article>"
     html = f"<html><head><title>T</title></head><body><nav><ul><li><a>m</a></ul></nav>{article}<footer>f</footer></body></html>"
