@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_rotation, decontamination, exact_dedup, host_reputation, html_extraction, jaccard_join, katz_lm,
-               language_id, secret_scan, sentencepiece_fst)
+from . import (chat_rotation, decontamination, embedding_whitening, exact_dedup, host_reputation, html_extraction,
+               importance_resampling, jaccard_join, katz_lm, language_id, secret_scan, sentencepiece_fst, token_counts)
 from .common import documents
 
 
@@ -55,6 +55,19 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_pages(documents(spark, sf_dir, "pages"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resampling.resample(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.whiten(documents(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_rotation": op1_chat_rotation,
     "op2_exact_dedup": op2_exact_dedup,
@@ -67,6 +80,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op9_language_id_pages": op9_language_id_pages,
     "op10_html_extraction": op10_html_extraction,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_token_counts": op13_token_counts,
 }
 
-ORACLE: dict[str, str] = {"op2_exact_dedup": exact_dedup.SQL, "op7_host_reputation": host_reputation.SQL}
+ORACLE: dict[str, str] = {"op2_exact_dedup": exact_dedup.SQL, "op7_host_reputation": host_reputation.SQL,
+                          "op11_importance_resampling": importance_resampling.SQL}
