@@ -14,8 +14,9 @@
 
 The text is read once and its evidence (one number per language and row) is
 kept in a small table; priors are grouped aggregations over it.  The languages
-are the ISO 639-1 codes that at least MIN_DECLARED rows declare (one grouped
-count).  A row is rejected when it has no letter, when no language explains its
+are the ISO 639-1 codes that any row declares, alone or with a region (en-US,
+pt_BR; one grouped count); a rare one has a small sample and little prior.  A
+row is rejected when it has no letter, when no language explains its
 trigrams of letters better than uniform trigrams do (another language or junk:
 no text_language, no language, no part in the priors), or when no language
 reaches MIN_POSTERIOR.
@@ -40,7 +41,6 @@ from pyspark.sql import functions as F
 from .common import keep_rows, slices, stored, text_hash
 
 LANGUAGES = ("de", "en", "es", "fr")   # where no row declares a language
-MIN_DECLARED = 5           # rows that declare a language before it is one
 UNIFORM = 0.02             # share of uniform trigrams in each language
 SAMPLE_DOCS = 500          # documents per declared language that the text model is fitted on
 CODES = 1 << 16            # hashed byte trigrams
@@ -114,7 +114,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def declared_languages(df: DataFrame) -> dict[str, int]:
     """Languages of the rows (declared) and how many rows declare them."""
     counted = df.filter(F.col("declared").isin(*ISO_LANGUAGES)).groupBy("declared").agg(F.count("*").alias("n"))
-    found = {r["declared"]: r["n"] for r in counted.filter(F.col("n") >= MIN_DECLARED).collect()}
+    found = {r["declared"]: r["n"] for r in counted.collect()}           # as many as there are codes, at most
     return dict(sorted(found.items())) or dict.fromkeys(LANGUAGES, 0)
 
 
@@ -260,10 +260,16 @@ def identify(df: DataFrame, languages: dict[str, int]) -> DataFrame:
     return decided.select(*names, "host", "language", "posterior", "text_language", "accepted")
 
 
+def language_code(declared: Column) -> Column:
+    """The language of a declared value in lower case, without its region."""
+    return F.lower(F.regexp_extract(declared, r"^\s*([A-Za-z]+)(?:[-_].*)?\s*$", 1))
+
+
 def identify_documents(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, declared, language, posterior,
-    text_language, accepted, and the key (doc_id, text_hash) of its row."""
-    rows = docs.select("doc_id", "text", F.col("lang").alias("declared"), F.col("source").alias("host"),
+    """One row per document: doc_id, declared (its language code), language,
+    posterior, text_language, accepted, and the key (doc_id, text_hash) of its
+    row."""
+    rows = docs.select("doc_id", "text", language_code(F.col("lang")).alias("declared"), F.col("source").alias("host"),
                        F.lit(None).cast("string").alias("address"),
                        text_hash().alias("text_hash"), F.xxhash64("doc_id", "text").alias("row_key"))
     return identify(rows, declared_languages(rows)).drop("address", "row_key")
