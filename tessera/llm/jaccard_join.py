@@ -314,22 +314,23 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partners of each set inside one pair of blocks; partners in the same
-    block count where the pair is a block with itself."""
+    """Texts of the partners of each set inside one pair of blocks; partners in
+    the same block count where the pair is a block with itself."""
     for table, group in whole_groups(batches, ["class_key", "low", "high"]):
         keys, sets = table.column("set_key").to_pylist(), _items(table.column("items").to_pylist())
-        own, low, high = (table.column(c).to_numpy() for c in ("own", "low", "high"))
+        own, low, high, texts = (table.column(c).to_numpy() for c in ("own", "low", "high", "texts"))
         n = np.zeros(len(group), np.int64)
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
         for a, b in zip(cuts[:-1], cuts[1:]):
             for i, hits in similar(sets[a:b]):
                 same = own[a + hits] == own[a + i]
-                n[a + i] = same.sum() if low[a] == high[a] else (~same).sum()
+                n[a + i] = texts[a + hits[same if low[a] == high[a] else ~same]].sum()
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(n)], names=["set_key", "links"])
 
 
 def count_links(classes: DataFrame, items: DataFrame) -> DataFrame:
-    """(set_key, links): exact number of partners inside the class."""
+    """(set_key, links): exact number of texts of the partners inside the
+    class.  ``items``: (set_key, items, texts)."""
     sizes = classes.groupBy("class_key").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     rows = (classes.join(sizes, "class_key").withColumn("blocks", blocks)
@@ -349,8 +350,9 @@ def grouped(df: DataFrame, *keys: str) -> DataFrame:
 
 def jaccard_join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """One row per document: doc_id, class_id (largest doc_id of its connected
-    group of near duplicates), links (other shingle sets of similarity >=
-    SIMILARITY), class_size (documents), set_id (largest doc_id among the
+    group of near duplicates), links (other texts whose shingle sets have a
+    similarity >= SIMILARITY, those with the same set included; copies of a text
+    count once), class_size (documents), set_id (largest doc_id among the
     documents with the same shingle set), text_hash, stays (whether it is the
     document that stands for its group)."""
     rows = docs.select("doc_id", "text", text_hash().alias("text_hash"))
@@ -371,13 +373,15 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     edges = (grouped(pruned.join(items, "set_key"), "leaf")
              .mapInArrow(_forests, "a binary, b binary"))
     classes = components(edges)
-    links = count_links(classes, items)
+    # Copies of a text are combined per task first.
+    per_text = embedded.groupBy("set_key", "text_hash").agg(F.max("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    per_set = stored(per_text.groupBy("set_key").agg(F.max(F.struct("doc_id", "text_hash")).alias("first"),
+                                                     F.sum("copies").alias("copies"), F.count("*").alias("texts")), "per-set")
+    links = count_links(classes, items.join(per_set.select("set_key", "texts"), "set_key"))
     found = stored(classes.join(links, "set_key"), "classes")
-    per_set = embedded.groupBy("set_key").agg(F.max(F.struct("doc_id", "text_hash")).alias("first"),
-                                              F.count("*").alias("copies"))
     known = stored(per_set.join(found, "set_key", "left").select(
         "set_key", "first", "copies", F.coalesce("class_key", "set_key").alias("class_key"),
-        F.coalesce("links", F.lit(0).cast("long")).alias("links")), "set-classes")
+        (F.coalesce("links", F.lit(0).cast("long")) + F.col("texts") - 1).alias("links")), "set-classes")
     whole = known.groupBy("class_key").agg(F.max("first").alias("winner"), F.sum("copies").alias("class_size"))
     return (embedded.select("doc_id", "text_hash", "set_key").join(known.join(whole, "class_key"), "set_key")
             .select("doc_id", F.col("winner.doc_id").alias("class_id"), "links", "class_size",

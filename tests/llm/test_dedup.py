@@ -92,23 +92,26 @@ def shingle_set(text):
 
 def brute(rows):
     """doc_id -> (class_id, links, class_size, set_id)"""
-    ids = collections.defaultdict(list)
+    ids, named = collections.defaultdict(list), collections.defaultdict(set)
     for i, t in rows:
         ids[shingle_set(t)].append(i)
+        named[shingle_set(t)].add(t or "")
     sets, parent = list(ids), list(range(len(ids)))
 
     def root(a):
         while parent[a] != a:
             a = parent[a]
         return a
-    links = collections.Counter()
+    # Links are between different texts: those of the own set, too.
+    texts = [len(named[x]) for x in sets]
+    links = collections.Counter({a: n - 1 for a, n in enumerate(texts)})
     for a, x in enumerate(sets):
         for b in range(a):
             common = len(x & sets[b])
             union = len(x) + len(sets[b]) - common
             if union and common >= 0.8 * union - 1e-9:
-                links[a] += 1
-                links[b] += 1
+                links[a] += texts[b]
+                links[b] += texts[a]
                 parent[root(a)] = root(b)
     members = collections.defaultdict(list)
     for a, x in enumerate(sets):
