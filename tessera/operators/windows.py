@@ -2,7 +2,23 @@
 
 ``rank().over(Window.partitionBy(g).orderBy(v))`` sends every row of a group
 to one task.  When one group holds a third of the table that task does a
-third of the work.  ``rank_within`` splits groups instead:
+third of the work.  ``rank_within`` splits groups instead.
+
+``rank`` and ``dense_rank`` of numbers, dates and timestamps (lazy, one
+shuffle of the table, no checkpoint):
+
+1. groups of more than ``hot_rows`` rows (and of more than one
+   MAX_HOT_GROUPS-th of all rows) get chunk bounds from a mergeable quantile
+   sketch of their values; the bounds are a small broadcast table;
+2. a bound cuts a hot group into the rows below it, the rows equal to it and
+   the rows above it.  Rows equal to a bound, and nulls, are ties: their rank
+   is that of the chunk, so they are not shuffled, however many there are;
+3. the other rows are ranked per (group, chunk) and offset by the rows (or
+   distinct values) of the group in the chunks before, which one aggregate of
+   the table counts.  Every row of a chunk checks that count against its
+   window, so bounds that were not the same in both uses raise an error.
+
+Everything else (``row_number``, strings):
 
 1. range-partition on (group, value, tiebreak, row hash): hot groups -- and
    even one hot (group, value) pair -- are cut into several contiguous
@@ -20,26 +36,113 @@ third of the work.  ``rank_within`` splits groups instead:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.joins import serial
 from tessera.session import scratch_root
 
 _METHODS = {"rank": F.rank, "row_number": F.row_number, "dense_rank": F.dense_rank}
+DEFAULT_HOT_ROWS = 1_000_000
+DEFAULT_CHUNKS = 1024          # pieces of a hot group
+MAX_HOT_GROUPS = 1000          # bounds the broadcast tables, with the chunks
+NULLS = -1                     # chunk of the null values
 
 
 def rank_within(df: DataFrame, group: str, value: str, *, descending: bool = True,
                 method: str = "rank", name: str = "rank", tiebreak: str | None = None,
-                chunks: int | None = None) -> DataFrame:
+                chunks: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """Add ``name`` = rank / row_number / dense_rank of ``value`` within
     ``group``, equal to the window function of the same name, without any
     group landing whole in one task.  Nulls are placed as by the window
     (last when descending, first when ascending) and tie with each other;
     ``row_number`` orders ties by ``tiebreak`` (then by a row hash).  A null group
-    is a group of its own; the result is a long."""
+    is a group of its own; the result is a long.
+
+    ``chunks`` is the number of pieces of a hot group; with it and without
+    ``hot_rows`` every group is cut."""
     if method not in _METHODS:
         raise ValueError(f"method must be one of {sorted(_METHODS)}")
+    kind = df.schema[value].dataType
+    if method != "row_number" and isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        if hot_rows is None:
+            hot_rows = 0 if chunks else DEFAULT_HOT_ROWS
+        return _rank_by_bounds(df, group, value, descending, method, name, chunks or DEFAULT_CHUNKS, hot_rows)
+    return _rank_by_range(df, group, value, descending, method, name, tiebreak, chunks)
+
+
+def _bounds(df: DataFrame, group: str, value: str, chunks: int, hot_rows: int) -> DataFrame:
+    """(_group, _bounds) of the hot groups: fewer than MAX_HOT_GROUPS rows of at
+    most ``chunks`` - 1 different values each, ascending."""
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    share = df.select((F.count(F.lit(1)) / F.lit(float(MAX_HOT_GROUPS))).alias("s")).scalar()
+    hot = F.broadcast(counts.where((F.col("_n") > hot_rows) & (F.col("_n") > share))
+                      .select(F.col(group).alias("_group")))
+    rows = df.select(group, value).join(hot, F.col(group).eqNullSafe(F.col("_group")))
+    shares = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
+    sketch = F.percentile_approx(F.when(~_is_nan(df, value), F.col(value)), shares, 20 * chunks)
+    none = F.array().cast(T.ArrayType(df.schema[value].dataType))
+    return rows.groupBy("_group").agg(F.coalesce(F.array_sort(F.array_distinct(sketch)), none).alias("_bounds"))
+
+
+def _is_nan(df: DataFrame, value: str) -> Column:
+    real = isinstance(df.schema[value].dataType, (T.FloatType, T.DoubleType))
+    return F.isnan(value) if real else F.lit(False)
+
+
+def _chunk(value: Column, bounds: Column, nan: Column, chunks: int) -> Column:
+    """2 k for a value between bounds k and k + 1, 2 k + 1 for one equal to
+    bound k + 1 (binary search); NULLS for null; 2 ``chunks`` + 1 for NaN,
+    which is above all; 0 without bounds."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, chunks.bit_length())))])
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) < value, at + step)
+                        .otherwise(at))
+    equal = F.coalesce(F.get(bounds, below) == value, F.lit(False))
+    return (F.when(bounds.isNull(), 0).when(value.isNull(), NULLS).when(nan, 2 * chunks + 1)
+            .otherwise(below * 2 + F.when(equal, 1).otherwise(0)))
+
+
+def _rank_by_bounds(df: DataFrame, group: str, value: str, descending: bool, method: str, name: str,
+                    chunks: int, hot_rows: int) -> DataFrame:
+    val, chunks = F.col(value), max(2, chunks)
+    bounds = F.broadcast(_bounds(df, group, value, chunks, hot_rows))
+
+    def cut(rows: DataFrame) -> DataFrame:
+        marked = rows.join(bounds, F.col(group).eqNullSafe(F.col("_group")), "left")
+        return marked.withColumn("_chunk", _chunk(val, F.col("_bounds"), _is_nan(df, value), chunks))
+
+    counted = cut(df.select(group, value)).where(F.col("_bounds").isNotNull()).groupBy("_group", "_chunk")
+    size = F.count(F.lit(1))
+    # Rows equal to a bound, nulls and NaNs are one value each.
+    values = F.count_distinct(F.when(F.col("_chunk") % 2 == 0, val)) if method == "dense_rank" else F.lit(0).cast("long")
+    sizes = counted.agg(size.alias("_n"), values.alias("_d")).withColumn(
+        "_d", F.when(F.col("_chunk") % 2 == 0, F.col("_d")).otherwise(1))
+    order = F.col("_chunk").desc() if descending else F.col("_chunk").asc()
+    # At most 2 chunks + 1 rows a group.
+    earlier = Window.partitionBy("_group").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(sizes.select(
+        F.col("_group").alias("_of"), F.col("_chunk").alias("_at"), "_n",
+        F.coalesce(F.sum("_d" if method == "dense_rank" else "_n").over(earlier), F.lit(0)).alias("_before")))
+    here = F.col(group).eqNullSafe(F.col("_of")) & (F.col("_chunk") == F.col("_at"))
+
+    rows = cut(df)
+    ties = rows.where(F.col("_bounds").isNotNull() & (F.col("_chunk") % 2 != 0)).join(offsets, here)
+    tied = ties.select(*df.columns, (F.col("_before") + 1).cast("long").alias(name))
+
+    part = Window.partitionBy(group, "_chunk").orderBy(val.desc() if descending else val.asc())
+    whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    others = rows.where(F.col("_bounds").isNull() | (F.col("_chunk") % 2 == 0)).drop("_bounds", "_group")
+    local = (others.withColumn("_local", _METHODS[method]().over(part)).withColumn("_rows", F.count(F.lit(1)).over(whole))
+             .join(offsets, here, "left"))
+    checked = F.when(F.col("_n").isNull() | (F.col("_n") == F.col("_rows")), F.col("_local")).otherwise(
+        F.raise_error(F.lit("chunk bounds differ between the count and the ranks")).cast("int"))
+    ranked = local.select(*df.columns, (checked + F.coalesce("_before", F.lit(0))).cast("long").alias(name))
+    return ranked.unionByName(tied)
+
+
+def _rank_by_range(df: DataFrame, group: str, value: str, descending: bool, method: str, name: str,
+                   tiebreak: str | None, chunks: int | None) -> DataFrame:
     scratch_root(df.sparkSession)  # make sure a checkpoint folder is set
     unb = Window.unboundedPreceding
     val = F.col(value)
