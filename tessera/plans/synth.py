@@ -1,8 +1,9 @@
 """Synthetic retail tables of any size, generated on the executors.
 
-Every value is drawn from the row id (``tessera.functions.hashing.draw``),
-never from ``rand()``: a regenerated partition gives the same rows, and the
-same tables come out at any partitioning.  Ids come from ``spark.range(n)``
+Every value is drawn from the row id, never from ``rand()``: a regenerated
+partition gives the same rows, and the same tables come out at any
+partitioning.  One or two MD5 digests a row give 60-bit numbers
+(``tessera.functions.hashing.numbers``), and each number several draws.  Ids come from ``spark.range(n)``
 or from any DataFrame with an ``id`` column.
 """
 
@@ -12,8 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import as_of_date
-from tessera.functions.hashing import draw_below
-from tessera.operators.sample import sample_by_hash
+from tessera.functions.hashing import numbers, split_draw
 from tessera.sinks.files import write_parquet
 
 # Fixed values of the generator (reference lists and rates).
@@ -30,19 +30,29 @@ NULL_EMAIL_PER_100K = 100        # 0.1%
 NEGATIVE_PRICE_PER_100K = 50     # 0.05%
 NULL_CUSTOMER_PER_100K = 50      # 0.05%
 INACTIVE_PER_100 = 5             # 5% inactive
-DUPLICATE_FRACTION = 0.001       # 0.1% duplicated orders
+DUPLICATES_PER_100K = 100        # 0.1% duplicated orders
+PER = 100_000
 MIN_CUSTOMERS, CUSTOMERS_PER_ORDER_DIV = 10000, 5
 MIN_PRODUCTS, PRODUCTS_PER_ORDER_DIV = 1000, 100
 
 
-def _pick(values: list[str], key, stream: int) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), draw_below(key, stream, len(values)).cast("int"))
+def _pick(values: list[str], drawn: Column) -> Column:
+    return F.get(F.array(*[F.lit(v) for v in values]), drawn.cast("int"))
 
 
-def _cents_between(key, stream: int, low_cents: int, span_cents: int) -> Column:
-    """low + round(u * span) in cents, u uniform in [0, 1)."""
-    steps = draw_below(key, stream, span_cents * 2 + 1)   # [0, 2 span]
-    return F.lit(low_cents) + F.call_function("div", steps + 1, F.lit(2))
+def _cents(drawn: Column, low_cents: int) -> Column:
+    """low + round(u * span) in cents, u uniform in [0, 1); ``drawn`` is below
+    :func:`cent_steps` of the span."""
+    return F.lit(low_cents) + F.call_function("div", drawn + 1, F.lit(2))
+
+
+def cent_steps(span_cents: int) -> int:
+    return span_cents * 2 + 1
+
+
+def _with_numbers(id_df: DataFrame, n: int) -> DataFrame:
+    """``id`` and the columns _n0, _n1, ... every draw of a row is made from."""
+    return id_df.select("id", *[c.alias(f"_n{i}") for i, c in enumerate(numbers("id", n))])
 
 
 def ids(spark: SparkSession, n: int) -> DataFrame:
@@ -57,35 +67,43 @@ def table_sizes(n_orders) -> tuple[Column, Column]:
             F.greatest(F.lit(MIN_PRODUCTS), F.call_function("div", n, F.lit(PRODUCTS_PER_ORDER_DIV))))
 
 
+# Sizes of the draws that share one number (see ``split_draw``).
+CUSTOMER_DRAWS = (PER, 10_000, len(CITIES), 1095, len(CUSTOMER_TYPES))
+PRODUCT_DRAWS = (len(CATEGORIES), len(BRANDS), cent_steps(49500), PER)
+STOCK_DRAWS = (1000, 100)
+ORDER_DRAWS = (5, 365, len(ORDER_STATUSES), len(PAYMENT_METHODS), PER)
+AMOUNT_DRAWS = (cent_steps(49500), cent_steps(5000), cent_steps(2000))
+
+
 def generate_customers(id_df: DataFrame, as_of: str | None = None) -> DataFrame:
     cid = (F.col("id") + 1).cast("long")
     email = F.concat(F.lit("customer"), cid.cast("string"), F.lit("@example.com"))
-    return id_df.select(
+    no_email, phone, city, days, kind = split_draw(F.col("_n0"), *CUSTOMER_DRAWS)
+    return _with_numbers(id_df, 1).select(
         cid.alias("customer_id"),
         F.concat(F.lit("FirstName"), cid.cast("string")).alias("first_name"),
         F.concat(F.lit("LastName"), cid.cast("string")).alias("last_name"),
-        F.when(draw_below("id", 0, 100000) < NULL_EMAIL_PER_100K, F.lit(None).cast("string"))
-         .otherwise(email).alias("email"),
-        F.concat(F.lit("614-555-"), F.lpad(draw_below("id", 1, 10000).cast("string"), 4, "0"))
-         .alias("phone"),
-        _pick(CITIES, "id", 2).alias("city"),
-        F.date_sub(as_of_date(as_of), draw_below("id", 3, 1095).cast("int")).alias("registration_date"),
-        _pick(CUSTOMER_TYPES, "id", 4).alias("customer_type"),
+        F.when(no_email < NULL_EMAIL_PER_100K, F.lit(None).cast("string")).otherwise(email).alias("email"),
+        F.concat(F.lit("614-555-"), F.lpad(phone.cast("string"), 4, "0")).alias("phone"),
+        _pick(CITIES, city).alias("city"),
+        F.date_sub(as_of_date(as_of), days.cast("int")).alias("registration_date"),
+        _pick(CUSTOMER_TYPES, kind).alias("customer_type"),
     )
 
 
 def generate_products(id_df: DataFrame) -> DataFrame:
     pid = (F.col("id") + 1).cast("long")
-    price = _cents_between("id", 7, 500, 49500) / F.lit(100.0)        # 5.00 .. 500.00
-    return id_df.select(
+    category, brand, steps, negative = split_draw(F.col("_n0"), *PRODUCT_DRAWS)
+    stock, inactive = split_draw(F.col("_n1"), *STOCK_DRAWS)
+    price = _cents(steps, 500) / F.lit(100.0)        # 5.00 .. 500.00
+    return _with_numbers(id_df, 2).select(
         pid.alias("product_id"),
         F.concat(F.lit("Product_"), pid.cast("string")).alias("product_name"),
-        _pick(CATEGORIES, "id", 5).alias("category"),
-        _pick(BRANDS, "id", 6).alias("brand"),
-        F.when(draw_below("id", 8, 100000) < NEGATIVE_PRICE_PER_100K, F.lit(-10.0))
-         .otherwise(price).alias("unit_price"),
-        draw_below("id", 9, 1000).cast("int").alias("stock_quantity"),
-        (draw_below("id", 10, 100) >= INACTIVE_PER_100).alias("is_active"),
+        _pick(CATEGORIES, category).alias("category"),
+        _pick(BRANDS, brand).alias("brand"),
+        F.when(negative < NEGATIVE_PRICE_PER_100K, F.lit(-10.0)).otherwise(price).alias("unit_price"),
+        stock.cast("int").alias("stock_quantity"),
+        (inactive >= INACTIVE_PER_100).alias("is_active"),
     )
 
 
@@ -93,23 +111,25 @@ def generate_orders(id_df: DataFrame, max_customer_id, max_product_id,
                     as_of: str | None = None) -> DataFrame:
     """Orders over customer ids 1..max_customer_id and product ids
     1..max_product_id (ints or Columns, e.g. scalar subqueries); 0.05% have
-    no customer and 0.1% are duplicated (chosen by id hash)."""
-    oid = (F.col("id") + 1).cast("long")
-    cust = draw_below("id", 0, max_customer_id) + 1
-    orders = id_df.select(
-        oid.alias("order_id"),
-        F.when(draw_below("id", 11, 100000) < NULL_CUSTOMER_PER_100K, F.lit(None).cast("long"))
-         .otherwise(cust).alias("customer_id"),
-        (draw_below("id", 1, max_product_id) + 1).alias("product_id"),
-        (draw_below("id", 2, 5) + 1).cast("int").alias("quantity"),
-        F.date_sub(as_of_date(as_of), draw_below("id", 3, 365).cast("int")).alias("order_date"),
-        _pick(ORDER_STATUSES, "id", 4).alias("order_status"),
-        _pick(PAYMENT_METHODS, "id", 5).alias("payment_method"),
-        (_cents_between("id", 6, 1000, 49500) / F.lit(100.0)).alias("total_amount"),
-        (_cents_between("id", 7, 0, 5000) / F.lit(100.0)).alias("discount_amount"),
-        (_cents_between("id", 8, 500, 2000) / F.lit(100.0)).alias("shipping_cost"),
+    no customer and 0.1% are duplicated.  One pass: a duplicated order comes
+    out of its own row twice."""
+    (customer,) = split_draw(F.col("_n0"), max_customer_id)
+    product, twice = split_draw(F.col("_n1"), max_product_id, PER)
+    quantity, days, status, payment, no_customer = split_draw(F.col("_n2"), *ORDER_DRAWS)
+    total, discount, shipping = split_draw(F.col("_n3"), *AMOUNT_DRAWS)
+    copies = F.when(twice < DUPLICATES_PER_100K, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return _with_numbers(id_df, 4).withColumn("_copy", F.explode(copies)).select(
+        (F.col("id") + 1).cast("long").alias("order_id"),
+        F.when(no_customer < NULL_CUSTOMER_PER_100K, F.lit(None).cast("long")).otherwise(customer + 1).alias("customer_id"),
+        (product + 1).alias("product_id"),
+        (quantity + 1).cast("int").alias("quantity"),
+        F.date_sub(as_of_date(as_of), days.cast("int")).alias("order_date"),
+        _pick(ORDER_STATUSES, status).alias("order_status"),
+        _pick(PAYMENT_METHODS, payment).alias("payment_method"),
+        (_cents(total, 1000) / F.lit(100.0)).alias("total_amount"),
+        (_cents(discount, 0) / F.lit(100.0)).alias("discount_amount"),
+        (_cents(shipping, 500) / F.lit(100.0)).alias("shipping_cost"),
     )
-    return orders.unionByName(sample_by_hash(orders, "order_id", DUPLICATE_FRACTION, salt=9))
 
 
 def generate_all(spark: SparkSession, n_orders: int, out: str, as_of: str | None = None) -> dict:

@@ -44,6 +44,20 @@ def draw_below(k: str, salt: int, n: str | int) -> str:
     return f"({draw(k, salt)} % CAST({n} AS BIGINT))"
 
 
+def number(k: str, i: int, salt: int = 0) -> str:
+    """Number ``i`` of ``tessera.functions.hashing.numbers``."""
+    at = 1 if i % 2 == 0 else HASH_DIGITS + 2
+    return f"CAST('0x' || substr(md5(CAST({k} AS VARCHAR) || ':{salt + i // 2}'), {at}, {HASH_DIGITS}) AS BIGINT)"
+
+
+def split_draw(number: str, *sizes: str | int) -> list[str]:
+    draws = []
+    for size in sizes:
+        draws.append(f"(({number}) % CAST({size} AS BIGINT))")
+        number = f"({number}) // CAST({size} AS BIGINT)"
+    return draws
+
+
 def dedup(src: str, keys: Sequence[str], columns: Sequence[str], where: str | None = None,
           order: Sequence[str] = ()) -> str:
     """One row per key: smallest by ``order`` then all other columns, nulls first."""
@@ -129,10 +143,10 @@ def with_ctes(body: str, *ctes: str) -> str:
     return f"WITH {', '.join(ctes)}\n{body}" if ctes else body
 
 
-def pick(values: Sequence[str], k: str, stream: int) -> str:
+def pick(values: Sequence[str], drawn: str) -> str:
     items = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
-    return f"[{items}][CAST({draw_below(k, stream, len(values))} AS INTEGER) + 1]"
+    return f"[{items}][CAST({drawn} AS INTEGER) + 1]"
 
 
-def cents_between(k: str, stream: int, low: int, span: int) -> str:
-    return f"({low} + ({draw_below(k, stream, 2 * span + 1)} + 1) // 2)"
+def drawn_cents(drawn: str, low: int) -> str:
+    return f"CAST({low} + ({drawn} + 1) // 2 AS DOUBLE) / 100"

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import threshold
 from tessera.plans import synth as G
 from tessera.queries import register
 from tessera.queries import sqlbits as S
@@ -23,15 +22,15 @@ def _date_sub(n: str) -> str:
     return f"CAST(DATE '{AS_OF}' - CAST({n} AS INTEGER) AS DATE)"
 
 
-_GEN_CUSTOMERS = f"""WITH i AS (SELECT c_custkey - 1 AS id FROM customer)
+_C = S.split_draw("n0", *G.CUSTOMER_DRAWS)
+_GEN_CUSTOMERS = f"""WITH i AS (SELECT c_custkey - 1 AS id FROM customer), n AS (SELECT id, {S.number('id', 0)} AS n0 FROM i)
 SELECT CAST(id + 1 AS BIGINT) AS customer_id, 'FirstName' || CAST(id + 1 AS VARCHAR) AS first_name,
   'LastName' || CAST(id + 1 AS VARCHAR) AS last_name,
-  CASE WHEN {S.draw_below('id', 0, 100000)} < {G.NULL_EMAIL_PER_100K} THEN NULL
+  CASE WHEN {_C[0]} < {G.NULL_EMAIL_PER_100K} THEN NULL
        ELSE 'customer' || CAST(id + 1 AS VARCHAR) || '@example.com' END AS email,
-  '614-555-' || lpad(CAST({S.draw_below('id', 1, 10000)} AS VARCHAR), 4, '0') AS phone,
-  {S.pick(G.CITIES, 'id', 2)} AS city,
-  {_date_sub(S.draw_below('id', 3, 1095))} AS registration_date,
-  {S.pick(G.CUSTOMER_TYPES, 'id', 4)} AS customer_type FROM i"""
+  '614-555-' || lpad(CAST({_C[1]} AS VARCHAR), 4, '0') AS phone,
+  {S.pick(G.CITIES, _C[2])} AS city, {_date_sub(_C[3])} AS registration_date,
+  {S.pick(G.CUSTOMER_TYPES, _C[4])} AS customer_type FROM n"""
 
 
 @register("gen_customers", _GEN_CUSTOMERS)
@@ -39,13 +38,14 @@ def gen_customers(spark, sf):
     return G.generate_customers(_ids(spark, sf, "customer", "c_custkey"), AS_OF)
 
 
-_GEN_PRODUCTS = f"""WITH i AS (SELECT p_partkey - 1 AS id FROM part)
+_P = S.split_draw("n0", *G.PRODUCT_DRAWS) + S.split_draw("n1", *G.STOCK_DRAWS)
+_GEN_PRODUCTS = f"""WITH i AS (SELECT p_partkey - 1 AS id FROM part),
+n AS (SELECT id, {S.number('id', 0)} AS n0, {S.number('id', 1)} AS n1 FROM i)
 SELECT CAST(id + 1 AS BIGINT) AS product_id, 'Product_' || CAST(id + 1 AS VARCHAR) AS product_name,
-  {S.pick(G.CATEGORIES, 'id', 5)} AS category, {S.pick(G.BRANDS, 'id', 6)} AS brand,
-  CASE WHEN {S.draw_below('id', 8, 100000)} < {G.NEGATIVE_PRICE_PER_100K} THEN CAST(-10 AS DOUBLE)
-       ELSE CAST({S.cents_between('id', 7, 500, 49500)} AS DOUBLE) / 100 END AS unit_price,
-  CAST({S.draw_below('id', 9, 1000)} AS INTEGER) AS stock_quantity,
-  {S.draw_below('id', 10, 100)} >= {G.INACTIVE_PER_100} AS is_active FROM i"""
+  {S.pick(G.CATEGORIES, _P[0])} AS category, {S.pick(G.BRANDS, _P[1])} AS brand,
+  CASE WHEN {_P[3]} < {G.NEGATIVE_PRICE_PER_100K} THEN CAST(-10 AS DOUBLE)
+       ELSE {S.drawn_cents(_P[2], 500)} END AS unit_price,
+  CAST({_P[4]} AS INTEGER) AS stock_quantity, {_P[5]} >= {G.INACTIVE_PER_100} AS is_active FROM n"""
 
 
 @register("gen_products", _GEN_PRODUCTS)
@@ -56,29 +56,25 @@ def gen_products(spark, sf):
 _N_CUST = f"(SELECT greatest({G.MIN_CUSTOMERS}, COUNT(*) // {G.CUSTOMERS_PER_ORDER_DIV}) FROM orders)"
 _N_PROD = f"(SELECT greatest({G.MIN_PRODUCTS}, COUNT(*) // {G.PRODUCTS_PER_ORDER_DIV}) FROM orders)"
 
+_CUST, = S.split_draw("n0", _N_CUST)
+_PROD, _TWICE = S.split_draw("n1", _N_PROD, G.PER)
+_O = S.split_draw("n2", *G.ORDER_DRAWS) + S.split_draw("n3", *G.AMOUNT_DRAWS)
 _GEN_ORDERS = f"""WITH i AS (SELECT o_orderkey - 1 AS id FROM orders),
+n AS (SELECT id, {', '.join(f"{S.number('id', k)} AS n{k}" for k in range(4))} FROM i),
 g AS (SELECT CAST(id + 1 AS BIGINT) AS order_id,
-  CASE WHEN {S.draw_below('id', 11, 100000)} < {G.NULL_CUSTOMER_PER_100K} THEN NULL
-       ELSE {S.draw_below('id', 0, _N_CUST)} + 1 END AS customer_id,
-  {S.draw_below('id', 1, _N_PROD)} + 1 AS product_id,
-  CAST({S.draw_below('id', 2, 5)} + 1 AS INTEGER) AS quantity,
-  {_date_sub(S.draw_below('id', 3, 365))} AS order_date,
-  {S.pick(G.ORDER_STATUSES, 'id', 4)} AS order_status,
-  {S.pick(G.PAYMENT_METHODS, 'id', 5)} AS payment_method,
-  CAST({S.cents_between('id', 6, 1000, 49500)} AS DOUBLE) / 100 AS total_amount,
-  CAST({S.cents_between('id', 7, 0, 5000)} AS DOUBLE) / 100 AS discount_amount,
-  CAST({S.cents_between('id', 8, 500, 2000)} AS DOUBLE) / 100 AS shipping_cost FROM i)
-SELECT * FROM g UNION ALL SELECT * FROM g WHERE {S.draw('order_id', 9)} < {threshold(G.DUPLICATE_FRACTION)}"""
+  CASE WHEN {_O[4]} < {G.NULL_CUSTOMER_PER_100K} THEN NULL ELSE {_CUST} + 1 END AS customer_id,
+  {_PROD} + 1 AS product_id, CAST({_O[0]} + 1 AS INTEGER) AS quantity, {_date_sub(_O[1])} AS order_date,
+  {S.pick(G.ORDER_STATUSES, _O[2])} AS order_status, {S.pick(G.PAYMENT_METHODS, _O[3])} AS payment_method,
+  {S.drawn_cents(_O[5], 1000)} AS total_amount, {S.drawn_cents(_O[6], 0)} AS discount_amount,
+  {S.drawn_cents(_O[7], 500)} AS shipping_cost, {_TWICE} < {G.DUPLICATES_PER_100K} AS twice FROM n)
+SELECT * EXCLUDE (twice) FROM g UNION ALL SELECT * EXCLUDE (twice) FROM g WHERE twice"""
 
 
 @register("gen_orders", _GEN_ORDERS)
 def gen_orders(spark, sf):
     ids = _ids(spark, sf, "orders", "o_orderkey")
-    # The scale rule needs one number, the order count: one count job at plan
-    # time (as scalar subqueries it was planned once per use).
-    n = ids.count()
-    n_c = max(G.MIN_CUSTOMERS, n // G.CUSTOMERS_PER_ORDER_DIV)
-    n_p = max(G.MIN_PRODUCTS, n // G.PRODUCTS_PER_ORDER_DIV)
+    # The scale rule needs one number, the order count, as a scalar subquery.
+    n_c, n_p = G.table_sizes(ids.agg(F.count(F.lit(1)).alias("n")).scalar())
     return G.generate_orders(ids, n_c, n_p, AS_OF)
 
 
