@@ -4,12 +4,14 @@ Writes run on the executors, one file per task.  Two layout controls:
 
 * ``num_files``: coalesce to that many writers (``coalesce(1)`` gives a single
   file but serialises the write, so it is off by default);
-* ``partition_by``: Hive-style directories.  Rows are range-partitioned on
-  the partition columns plus a hash of the whole row.  Each task then holds
-  a contiguous slice of partition values: small values share a task (one
-  file per value, not tasks x values small files) and a hot value -- say one
-  day holding a third of all rows -- is cut into several slices written by
-  several tasks in parallel.  ``max_records_per_file`` caps file size.
+* ``partition_by``: Hive-style directories.  Rows are numbered in their task
+  (in the order of a row hash, so a task that runs again numbers them alike)
+  and range-partitioned on the partition columns plus that number.  Each task
+  then holds a contiguous slice of partition values: small values share a task
+  (one file per value, not tasks x values small files) and a hot value -- say
+  one day holding a third of all rows, equal rows or not -- is cut into several
+  slices written by several tasks in parallel.  ``rows_per_task`` sets the size
+  of the slices (one count of the input), ``max_records_per_file`` caps files.
 """
 
 from __future__ import annotations
@@ -17,18 +19,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from tessera.operators.joins import serial
 
 
-def _layout(df: DataFrame, num_files: int | None, partition_by: Sequence[str] | None) -> DataFrame:
+def _layout(df: DataFrame, num_files: int | None, partition_by: Sequence[str] | None,
+            rows_per_task: int | None = None) -> DataFrame:
     if partition_by:
-        # Stable tie-break from the row's content, so a retried task writes
-        # the same rows and hot partition values can be split.
-        spread = F.xxhash64(*[F.col(c) for c in df.columns])
-        if num_files:
-            return df.repartitionByRange(num_files, *partition_by, spread)
-        return df.repartitionByRange(*partition_by, spread)
+        keys = [*partition_by, "_serial"]
+        rows = serial(df, "_serial")
+        if rows_per_task:
+            num_files = max(1, -(-df.count() // rows_per_task))
+        cut = rows.repartitionByRange(num_files, *keys) if num_files else rows.repartitionByRange(*keys)
+        return cut.drop("_serial")
     if num_files:
         return df.coalesce(num_files)
     return df
@@ -37,8 +40,8 @@ def _layout(df: DataFrame, num_files: int | None, partition_by: Sequence[str] |
 def write_csv(df: DataFrame, path: str, *, header: bool = True, sep: str = ",",
               quote: str = '"', mode: str = "overwrite", num_files: int | None = None,
               partition_by: Sequence[str] | None = None,
-              max_records_per_file: int | None = None) -> None:
-    w = (_layout(df, num_files, partition_by).write.mode(mode)
+              max_records_per_file: int | None = None, rows_per_task: int | None = None) -> None:
+    w = (_layout(df, num_files, partition_by, rows_per_task).write.mode(mode)
          .option("header", header).option("sep", sep).option("quote", quote))
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -58,10 +61,10 @@ def write_json(df: DataFrame, path: str, *, mode: str = "overwrite",
 def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite",
                   compression: str = "snappy", partition_by: Sequence[str] | None = None,
                   dynamic: bool = False, num_files: int | None = None,
-                  max_records_per_file: int | None = None) -> None:
+                  max_records_per_file: int | None = None, rows_per_task: int | None = None) -> None:
     """Parquet write.  With ``dynamic`` (and ``partition_by``) an overwrite
     replaces only the partitions present in ``df``."""
-    w = (_layout(df, num_files, partition_by).write.mode(mode)
+    w = (_layout(df, num_files, partition_by, rows_per_task).write.mode(mode)
          .option("compression", compression))
     if partition_by:
         w = w.partitionBy(*partition_by)
