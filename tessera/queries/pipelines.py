@@ -159,13 +159,13 @@ def raw_sales(spark, sf):
          .otherwise(F.col("o_custkey").cast("string")).alias("customer_id"),
         F.when(k % 13 == 0, F.lit("n/a")).when(k % 17 == 0, F.lit("-5.0"))
          .otherwise(F.col("o_totalprice").cast("string")).alias("amount"),
-        F.when(k % 19 == 0, F.lit("2024-13-45")).otherwise(date_text).alias("date_string"))
+        F.when(k % 19 == 0, F.lit("2024-13-45")).when(k % 23 == 0, F.lit(None).cast("string"))
+         .otherwise(date_text).alias("date_string"))
 
 
 @register("monthly_summary", f"""WITH s AS (SELECT o_custkey AS customer_id, o_totalprice AS amount,
-    CAST(o_orderdate AS DATE) AS d FROM orders
-    WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0
-      AND o_totalprice > 0)
+    CASE WHEN o_orderkey % 19 <> 0 AND o_orderkey % 23 <> 0 THEN CAST(o_orderdate AS DATE) END AS d FROM orders
+    WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0 AND o_totalprice > 0)
   SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, COUNT(*) AS num_transactions,
     CAST(SUM({S.cents('amount')}) AS DOUBLE) / 100 AS total_revenue,
     CAST(SUM({S.cents('amount')}) AS DOUBLE) / COUNT(*) / 100 AS avg_transaction,
