@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions import cents, draw_below, half_up_div, round_ratio, sum_money
 from tessera.operators.clean import dedup_by_key, quality_report
-from tessera.session import scratch_root
 
 # Fixed values of the pipeline (reference behaviour).
 DEFAULT_SEGMENTS = (1000.0, 500.0, 100.0)   # Premium, Gold, Silver lower bounds
@@ -40,14 +39,16 @@ def clean_customers(customers: DataFrame) -> DataFrame:
 
 def clean_products(products: DataFrame) -> DataFrame:
     """Keep unit_price > 0 (drops negative, zero and null); one row per
-    product_id."""
-    return dedup_by_key(products.where(F.col("unit_price") > 0), ["product_id"])
+    product_id, the survivor has the smallest row digest."""
+    return dedup_by_key(products.where(F.col("unit_price") > 0), ["product_id"], ties="digest")
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:
     """Drop orders without customer; one row per order_id, the survivor is
-    the smallest row by the remaining columns."""
-    return dedup_by_key(orders.where(F.col("customer_id").isNotNull()), ["order_id"])
+    the smallest by product and quantity, then by row digest.  What a metric
+    does not use is not shuffled."""
+    return dedup_by_key(orders.where(F.col("customer_id").isNotNull()), ["order_id"],
+                        order=["product_id", "quantity"], ties="digest")
 
 
 def quality_reports(customers: DataFrame, products: DataFrame,
@@ -114,38 +115,49 @@ def segment_distribution(customer_analytics_df: DataFrame) -> DataFrame:
 # Product metrics
 # --------------------------------------------------------------------------
 
+def _with_sales(products: DataFrame, orders: DataFrame, *sales: F.Column) -> tuple[DataFrame, F.Column]:
+    """Products left-joined with aggregates of their orders (0 without
+    orders), and the largest ``times_ordered`` (at least 1) as a scalar
+    subquery.
+
+    The subquery reads whole rows of the same plan, so its exchanges are those
+    of the rows: catalogue and orders are cleaned and shuffled once
+    (``ReusedExchange``), without a checkpoint or a job while the plan is
+    built.
+    """
+    totals = orders.groupBy("product_id").agg(F.count("order_id").alias("times_ordered"), *sales)
+    new = [c for c in totals.columns if c != "product_id"]
+    joined = products.join(totals, "product_id", "left").fillna(0, new)
+    # The first field decides; the others keep the columns of the plan alike.
+    whole = F.struct("times_ordered", *[c for c in joined.columns if c != "times_ordered"])
+    most = joined.select(F.max(whole)["times_ordered"].alias("n")).scalar()
+    return joined, F.greatest(F.coalesce(most, F.lit(0)), F.lit(1))
+
+
+def product_popularity(products: DataFrame, orders: DataFrame) -> DataFrame:
+    """Products with ``times_ordered`` and ``popularity_score`` (percent of the
+    most ordered product)."""
+    joined, most = _with_sales(products, orders)
+    return joined.withColumn("popularity_score", round_ratio("times_ordered", most, 2, 100))
+
+
 def product_metrics(products: DataFrame, orders: DataFrame) -> DataFrame:
     """Products extended with sales counts, popularity, simulated cost and
     margin, and inventory turnover.
 
-    ``popularity_score`` divides by the largest ``times_ordered``, a scalar
-    subquery over the checkpointed sales counts of the catalogue's products
-    (no driver round trip, no second pass over the orders).  The cost
-    factor 0.6 + 0.2 u draws u from the product id (reproducible), and all
-    roundings are exact on cents.
+    The cost factor 0.6 + 0.2 u draws u from the product id (reproducible),
+    and all roundings are exact on cents.
     """
-    sales = orders.groupBy("product_id").agg(
-        F.count("order_id").alias("times_ordered"),
-        F.sum("quantity").cast("long").alias("total_quantity_sold"),
-        sum_money("total_amount").alias("total_revenue"),
-    )
-    # Four columns per product sold, checkpointed (to the shared checkpoint
-    # folder) by the first job that needs them, so that the global max and the
-    # rows read one materialised table instead of running the orders
-    # aggregate twice.
-    scratch_root(sales.sparkSession)
-    sold = products.select("product_id").join(sales, "product_id").checkpoint(eager=False)
-    ext = (products.join(sold, "product_id", "left")
-           .fillna({"times_ordered": 0, "total_quantity_sold": 0, "total_revenue": 0.0}))
-    max_orders = sold.select(F.greatest(F.coalesce(F.max("times_ordered"), F.lit(0)),
-                                       F.lit(1))).scalar()
+    joined, most = _with_sales(products, orders,
+                               F.sum("quantity").cast("long").alias("total_quantity_sold"),
+                               sum_money("total_amount").alias("total_revenue"))
     price_c = cents("unit_price")
     # cost = price * (0.6 + 0.2 u / steps) = price * (3 steps + u) / (5 steps),
     # u in [0, steps): exact cents.
     cost_c = half_up_div(price_c * (F.lit(3 * COST_STEPS) + draw_below("product_id", COST_SALT, COST_STEPS)),
                          F.lit(5 * COST_STEPS))
-    return (ext
-            .withColumn("popularity_score", round_ratio("times_ordered", max_orders, 2, 100))
+    return (joined
+            .withColumn("popularity_score", round_ratio("times_ordered", most, 2, 100))
             .withColumn("_cost_c", cost_c)
             .withColumn("estimated_cost", F.col("_cost_c") / F.lit(100.0))
             .withColumn("profit_margin",
@@ -156,10 +168,11 @@ def product_metrics(products: DataFrame, orders: DataFrame) -> DataFrame:
             .drop("_cost_c"))
 
 
-def top_products(product_metrics_df: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
-    """The k most popular products; ties by product_id (TakeOrderedAndProject:
-    each task keeps its own top k, the driver merges k x tasks rows)."""
-    return (product_metrics_df
+def top_products(popularity: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
+    """The k most popular products of :func:`product_popularity` or
+    :func:`product_metrics`; ties by product_id (TakeOrderedAndProject: each
+    task keeps its own top k, the driver merges k x tasks rows)."""
+    return (popularity
             .select("product_id", "product_name", "category", "popularity_score",
                     "times_ordered")
             .orderBy(F.desc("popularity_score"), F.asc("product_id"))

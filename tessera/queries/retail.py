@@ -131,7 +131,8 @@ def product_metrics(spark, sf):
     "SELECT product_id, product_name, category, popularity_score, times_ordered FROM pm "
     "ORDER BY popularity_score DESC, product_id ASC LIMIT 10", *PRODUCT_METRICS_CTES))
 def top_products(spark, sf):
-    return R.top_products(product_metrics_df(spark, sf))
+    _, p, o = cleaned(spark, sf)
+    return R.top_products(R.product_popularity(p.select("product_id", "product_name", "category"), o))
 
 
 DAILY_SQL = S.with_retail(f"""
