@@ -39,5 +39,6 @@ def test_monthly_summary_job(spark, tmp_path):
     write_csv(raw_sales(spark, SF_SMALL), str(tmp_path / "csv"))
     out = SA.run_monthly_summary(spark, str(tmp_path / "csv"), str(tmp_path / "summary"))
     direct = SA.monthly_summary(raw_sales(spark, SF_SMALL))
-    assert sorted(map(tuple, out.select(*direct.columns).collect())) == \
-        sorted(map(tuple, direct.collect()))
+    # Undated rows are in the partition of the null year.
+    assert sorted(map(tuple, out.select(*direct.columns).collect()), key=str) == \
+        sorted(map(tuple, direct.collect()), key=str)
