@@ -293,6 +293,22 @@ def test_catalogue_and_orders_are_cleaned_once(spark, registry, name):
     assert len(re.findall(r"Scan parquet .*part\.parquet", p)) == 1 == len(re.findall(r"Scan parquet .*lineitem\.parquet", p))
 
 
+def test_customer_metrics_need_hash_aggregates_only(spark, registry):
+    p = final_plan(registry["customer_analytics"].fn(spark, SF_CHECK))
+    assert "ObjectHashAggregate" not in p and "SortAggregate" not in p and "Expand" not in p
+    assert p.count("HashAggregate") >= 3
+
+
+def test_customer_metrics_of_odd_rows(spark):
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    rows = [(1, 10, d1, 1.5, "b"), (1, 11, d1, None, "a"), (1, None, None, 2.25, None), (1, 12, d2, 1.0, None),
+            (2, 13, d1, None, None), (3, 14, None, -1.0, "z"), (3, 14, None, -1.0, "z"), (3, 15, d1, 0.0, "y"), (3, 16, d1, 0.0, "y")]
+    df = spark.createDataFrame(rows, "customer_id long, order_id long, order_date date, total_amount double, category string")
+    got = {r.customer_id: (r.lifetime_value, r.total_orders, r.active_days, r.preferred_category)
+           for r in R._customer_metrics(df).collect()}
+    assert got == {1: (4.75, 3, 2, "a"), 2: (None, 1, 1, None), 3: (-2.0, 4, 1, "y")}
+
+
 def test_undated_sales_are_a_month_of_their_own(spark):
     raw = spark.createDataFrame([("1", "10.5", "2024-02-03"), ("2", "20", None), ("2", "5", "2024-02-31"), ("3", "x", "2024-01-01")],
                                 "customer_id string, amount string, date_string string")
