@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from tessera.llm import chat_rotation, decontamination, language_id, queries, sentencepiece_fst
 from tessera.llm.common import documents
@@ -255,3 +256,45 @@ def test_long_and_tied_conversations_come_in_parts(spark):
         own = [r for r in got if r["conv_id"] == conv]
         assert sum(r["n_messages"] for r in own) == 2 * n and sum(sum(r["mask"]) for r in own) == n
     assert rotate(spark, []) == []
+
+
+def test_names_differ_in_more_than_case(spark):
+    model = sentencepiece_fst.read_model()
+    d = spark.createDataFrame([(1, "one two", 5, "x")], "doc_id long, text string, IDS int, Round_Trip string")
+    coded = sentencepiece_fst.encode(d, model)
+    assert coded.columns == ["doc_id", "ids", "round_trip"]
+    assert sentencepiece_fst.decode(coded, model).first()["text"] == "one two"
+
+
+def test_null_and_unknown_ids_decode(spark):
+    model = sentencepiece_fst.read_model()
+    fst = sentencepiece_fst.Transducer(model)
+    ids = fst.encode("one two")
+    d = spark.createDataFrame([(1, [*ids, None]), (2, None), (3, [10**6]), (4, [-1])], "doc_id long, ids array<int>")
+    got = {r["doc_id"]: r["text"] for r in sentencepiece_fst.decode(d, model).collect()}
+    assert got == {1: "one two", 2: "", 3: " ⁇ "[1:], 4: " ⁇ "[1:]}
+
+
+def test_a_lossy_path_is_noticed():
+    fst = sentencepiece_fst.Transducer(sentencepiece_fst.read_model())
+    fst.bytes = {}                                  # no byte pieces: unknown characters are lost
+    for text, same in (("plain words", True), ("日\U0001f9ff本", False), ("plain words", True)):
+        assert fst.same(text, fst.packed(text)) == same == (fst.decode(fst.encode(text)) == text)
+
+
+def test_region_tags_and_rare_languages_are_kept(spark):
+    rng = random.Random(6)
+    words = "tutti gli esseri umani nascono liberi ed eguali in dignità e diritti essi sono dotati di ragione e coscienza".split()
+    d = documents(spark, SF).select("doc_id", "text", "lang", "source")
+    more = [(10**6 + i, " ".join(rng.choice(words) for _ in range(40)), "it", None) for i in range(4)]
+    more += [(2 * 10**6 + i, t, lang, None) for i, (t, lang) in enumerate(
+        [("All human beings are born free and equal in dignity and rights.", "en-US"), ("All human beings are born free.", "EN"),
+         ("Alle Menschen sind frei und gleich an Würde und Rechten geboren.", " de_AT ")])]
+    both = d.unionByName(spark.createDataFrame(more, "doc_id long, text string, lang string, source string"))
+    got = {r["doc_id"]: r for r in language_id.identify_documents(both).filter("doc_id >= 1000000").collect()}
+    assert all(r["accepted"] for r in got.values())
+    assert [got[10**6 + i]["language"] for i in range(4)] == ["it"] * 4
+    assert [(got[2 * 10**6 + i]["declared"], got[2 * 10**6 + i]["language"]) for i in range(3)] == [("en", "en"), ("en", "en"), ("de", "de")]
+    # where every document has a region
+    only = d.withColumn("lang", F.concat("lang", F.lit("-XX")))
+    assert language_id.identify_documents(only).filter("accepted").count() == d.count()
