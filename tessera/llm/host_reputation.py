@@ -11,10 +11,17 @@ host's posterior bad rate exceeds MAX_BAD, unless a rule decides it.
 Outcomes are combined per task and host before any shuffle; all tables are
 joined as Spark sees fit (a hot host's pages are split by its skew join).
 
+A page's labels are those of the document whose number ends its url's path
+(/fr/825, /fr/825/ and /fr/825.html are document 825; other paths have none).
+The registered domain is the last label below the suffix.  The suffix is the
+last label, or the last two where a general label (LONG_SUFFIX) stands before a
+country code of two letters.  An IPv4 address is a domain of its own.
+
 Defined results: a url that is null or has no :// has empty host and path and
 the reputation of the empty host; labels that no page has are ignored, a page
-with several labels counts each; repeated pages are each judged; without any
-label nothing is blocked by reputation.
+with several labels counts each, and a label counts for every page that shows
+its document; repeated pages are each judged; without any label nothing is
+blocked by reputation.
 """
 
 from __future__ import annotations
@@ -27,8 +34,10 @@ from .common import stored
 # Fixed values: (verdict, host, path) of the rules.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-# Suffixes of two labels under which domains are registered.
-LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz")
+# General labels under country codes.
+LONG_SUFFIX = r"^(ac|co|com|edu|gob|gouv|gov|go|mil|ne|net|nom|org|or)\.[a-z]{2}$"
+ADDRESS = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
+DOCUMENT = r"/([0-9]{1,18})(\.[A-Za-z]+)?/?\z"   # at the end of a path
 MAX_BAD = 0.3       # tolerated share of bad pages
 BOUND_Z = 1.645     # one-sided 95 % bound
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -44,6 +53,11 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, URL, 2), F.lit(""))
 
 
+def document(path_: Column) -> Column:
+    """Number of the document that a path shows, or null."""
+    return F.regexp_extract(path_, DOCUMENT, 1).try_cast("long")
+
+
 def rule(host_: Column, path_: Column, rules=RULES) -> tuple[Column, Column]:
     """(rule string, verdict) of the longest rule that fits; null where none."""
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -55,11 +69,13 @@ def rule(host_: Column, path_: Column, rules=RULES) -> tuple[Column, Column]:
 
 def levels(host_: Column) -> tuple[Column, Column]:
     """(registered domain, suffix) of a host."""
-    labels = F.split(F.regexp_replace(host_, r":\d*$", ""), r"\.")
+    name = F.regexp_replace(host_, r":[0-9]*$", "")
+    labels = F.split(name, r"\.")
     n = F.size(labels)
     last = lambda k: F.array_join(F.slice(labels, F.greatest(n - (k - 1), F.lit(1)), F.lit(k)), ".")
-    long = last(2).isin(*LONG_SUFFIXES)
-    return F.when(long, last(3)).otherwise(last(2)), F.when(long, last(2)).otherwise(last(1))
+    long, address = last(2).rlike(LONG_SUFFIX), name.rlike(ADDRESS)
+    return (F.when(address, name).when(long, last(3)).otherwise(last(2)),
+            F.when(address, F.lit("ip")).when(long, last(2)).otherwise(last(1)))
 
 
 def _weight(groups: DataFrame) -> float:
@@ -99,11 +115,15 @@ def reputations(hosts: DataFrame) -> DataFrame:
 
 def judge(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, labelled,
-    bad_bound.  ``outcomes``: (page_id, bad boolean)."""
+    bad_bound.  ``outcomes``: (document, bad boolean)."""
     url = F.col("url")
     rows = pages.select("page_id", host(url).alias("host"), path(url).alias("path"))
-    labels = outcomes.groupBy("page_id").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-    hosts = rows.join(labels, "page_id", "left").groupBy("host").agg(
+    labels = outcomes.groupBy("document").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
+    # Pages of one host and document are combined before the join.
+    shown = rows.groupBy("host", document(F.col("path")).alias("document")).agg(F.count("*").alias("pages"))
+    counted = shown.join(labels, "document", "left").withColumns({"n": F.col("n") * F.col("pages"),
+                                                                  "bad": F.col("bad") * F.col("pages")})
+    hosts = counted.groupBy("host").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     known = reputations(hosts)
     name, verdict = rule(F.col("host"), F.col("path"))
@@ -114,10 +134,10 @@ def judge(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def judge_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """``labels`` (doc_id, quality, toxic) are outcomes of the pages of the
-    same number: bad if of low quality or toxic, null values are unknown."""
+    """``labels`` (doc_id, quality, toxic) are outcomes of the pages that show
+    the document: bad if of low quality or toxic, null values are unknown."""
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
-    outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")).filter(F.col("bad").isNotNull())
+    outcomes = labels.select(F.col("doc_id").alias("document"), bad.alias("bad")).filter(F.col("bad").isNotNull())
     return judge(pages, outcomes)
 
 
@@ -125,16 +145,18 @@ SQL = """
 WITH p AS (
   SELECT page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '') AS raw,
          coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
-rows_ AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM p),
-o AS (SELECT doc_id AS page_id, count(*) AS n, sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+rows_ AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path,
+          TRY_CAST(regexp_extract(path, '%(document)s', 1) AS BIGINT) AS document FROM p),
+o AS (SELECT doc_id AS document, count(*) AS n, sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
       FROM labels WHERE (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY doc_id),
 h AS (SELECT host, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad,
              string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS l
-      FROM rows_ LEFT JOIN o USING (page_id) GROUP BY host),
-b AS (SELECT host, n, bad, array_to_string(l[greatest(len(l) - 1, 1):], '.') AS last2, l[len(l)] AS last1,
+      FROM rows_ LEFT JOIN o USING (document) GROUP BY host),
+b AS (SELECT host, n, bad, regexp_replace(host, ':[0-9]*$', '') AS name, array_to_string(l[greatest(len(l) - 1, 1):], '.') AS last2, l[len(l)] AS last1,
              array_to_string(l[greatest(len(l) - 2, 1):], '.') AS last3 FROM h),
-c AS (SELECT host, n, bad, CASE WHEN g THEN last3 ELSE last2 END AS domain, CASE WHEN g THEN last2 ELSE last1 END AS suffix
-      FROM (SELECT *, last2 IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.nz') AS g FROM b)),
+c AS (SELECT host, n, bad, CASE WHEN a THEN name WHEN g THEN last3 ELSE last2 END AS domain,
+             CASE WHEN a THEN 'ip' WHEN g THEN last2 ELSE last1 END AS suffix
+      FROM (SELECT *, regexp_matches(last2, '%(long)s') AS g, regexp_matches(name, '%(address)s') AS a FROM b)),
 overall AS (SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n) ELSE 0.0 END AS p FROM c),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT p FROM overall) AS prior FROM c GROUP BY suffix),
 sw AS (SELECT %(weight)s AS w FROM s),
@@ -159,7 +181,7 @@ SELECT page_id, host, path, rule,
        WHEN bound > 0.3 THEN 'block' ELSE 'allow' END AS verdict,
   labelled, round(bound, 6) AS bad_bound
 FROM f
-""" % {"weight": """1.0 / least(greatest(coalesce(
+""" % {"document": DOCUMENT, "long": LONG_SUFFIX, "address": ADDRESS, "weight": """1.0 / least(greatest(coalesce(
     (sum(CASE WHEN n > 0 THEN n * power(bad / n - prior, 2) END)
      - avg(CASE WHEN n > 0 THEN prior * (1 - prior) END) * (count(CASE WHEN n > 0 THEN 1 END) - 1))
     / nullif(avg(CASE WHEN n > 0 THEN prior * (1 - prior) END)
