@@ -43,14 +43,17 @@ SAMPLE_PAGES = 300
 PATH_DIM, WORD_DIM, HIDDEN = 2048, 64, 12
 EPOCHS, BATCH, RATE = 16, 32, 0.02
 TRAIN_BLOCKS = 200         # blocks of a sample page that the fit reads
+TRAIN_WORDS = 200          # words of a block that enter the vocabulary of the fit's variations
 PAGES_AT_ONCE = 64
+CELLS = 1 << 15            # steps x pages labelled at once (or one longer page)
 
 # Elements that end the block before them.
 BLOCK_TAGS = frozenset("""html head title body main article section nav header footer aside div p h1 h2 h3 h4 h5 h6
 ul ol li dl dt dd table caption thead tbody tfoot tr td th form fieldset legend label button select option textarea
 blockquote pre figure figcaption address details summary hr noscript iframe object video audio dialog menu template
 center""".split())
-RAW_TAGS = frozenset(("script", "style", "template", "svg", "math", "iframe", "noembed"))
+RAW_TAGS = frozenset(("script", "style", "template", "iframe", "noembed"))
+FOREIGN_TAGS = frozenset(("svg", "math"))      # a / at the end of a tag in them closes it
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCK_TAGS - {"label", "button", "option"}
 # Containers that hold or surround the main text on usual pages.
@@ -77,8 +80,9 @@ SIDE_TAGS = frozenset("nav header footer aside form button select textarea dialo
 # Attributes as HTML reads them: a quote opens a value only directly after =,
 # any other quote is part of a name or of an unquoted value.
 _ATTRS = r"""(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)?+)*+"""
-_TOKEN = re.compile(r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>" + _ATTRS + r")(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>" + _ATTRS + r")(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_IN_VALUE = re.compile(r"=\s*[^\s\"'>][^\s>]*\Z")   # a / there belongs to an unquoted value
 _NAME = re.compile(r"[a-z]+")
 
 
@@ -138,8 +142,11 @@ def blocks(page: str) -> list[tuple[tuple[tuple[str, ...], ...], str]]:
             close = re.compile(rf"</{tag}\s*[^>]*(?:>|\Z)", re.I).search(page, at)
             at = close.end() if close else len(page)
             continue
-        if tag not in VOID_TAGS and not m["attrs"].endswith("/"):
-            stack.append((tag, _element(tag, m["attrs"])))
+        attrs = m["attrs"]
+        if tag in VOID_TAGS or (attrs.endswith("/") and not _IN_VALUE.search(attrs)
+                                and (tag in FOREIGN_TAGS or any(t in FOREIGN_TAGS for t, _ in stack))):
+            continue
+        stack.append((tag, _element(tag, attrs)))
     held.append(page[at:])
     end_block()
     return out
@@ -213,9 +220,10 @@ class Labeller:
             out[place] = np.add.reduceat(self.p["x" + d][ids], ends[:-1], axis=0) + shares @ self.p["w" + d]
         return out.reshape(steps, pages, -1)
 
-    def forward(self, feats, lengths: np.ndarray):
-        """Logits per block (flat, page after page) and what backward needs.
-        Every block has at least one feature."""
+    def forward(self, feats, lengths: np.ndarray, keep: bool = True):
+        """Logits per block (flat, page after page) and, with ``keep``, what
+        backward needs; without it no step's gates or cells are kept.  Every
+        block has at least one feature."""
         pages, steps, h = len(lengths), int(lengths.max(initial=0)), HIDDEN
         step = np.concatenate([np.arange(n) for n in lengths]) if pages else np.zeros(0, np.int64)
         page = np.repeat(np.arange(pages), lengths)
@@ -225,18 +233,20 @@ class Labeller:
             own = step if d == "f" else lengths[page] - 1 - step     # backward: from the last block
             place = own * pages + page
             x = self._inputs(d, feats, place, steps, pages) + self.p["c" + d]
-            hs, cs = np.zeros((2, steps + 1, pages, h), np.float32)
-            gates = np.zeros((steps, pages, 4 * h), np.float32)
+            hs = np.zeros((steps + 1, pages, h), np.float32)
+            cs = np.zeros((steps + 1 if keep else 1, pages, h), np.float32)
+            gates = np.zeros((steps if keep else 1, pages, 4 * h), np.float32)
             for t in range(steps):
                 z = x[t] + hs[t] @ self.p["h" + d]
-                g = gates[t]
+                g, before = gates[t if keep else 0], cs[t if keep else 0]
                 g[:, :3 * h] = _sigmoid(z[:, :3 * h])                # input, forget, output
                 g[:, 3 * h:] = np.tanh(z[:, 3 * h:])
-                c = g[:, h:2 * h] * cs[t] + g[:, :h] * g[:, 3 * h:]
-                cs[t + 1] = np.where(alive[t][:, None], c, cs[t])
+                c = g[:, h:2 * h] * before + g[:, :h] * g[:, 3 * h:]
+                cs[t + 1 if keep else 0] = np.where(alive[t][:, None], c, before)
                 hs[t + 1] = np.where(alive[t][:, None], g[:, 2 * h:3 * h] * np.tanh(c), hs[t])
             outs.append(hs[1:].reshape(-1, h)[place])
-            saved[d] = (hs, cs, gates, place)
+            if keep:
+                saved[d] = (hs, cs, gates, place)
         both = np.concatenate(outs, axis=1)
         return both @ self.p["o"] + self.p["s"], (saved, both, alive)
 
@@ -301,10 +311,13 @@ class Labeller:
         """Per page, which blocks are main text."""
         out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
         some = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
-        for a in range(0, len(some), PAGES_AT_ONCE):
-            own = some[a:a + PAGES_AT_ONCE]
+        while some:
+            n = 1                                   # the longest comes last and sets the steps
+            while n < min(len(some), PAGES_AT_ONCE) and (n + 1) * len(pages[some[n]]) <= CELLS:
+                n += 1
+            own, some = some[:n], some[n:]
             lengths = np.array([len(pages[i]) for i in own])
-            logits, _ = self.forward(features.of([pages[i] for i in own]), lengths)
+            logits, _ = self.forward(features.of([pages[i] for i in own]), lengths, keep=False)
             for i, part in zip(own, np.split(logits > 0, np.cumsum(lengths)[:-1])):
                 out[i] = part
         return out
@@ -383,7 +396,7 @@ def varied(page: list, labels: np.ndarray, words: list[str], rng: random.Random,
 def train(pages: list[str], seed: int = 3) -> Labeller:
     rng = random.Random(seed)
     read = [blocks(p) for p in pages]
-    words = [w for p in read for _, text in p for w in text.split()[:200]] or ["x"]
+    words = [w for p in read for _, text in p for w in text.split()[:TRAIN_WORDS]] or ["x"]
     labelled = [(p, semantic_labels(p)) for p in read if has_semantics(p)]
     if read and not any(y.any() for _, y in labelled):
         labelled += [(p, np.ones(len(p))) for p in (built_in(words, rng) for _ in range(60))]

@@ -202,8 +202,68 @@ def test_levels(spark):
     assert got == [("example.co.uk", "co.uk"), ("example.com", "com"), ("localhost", "localhost"), ("", ""), ("y.z", "z")]
 
 
+def test_addresses_and_general_suffixes(spark):
+    from pyspark.sql import functions as F
+    hosts = ["a.gov.uk", "www.b.gov.uk", "10.0.0.1", "192.168.0.1:8080", "x.com.br", "gov.uk", "a.b.museum"]
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    got = [tuple(r) for r in df.select(*host_reputation.levels(F.col("h"))).collect()]
+    assert got == [("a.gov.uk", "gov.uk"), ("b.gov.uk", "gov.uk"), ("10.0.0.1", "ip"), ("192.168.0.1", "ip"), ("x.com.br", "com.br"),
+                   ("gov.uk", "gov.uk"), ("b.museum", "museum")]
+
+
+def test_pages_show_the_document_of_their_path(spark):
+    from pyspark.sql import functions as F
+    texts = {r["doc_id"]: r["text"] or "" for r in documents(spark, SF).collect()}
+    pages = documents(spark, SF, "pages")
+    rows = pages.select("html", host_reputation.document(host_reputation.path(F.col("url"))).alias("d")).collect()
+    assert all(r["d"] is not None for r in rows)
+    own = [r for r in rows if r["d"] in texts]
+    agree = sum(" ".join(texts[r["d"]].split()[:2]) in " ".join(r["html"].split()) for r in own)
+    assert own and agree >= 0.9 * len(own)
+
+
+def test_labels_reach_the_pages_of_their_document(spark):
+    urls = ["http://a.net/en/7", "http://a.net/en/7.html?x=1", "http://b.net/en/8/", "http://c.net/en/page", "http://c.net/", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(7, 0, 0), (8, 1, 0), (0, 0, 1), (9, 0, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    got = {r["page_id"]: r["labelled"] for r in host_reputation.judge_pages(pages, labels).collect()}
+    assert got == {0: 2, 1: 2, 2: 1, 3: 0, 4: 0, 5: 0}
+
+
 # ---- HTML extraction
 
+def test_blocks_of_unusual_tags():
+    text = lambda page: [t for _, t in html_extraction.blocks(page)]
+    path = lambda page: [[e[0] for e in p] for p, _ in html_extraction.blocks(page)]
+    assert text("<p>Let <math><mi>x</mi><mo/><mn>2</mn></math> be</p>") == ["Let x2 be"]
+    assert text("<p>a <svg><path d='M'/><text>b</text></svg> c</p>") == ["a b c"]
+    assert path("<article data-url=http://x.org/><p>a</p>") == [["article", "p"]]
+    assert path("<div/><p>a</p>") == [["div", "p"]]
+    assert path("<svg/><p>a</p>") == [["p"]]
+    assert text("<!--><p>a</p><!---><p>b</p><!-- c --><p>d</p><!-- e --!><p>f</p>") == ["a", "b", "d", "f"]
+
+
+def test_long_pages_are_labelled_in_little_memory():
+    import resource
+    rng = random.Random(1)
+    labeller = html_extraction.Labeller()
+    page = "<article>" + "<p>a b</p>" * 40_000 + "</article>"
+    read = [html_extraction.blocks(page)] + [html_extraction.blocks("<p>x</p>" * rng.randint(1, 5)) for _ in range(63)]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    chosen = labeller.main(read, html_extraction.Features())
+    assert [len(c) for c in chosen] == [len(p) for p in read]
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) < 300_000       # KB
+
+
+def test_inference_equals_the_forward_pass_that_keeps_everything():
+    read = [html_extraction.blocks("<div><p>a b</p><p>c</p></div>"), html_extraction.blocks("<p>d e f</p>")]
+    labeller, features = html_extraction.Labeller(), html_extraction.Features()
+    lengths = np.array([len(p) for p in read])
+    kept, _ = labeller.forward(features.of(read), lengths)
+    bare, _ = labeller.forward(features.of(read), lengths, keep=False)
+    assert np.allclose(kept, bare)
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     return html_extraction.train(html_extraction.sample(documents(spark, "/root/testdata/sf0.01", "pages"), 120))
