@@ -111,31 +111,55 @@ def covered(item: np.ndarray, doc: np.ndarray) -> tuple[float, list[tuple[int, i
     return sum(t[2] for t in tiles) / len(item), tiles
 
 
-def _tiler(ids: list, words: np.ndarray, offsets: np.ndarray):
-    """Function over batches (key, doc_id, text) that tiles one block."""
-    seed_hash, seed_item = [], []
-    for k in range(len(ids)):
-        own = words[offsets[k]:offsets[k + 1]]
-        if len(own):
-            grams = np.unique(gram_hashes(own, min(MIN_TILE, len(own))))
-            seed_hash.append(grams)
-            seed_item.append(np.full(len(grams), k))
-    seeds = np.concatenate(seed_hash) if seed_hash else np.zeros(0, np.uint64)
-    owner = np.concatenate(seed_item) if seed_item else np.zeros(0, np.int64)
-    order = np.argsort(seeds, kind="stable")
-    seeds, owner = seeds[order], owner[order]
-    sizes = sorted({min(MIN_TILE, int(n)) for n in np.diff(offsets) if n})
-
-    def candidates(doc: np.ndarray) -> np.ndarray:
-        found = []
-        for size in sizes:
+class Seeds:
+    """Windows of the smallest tile size of a block's items, by hash."""
+
+    def __init__(self, words: np.ndarray, offsets: np.ndarray):
+        self.lengths = np.diff(offsets)
+        self.sizes = np.minimum(self.lengths, MIN_TILE)
+        self.each = np.unique(self.sizes[self.sizes > 0]).tolist()
+        found = [(gram_hashes(words[offsets[k]:offsets[k + 1]], int(n)), k) for k, n in enumerate(self.sizes) if n]
+        hashes = np.concatenate([h for h, _ in found]) if found else np.zeros(0, np.uint64)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.owner = np.concatenate([np.full(len(h), k) for h, k in found])[order] if found else np.zeros(0, np.int64)
+        self.at = np.concatenate([np.arange(len(h)) for h, _ in found])[order] if found else np.zeros(0, np.int64)
+
+    def bounds(self, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(items that share a window with the document, largest coverage each
+        can have: its words inside shared windows), the largest bound first."""
+        held = []
+        for size in self.each if len(self.hashes) else ():
             grams = gram_hashes(doc, size)
-            at = np.minimum(np.searchsorted(seeds, grams), max(len(seeds) - 1, 0))
-            hits = np.unique(grams[seeds[at] == grams]) if len(seeds) and len(grams) else grams[:0]
-            if len(hits):
-                a, b = np.searchsorted(seeds, hits), np.searchsorted(seeds, hits, side="right")
-                found += [owner[x:y] for x, y in zip(a, b)]
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            at = np.minimum(np.searchsorted(self.hashes, grams), len(self.hashes) - 1)
+            hits = np.unique(grams[self.hashes[at] == grams])
+            first = np.searchsorted(self.hashes, hits)
+            counts = np.searchsorted(self.hashes, hits, side="right") - first
+            held.append(np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum()))
+        held = np.concatenate(held) if held else np.zeros(0, np.int64)
+        if not len(held):
+            return held, np.zeros(0)
+        owner, at = self.owner[held], self.at[held]
+        order = np.lexsort((at, owner))
+        owner, at = owner[order], at[order]
+        size = self.sizes[owner]
+        gap = np.append(at[1:] - at[:-1], 0)
+        last = np.append(owner[1:] != owner[:-1], True)
+        items, group = np.unique(owner, return_inverse=True)
+        words = np.bincount(group, weights=np.where(last, size, np.minimum(gap, size)))
+        bound = words / self.lengths[items]
+        order = np.argsort(-bound, kind="stable")
+        return items[order], bound[order]
+
+
+def _tiler(ids: list, words: np.ndarray, offsets: np.ndarray):
+    """Function over batches (key, doc_id, text) that tiles one block.  An item
+    is tiled with the document only if it can reach COVERAGE or be the best:
+    tiles lie inside shared windows."""
+    seeds = Seeds(words, offsets)
+
+    def smaller(a, b) -> bool:
+        return a is not None and (b is None or a < b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -144,11 +168,13 @@ def _tiler(ids: list, words: np.ndarray, offsets: np.ndarray):
             for i in range(part.num_rows):
                 doc = hashed[offs[i]:offs[i + 1]]
                 best, which, spans, items = 0.0, None, [], []
-                for k in candidates(doc):
+                for k, bound in zip(*(x.tolist() for x in seeds.bounds(doc))):
+                    if bound < COVERAGE and (bound < best or (bound == best and not smaller(ids[k], which))):
+                        continue
                     share, tiles = covered(words[offsets[k]:offsets[k + 1]], doc)
                     if share >= COVERAGE:
                         items.append(ids[k])
-                    if share > best or (share == best and share and ids[k] is not None and (which is None or ids[k] < which)):
+                    if share > best or (share == best and share and smaller(ids[k], which)):
                         best, which, spans = share, ids[k], tiles
                 out["coverage"].append(best)
                 out["item_id"].append(which)

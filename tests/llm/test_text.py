@@ -258,6 +258,32 @@ def test_long_and_tied_conversations_come_in_parts(spark):
     assert rotate(spark, []) == []
 
 
+def test_a_prompt_that_many_items_share_is_not_tiled_for_each(spark, monkeypatch):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(500)]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    prompt = "answer the following question with one word"
+    items = [(i, f"{prompt} {some(rng.randint(5, 30))}") for i in range(3000)] + [(None, prompt + " x"), (5000, "w1 w2"), (5001, "")]
+    doc = f"{some(40)} {prompt} {some(40)} {items[7][1]} {some(3)}"
+    ids = [i for i, _ in items]
+    words_, offsets = decontamination.words_of(pa.array([t for _, t in items]))
+    tiled = []
+    real = decontamination.covered
+    monkeypatch.setattr(decontamination, "covered", lambda *a: tiled.append(1) or real(*a))
+    for text in (doc, some(30), prompt, f"{some(9)} {prompt}", items[9][1], "w1 w2 " + prompt):
+        one = pa.record_batch({"doc_id": [1], "text_hash": [2], "text": [text]})
+        tiled.clear()
+        (got,) = list(decontamination._tiler(ids, words_, offsets)(iter([one])))
+        assert len(tiled) < 60
+        own, _ = decontamination.words_of(pa.array([text]))
+        every = [(real(words_[offsets[k]:offsets[k + 1]], own)[0], ids[k]) for k in range(len(ids))]
+        best = max(s for s, _ in every)
+        named = [i for s, i in every if s == best and i is not None]
+        got = got.to_pylist()[0]
+        assert got["coverage"] == best and got["item_id"] == (min(named) if best and named else None)
+        assert got["items"] == sorted(i for s, i in every if s >= decontamination.COVERAGE and i is not None)
+
+
 def test_names_differ_in_more_than_case(spark):
     model = sentencepiece_fst.read_model()
     d = spark.createDataFrame([(1, "one two", 5, "x")], "doc_id long, text string, IDS int, Round_Trip string")
