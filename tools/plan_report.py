@@ -25,19 +25,23 @@ NOTES = """## Plan iterations
   hot key sends one row per map task. 2.4-3.4 s -> 1.6-2.1 s for 600,000 lines.
 * `quotes_*`: equal texts meet by their SHA-256; the text is payload and no
   longer shuffle and sort key.
-* `product_metrics`, `top_products`: the checkpoint holds the four sales
-  columns of the products sold (not the whole catalogue) and is written by the
-  first job that needs it.
-* `customer_analytics`: preferred category is `mode(category, deterministic)`
-  in the per-customer aggregate.
+* `clean_orders`, `clean_products`: ties by a digest of the row, taken before
+  the shuffle. `join_lookup` shuffles four columns (key, product, quantity,
+  digest) where all ten were shuffled and sorted twice.
+* `product_metrics`, `top_products`: no checkpoint. The maximum is a scalar
+  subquery over whole rows of the same plan, so its exchanges are reused:
+  catalogue and orders are scanned and cleaned once.
+* `customer_analytics`: one hash aggregate of (day) and (category) rows per
+  customer and a top-1 window over what is left, in place of `mode`'s object
+  buffer beside a distinct count.
 * `daily_metrics`: orders are aggregated per (product, day) before the
   catalogue join.
-* `gen_orders`: the table size is one count job (as scalar subqueries it was
-  planned once per use).
-* `sql_rank`: chunked `rank_within` (range partition + checkpoint + offsets,
-  null-safe join of the offsets).
-* `join_full`: one salted `skew_join` on (key, salt), salts from the key's
-  number of rows.
+* `gen_orders`: two digests a row give four numbers and all draws; duplicates
+  are exploded in the same pass; the table size is a scalar subquery.
+* `sql_rank`: `rank_within` by quantile bounds of the hot groups (none here), no
+  checkpoint, one shuffle of the table.
+* `join_full`: `skew_join` salts both sides; without hot keys the adaptive plan
+  is the plain join.
 * Scans are not spread round robin any more unless `spark.tessera.spread` asks.
 """
 
