@@ -28,6 +28,7 @@ text are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -219,20 +220,20 @@ def bucket_counts(coded: DataFrame) -> DataFrame:
             .groupBy("bucket").agg(F.sum("n").alias("n")))
 
 
-def gains(source: DataFrame, target: DataFrame) -> DataFrame:
-    """(bucket, gain) of all buckets: floor(1000 ln of the smoothed ratio of
-    target to source shares)."""
-    both = (source.select("bucket", F.col("n").alias("s"), F.lit(0).cast("long").alias("t"))
-            .unionByName(target.select("bucket", F.lit(0).cast("long").alias("s"), F.col("n").alias("t")))
-            .unionByName(source.sparkSession.range(BUCKETS).select(
-                F.col("id").alias("bucket"), F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("t"))))
-    each = both.groupBy("bucket").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
-    total = each.agg(F.sum("s").alias("ss"), F.sum("t").alias("tt"))
-    up = (F.col("t").cast("double") + 1) * (F.col("ss").cast("double") + BUCKETS)
-    down = (F.col("s").cast("double") + 1) * (F.col("tt").cast("double") + BUCKETS)
-    # ``total`` is one row.
-    return (each.join(F.broadcast(total), F.lit(True))
-            .select("bucket", F.floor(F.lit(1000.0) * F.log(up / down)).alias("gain")))
+def gains(source: DataFrame, target: DataFrame) -> np.ndarray:
+    """Gain of every bucket: floor(1000 ln of the smoothed ratio of target to
+    source shares).  What reaches the driver is one row a bucket."""
+    zero = F.lit(0).cast("long")
+    both = (source.select("bucket", F.col("n").alias("s"), zero.alias("t"))
+            .unionByName(target.select("bucket", zero.alias("s"), F.col("n").alias("t"))))
+    counts = np.zeros((2, BUCKETS), np.int64)
+    for row in both.groupBy("bucket").agg(F.sum("s").alias("s"), F.sum("t").alias("t")).collect():
+        counts[:, row["bucket"]] = row["s"], row["t"]
+    (ss, tt), gain = counts.sum(axis=1).tolist(), np.zeros(BUCKETS, np.int64)
+    for bucket, (s, t) in enumerate(counts.T.tolist()):
+        ratio = (t + 1.0) * (ss + float(BUCKETS)) / ((s + 1.0) * (tt + float(BUCKETS)))
+        gain[bucket] = math.floor(1000.0 * math.log(ratio))
+    return gain
 
 
 def weights(coded: DataFrame, gain: np.ndarray) -> DataFrame:
@@ -281,10 +282,7 @@ def resample(docs: DataFrame, target: DataFrame, *, percent: int = DRAW_PERCENT,
 
     Runs jobs while the plan is built (codes, histograms, count, order)."""
     coded = stored(feature_codes(docs, F.col("doc_id"), text_hash().alias("text_hash")), "feature_codes")
-    found = gains(bucket_counts(coded), bucket_counts(feature_codes(target))).collect()
-    gain = np.zeros(BUCKETS, np.int64)
-    for row in found:
-        gain[row["bucket"]] = row["gain"]
+    gain = gains(bucket_counts(coded), bucket_counts(feature_codes(target)))
     scored = weights(coded, gain).withColumn("score", F.col("weight") + gumbel())
     wanted = coded.where(F.col("n_words") >= min_words).count() * percent // 100
     fit = F.col("n_words") >= min_words
