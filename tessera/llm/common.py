@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside send at most ``rows`` rows at once to a Python task,
+    which bounds what the task and its JVM hold of long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, min(rows, int(old)) if int(old) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

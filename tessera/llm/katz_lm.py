@@ -55,7 +55,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_words, mix, slices, split_words, stored
+from .common import hash_words, mix, slices, small_batches, split_words, stored
 
 CUT = 5                 # counts above are not discounted
 FOLDS, HELD_OUT = 7, 2  # crc32(doc_id) mod FOLDS == HELD_OUT is not learnt from
@@ -63,6 +63,8 @@ START, END = np.uint64(1), np.uint64(2)
 HEAD_BITS = 20          # frequent words that every task holds
 SHARD_TOKENS = 3_000_000
 PACK_ROWS, PACK_BYTES = 4096, 5 << 20    # texts of one packed slice
+COUNT_ROWS, COUNT_BYTES = 2048, 3 << 19  # texts counted at once
+BATCH_ROWS = 1000                        # rows that a task gets from the JVM at once
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -85,8 +87,8 @@ def before(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for part in slices(batches, "text", PACK_ROWS, PACK_BYTES):
+def _texts(batches: Iterator[pa.RecordBatch], rows: int = COUNT_ROWS, size: int = COUNT_BYTES) -> Iterator[tuple]:
+    for part in slices(batches, "text", rows, size):
         tokens, offsets = token_hashes(part.column("text"))
         pa.default_memory_pool().release_unused()
         yield part, tokens, before(tokens, offsets), np.repeat(np.arange(part.num_rows), np.diff(offsets))
@@ -205,7 +207,7 @@ def _wide(data: bytes, n: int) -> np.ndarray:
 def _pack(plan: Plan):
     """One row per slice and shard: tokens in the order of their context."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, tokens, ctx, row in _texts(batches):
+        for part, tokens, ctx, row in _texts(batches, PACK_ROWS, PACK_BYTES):
             row_keys = part.column("row_key").to_numpy().view(np.uint64)
             held = np.packbits(part.column("held_out").to_numpy(zero_copy_only=False)).tobytes()
             _, at, times = np.unique(mix(_pair(ctx, tokens) + row.astype(np.uint64)), return_index=True, return_counts=True)
@@ -341,6 +343,10 @@ class Katz:
     them: ``scores`` has (row_key, n_tokens, n_known, base_score, score)."""
 
     def __init__(self, rows: DataFrame, shard_tokens: int = SHARD_TOKENS):
+        with small_batches(rows.sparkSession, BATCH_ROWS):      # all passes over the texts run in here
+            self._fit(rows, shard_tokens)
+
+    def _fit(self, rows: DataFrame, shard_tokens: int) -> None:
         words = stored(rows.select("text", "held_out").mapInArrow(_count_words, "word long, n long")
                        .groupBy("word").agg(F.sum("n").alias("c")), "unigrams")
         total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
