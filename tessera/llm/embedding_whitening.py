@@ -15,7 +15,8 @@
 4. The covariance of the projected rows, aggregated from them, is compared
    with the identity.
 
-Memory: a block is ``rows_per_block`` x dimension doubles; the driver holds a
+The blocks are persisted while the products read them (in memory, then on
+disk).  Memory: a block is ``rows_per_block`` x dimension doubles; the driver holds a
 few dimension x dimension matrices and MLlib's list of blocks (one index pair a
 block; ``rows_per_block`` grows so that there are at most ``MAX_BLOCKS``).
 
@@ -35,6 +36,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg import DenseMatrix
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -167,12 +169,15 @@ def whiten(embeddings: DataFrame, k: int = COMPONENTS) -> DataFrame:
     if n == 0:
         return spark.createDataFrame([], SCHEMA)
     k = min(k, len(sums))
-    matrix = centred_matrix(rows, n, sums)
+    # The products read the blocks four times; a lost one is built again.
+    matrix = centred_matrix(rows, n, sums).persist(StorageLevel.MEMORY_AND_DISK)
     values, vectors, trace = components(scatter(matrix) / n, k)
     live = int((values > FLAT * trace).sum()) if trace > 0 else 0
     own = rows.select("row", "vec_id", deviation(n, sums, bound).alias("deviation"))
     if live:
         white = stored(projected(spark, matrix, vectors[:, :live] / np.sqrt(values[:live])), "whitened")
+    matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
+    if live:
         error = identity_error(white, live)
         own = own.join(white, "row")
     else:
