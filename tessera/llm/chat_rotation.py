@@ -7,7 +7,9 @@ its end mark.
 
 A rendering comes in parts of PART_TURNS turn numbers (most dialogues are one
 part), so a row holds a bounded number of messages however long a conversation
-is.  Messages that share a turn are ordered by speaker and text; more than
+is.  Every later part opens with the conversation's first system message, so
+that each is a dialogue of its own; the parts in order, without those copies,
+are the whole rendering.  Messages that share a turn are ordered by speaker and text; more than
 PART_TURNS of them are first dealt to buckets, each a part of its own.
 
 Defined results: a message that is repeated exactly counts once; a null turn
@@ -91,6 +93,11 @@ def rotate(df: DataFrame, speaker: str = "role") -> DataFrame:
                                                      "turn", "speaker", "text")
     parts = dealt.groupBy("conv_id", "part", "bucket").agg(
         F.array_sort(F.collect_list(F.struct("turn", "speaker", "text"))).alias("messages"))
+    opening = (messages.filter(F.col("speaker") == SYSTEM).groupBy(F.col("conv_id").alias("_of"))
+               .agg(F.min(F.struct("turn", "speaker", "text")).alias("opening")))
+    earlier = F.col("opening") < F.col("messages")[0]
+    parts = parts.join(opening, F.col("conv_id").eqNullSafe(F.col("_of")), "left").withColumn(
+        "messages", F.when(earlier, F.concat(F.array("opening"), F.col("messages"))).otherwise(F.col("messages"))).drop("_of", "opening")
     people = (messages.filter(F.col("speaker") != SYSTEM).select(F.col("conv_id").alias("_conv"), "speaker").distinct())
     rotated = parts.join(people, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
     return rotated.select("conv_id", "speaker", "part", "bucket", "messages").mapInArrow(_render_rows, SCHEMA)

@@ -258,6 +258,25 @@ def test_long_and_tied_conversations_come_in_parts(spark):
     assert rotate(spark, []) == []
 
 
+def test_later_parts_open_with_the_system_message(spark):
+    n = chat_rotation.PART_TURNS
+    rows = [(1, 0, "system", "be kind"), (1, 1, "system", "second")] + [(1, t, "ab"[t % 2], f"t{t}") for t in range(2, 2 * n + 1)]
+    rows += [(2, t, "ab"[t % 2], f"t{t}") for t in range(n + 1)] + [(2, n + 1, "system", "late")]
+    got = {(r["conv_id"], r["speaker"], r["part"]): r for r in rotate(spark, rows)}
+    assert len(got) == 2 * 3 + 2 * 2
+    for who in "ab":
+        parts = [got[1, who, k]["text"] for k in range(3)]
+        assert all(p.startswith("<|system|>\nbe kind<|end|>\n") for p in parts)
+        assert parts[0].count("<|system|>") == 2 and parts[1].count("<|system|>") == parts[2].count("<|system|>") == 1
+        copy = len("<|system|>\nbe kind<|end|>\n")
+        own = [(s, t) for c, _, s, t in rows if c == 1]
+        assert parts[0] + parts[1][copy:] + parts[2][copy:] == chat_rotation.render(own, who)[0]
+        for k in range(3):
+            r = got[1, who, k]
+            assert all(r["text"][a["start"]:a["end"]].endswith("<|end|>\n") for a in r["loss_spans"]) and len(r["mask"]) == r["n_messages"]
+        assert not got[2, who, 0]["text"].startswith("<|system|>") and got[2, who, 1]["text"].count("late") == 1
+
+
 def test_a_prompt_that_many_items_share_is_not_tiled_for_each(spark, monkeypatch):
     rng = random.Random(12)
     words = [f"w{i}" for i in range(500)]
