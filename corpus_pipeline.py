@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontamination, exact_dedup, jaccard_join, language_id, sentencepiece_fst
-from tessera.llm.common import documents, stored
+from tessera.llm.common import documents, small_batches, stored
+
+BATCH_ROWS = 1000
 
 
 def accept_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,6 +52,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    # Long texts: a task and its JVM hold few rows of them at a time.
+    with small_batches(spark, BATCH_ROWS):
+        for name, stage in STAGES[:-1]:
+            docs = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
