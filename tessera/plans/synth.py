@@ -2,9 +2,10 @@
 
 Every value is drawn from the row id, never from ``rand()``: a regenerated
 partition gives the same rows, and the same tables come out at any
-partitioning.  One or two MD5 digests a row give 60-bit numbers
-(``tessera.functions.hashing.numbers``), and each number several draws.  Ids come from ``spark.range(n)``
-or from any DataFrame with an ``id`` column.
+partitioning.  Each value of a customer has a digest of its own
+(``tessera.functions.hashing.draw``); products and orders take several draws from
+a digest (``numbers``).  Ids come from ``spark.range(n)`` or from any DataFrame with an
+``id`` column.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import as_of_date
-from tessera.functions.hashing import numbers, split_draw
+from tessera.functions.hashing import draw_below, numbers, split_draw
 from tessera.sinks.files import write_parquet
 
 # Fixed values of the generator (reference lists and rates).
@@ -40,6 +41,10 @@ def _pick(values: list[str], drawn: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), drawn.cast("int"))
 
 
+def _drawn(values: list[str], stream: int) -> Column:
+    return _pick(values, draw_below("id", stream, len(values)))
+
+
 def _cents(drawn: Column, low_cents: int) -> Column:
     """low + round(u * span) in cents, u uniform in [0, 1); ``drawn`` is below
     :func:`cent_steps` of the span."""
@@ -68,7 +73,6 @@ def table_sizes(n_orders) -> tuple[Column, Column]:
 
 
 # Sizes of the draws that share one number (see ``split_draw``).
-CUSTOMER_DRAWS = (PER, 10_000, len(CITIES), 1095, len(CUSTOMER_TYPES))
 PRODUCT_DRAWS = (len(CATEGORIES), len(BRANDS), cent_steps(49500), PER)
 STOCK_DRAWS = (1000, 100)
 ORDER_DRAWS = (5, 365, len(ORDER_STATUSES), len(PAYMENT_METHODS), PER)
@@ -78,16 +82,15 @@ AMOUNT_DRAWS = (cent_steps(49500), cent_steps(5000), cent_steps(2000))
 def generate_customers(id_df: DataFrame, as_of: str | None = None) -> DataFrame:
     cid = (F.col("id") + 1).cast("long")
     email = F.concat(F.lit("customer"), cid.cast("string"), F.lit("@example.com"))
-    no_email, phone, city, days, kind = split_draw(F.col("_n0"), *CUSTOMER_DRAWS)
-    return _with_numbers(id_df, 1).select(
+    return id_df.select(
         cid.alias("customer_id"),
         F.concat(F.lit("FirstName"), cid.cast("string")).alias("first_name"),
         F.concat(F.lit("LastName"), cid.cast("string")).alias("last_name"),
-        F.when(no_email < NULL_EMAIL_PER_100K, F.lit(None).cast("string")).otherwise(email).alias("email"),
-        F.concat(F.lit("614-555-"), F.lpad(phone.cast("string"), 4, "0")).alias("phone"),
-        _pick(CITIES, city).alias("city"),
-        F.date_sub(as_of_date(as_of), days.cast("int")).alias("registration_date"),
-        _pick(CUSTOMER_TYPES, kind).alias("customer_type"),
+        F.when(draw_below("id", 0, PER) < NULL_EMAIL_PER_100K, F.lit(None).cast("string")).otherwise(email).alias("email"),
+        F.concat(F.lit("614-555-"), F.lpad(draw_below("id", 1, 10000).cast("string"), 4, "0")).alias("phone"),
+        _drawn(CITIES, 2).alias("city"),
+        F.date_sub(as_of_date(as_of), draw_below("id", 3, 1095).cast("int")).alias("registration_date"),
+        _drawn(CUSTOMER_TYPES, 4).alias("customer_type"),
     )
 
 

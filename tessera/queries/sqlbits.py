@@ -150,3 +150,7 @@ def pick(values: Sequence[str], drawn: str) -> str:
 
 def drawn_cents(drawn: str, low: int) -> str:
     return f"CAST({low} + ({drawn} + 1) // 2 AS DOUBLE) / 100"
+
+
+def drawn_pick(values: Sequence[str], k: str, stream: int) -> str:
+    return pick(values, draw_below(k, stream, len(values)))

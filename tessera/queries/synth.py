@@ -22,15 +22,15 @@ def _date_sub(n: str) -> str:
     return f"CAST(DATE '{AS_OF}' - CAST({n} AS INTEGER) AS DATE)"
 
 
-_C = S.split_draw("n0", *G.CUSTOMER_DRAWS)
-_GEN_CUSTOMERS = f"""WITH i AS (SELECT c_custkey - 1 AS id FROM customer), n AS (SELECT id, {S.number('id', 0)} AS n0 FROM i)
+_GEN_CUSTOMERS = f"""WITH i AS (SELECT c_custkey - 1 AS id FROM customer)
 SELECT CAST(id + 1 AS BIGINT) AS customer_id, 'FirstName' || CAST(id + 1 AS VARCHAR) AS first_name,
   'LastName' || CAST(id + 1 AS VARCHAR) AS last_name,
-  CASE WHEN {_C[0]} < {G.NULL_EMAIL_PER_100K} THEN NULL
+  CASE WHEN {S.draw_below('id', 0, 100000)} < {G.NULL_EMAIL_PER_100K} THEN NULL
        ELSE 'customer' || CAST(id + 1 AS VARCHAR) || '@example.com' END AS email,
-  '614-555-' || lpad(CAST({_C[1]} AS VARCHAR), 4, '0') AS phone,
-  {S.pick(G.CITIES, _C[2])} AS city, {_date_sub(_C[3])} AS registration_date,
-  {S.pick(G.CUSTOMER_TYPES, _C[4])} AS customer_type FROM n"""
+  '614-555-' || lpad(CAST({S.draw_below('id', 1, 10000)} AS VARCHAR), 4, '0') AS phone,
+  {S.drawn_pick(G.CITIES, 'id', 2)} AS city,
+  {_date_sub(S.draw_below('id', 3, 1095))} AS registration_date,
+  {S.drawn_pick(G.CUSTOMER_TYPES, 'id', 4)} AS customer_type FROM i"""
 
 
 @register("gen_customers", _GEN_CUSTOMERS)
