@@ -2,9 +2,9 @@
 
 Every value is drawn from the row id, never from ``rand()``: a regenerated
 partition gives the same rows, and the same tables come out at any
-partitioning.  Each value of a customer has a digest of its own
-(``tessera.functions.hashing.draw``); products and orders take several draws from
-a digest (``numbers``).  Ids come from ``spark.range(n)`` or from any DataFrame with an
+partitioning.  Each value of a customer or order has a digest of its own
+(``tessera.functions.hashing.draw``); products take several draws from a digest
+(``numbers``).  Ids come from ``spark.range(n)`` or from any DataFrame with an
 ``id`` column.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import as_of_date
-from tessera.functions.hashing import draw_below, numbers, split_draw
+from tessera.functions.hashing import draw, draw_below, numbers, split_draw, threshold
 from tessera.sinks.files import write_parquet
 
 # Fixed values of the generator (reference lists and rates).
@@ -31,7 +31,7 @@ NULL_EMAIL_PER_100K = 100        # 0.1%
 NEGATIVE_PRICE_PER_100K = 50     # 0.05%
 NULL_CUSTOMER_PER_100K = 50      # 0.05%
 INACTIVE_PER_100 = 5             # 5% inactive
-DUPLICATES_PER_100K = 100        # 0.1% duplicated orders
+DUPLICATE_FRACTION = 0.001       # 0.1% duplicated orders
 PER = 100_000
 MIN_CUSTOMERS, CUSTOMERS_PER_ORDER_DIV = 10000, 5
 MIN_PRODUCTS, PRODUCTS_PER_ORDER_DIV = 1000, 100
@@ -55,6 +55,10 @@ def cent_steps(span_cents: int) -> int:
     return span_cents * 2 + 1
 
 
+def _drawn_cents(stream: int, low_cents: int, span_cents: int) -> Column:
+    return _cents(draw_below("id", stream, cent_steps(span_cents)), low_cents) / F.lit(100.0)
+
+
 def _with_numbers(id_df: DataFrame, n: int) -> DataFrame:
     """``id`` and the columns _n0, _n1, ... every draw of a row is made from."""
     return id_df.select("id", *[c.alias(f"_n{i}") for i, c in enumerate(numbers("id", n))])
@@ -75,8 +79,6 @@ def table_sizes(n_orders) -> tuple[Column, Column]:
 # Sizes of the draws that share one number (see ``split_draw``).
 PRODUCT_DRAWS = (len(CATEGORIES), len(BRANDS), cent_steps(49500), PER)
 STOCK_DRAWS = (1000, 100)
-ORDER_DRAWS = (5, 365, len(ORDER_STATUSES), len(PAYMENT_METHODS), PER)
-AMOUNT_DRAWS = (cent_steps(49500), cent_steps(5000), cent_steps(2000))
 
 
 def generate_customers(id_df: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -116,23 +118,23 @@ def generate_orders(id_df: DataFrame, max_customer_id, max_product_id,
     1..max_product_id (ints or Columns, e.g. scalar subqueries); 0.05% have
     no customer and 0.1% are duplicated.  One pass: a duplicated order comes
     out of its own row twice."""
-    (customer,) = split_draw(F.col("_n0"), max_customer_id)
-    product, twice = split_draw(F.col("_n1"), max_product_id, PER)
-    quantity, days, status, payment, no_customer = split_draw(F.col("_n2"), *ORDER_DRAWS)
-    total, discount, shipping = split_draw(F.col("_n3"), *AMOUNT_DRAWS)
-    copies = F.when(twice < DUPLICATES_PER_100K, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return _with_numbers(id_df, 4).withColumn("_copy", F.explode(copies)).select(
-        (F.col("id") + 1).cast("long").alias("order_id"),
-        F.when(no_customer < NULL_CUSTOMER_PER_100K, F.lit(None).cast("long")).otherwise(customer + 1).alias("customer_id"),
-        (product + 1).alias("product_id"),
-        (quantity + 1).cast("int").alias("quantity"),
-        F.date_sub(as_of_date(as_of), days.cast("int")).alias("order_date"),
-        _pick(ORDER_STATUSES, status).alias("order_status"),
-        _pick(PAYMENT_METHODS, payment).alias("payment_method"),
-        (_cents(total, 1000) / F.lit(100.0)).alias("total_amount"),
-        (_cents(discount, 0) / F.lit(100.0)).alias("discount_amount"),
-        (_cents(shipping, 500) / F.lit(100.0)).alias("shipping_cost"),
-    )
+    order_id = (F.col("id") + 1).cast("long")
+    copies = (F.when(draw(order_id, 9) < threshold(DUPLICATE_FRACTION), F.array(F.lit(1), F.lit(2)))
+              .otherwise(F.array(F.lit(1))))
+    return id_df.select(
+        order_id.alias("order_id"),
+        F.when(draw_below("id", 11, PER) < NULL_CUSTOMER_PER_100K, F.lit(None).cast("long"))
+         .otherwise(draw_below("id", 0, max_customer_id) + 1).alias("customer_id"),
+        (draw_below("id", 1, max_product_id) + 1).alias("product_id"),
+        (draw_below("id", 2, 5) + 1).cast("int").alias("quantity"),
+        F.date_sub(as_of_date(as_of), draw_below("id", 3, 365).cast("int")).alias("order_date"),
+        _drawn(ORDER_STATUSES, 4).alias("order_status"),
+        _drawn(PAYMENT_METHODS, 5).alias("payment_method"),
+        _drawn_cents(6, 1000, 49500).alias("total_amount"),
+        _drawn_cents(7, 0, 5000).alias("discount_amount"),
+        _drawn_cents(8, 500, 2000).alias("shipping_cost"),
+        copies.alias("_copies"),
+    ).withColumn("_copy", F.explode_outer("_copies")).drop("_copies", "_copy")    # outer: no filter that draws again
 
 
 def generate_all(spark: SparkSession, n_orders: int, out: str, as_of: str | None = None) -> dict:

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.hashing import threshold
 from tessera.plans import synth as G
 from tessera.queries import register
 from tessera.queries import sqlbits as S
@@ -56,18 +57,19 @@ def gen_products(spark, sf):
 _N_CUST = f"(SELECT greatest({G.MIN_CUSTOMERS}, COUNT(*) // {G.CUSTOMERS_PER_ORDER_DIV}) FROM orders)"
 _N_PROD = f"(SELECT greatest({G.MIN_PRODUCTS}, COUNT(*) // {G.PRODUCTS_PER_ORDER_DIV}) FROM orders)"
 
-_CUST, = S.split_draw("n0", _N_CUST)
-_PROD, _TWICE = S.split_draw("n1", _N_PROD, G.PER)
-_O = S.split_draw("n2", *G.ORDER_DRAWS) + S.split_draw("n3", *G.AMOUNT_DRAWS)
 _GEN_ORDERS = f"""WITH i AS (SELECT o_orderkey - 1 AS id FROM orders),
-n AS (SELECT id, {', '.join(f"{S.number('id', k)} AS n{k}" for k in range(4))} FROM i),
 g AS (SELECT CAST(id + 1 AS BIGINT) AS order_id,
-  CASE WHEN {_O[4]} < {G.NULL_CUSTOMER_PER_100K} THEN NULL ELSE {_CUST} + 1 END AS customer_id,
-  {_PROD} + 1 AS product_id, CAST({_O[0]} + 1 AS INTEGER) AS quantity, {_date_sub(_O[1])} AS order_date,
-  {S.pick(G.ORDER_STATUSES, _O[2])} AS order_status, {S.pick(G.PAYMENT_METHODS, _O[3])} AS payment_method,
-  {S.drawn_cents(_O[5], 1000)} AS total_amount, {S.drawn_cents(_O[6], 0)} AS discount_amount,
-  {S.drawn_cents(_O[7], 500)} AS shipping_cost, {_TWICE} < {G.DUPLICATES_PER_100K} AS twice FROM n)
-SELECT * EXCLUDE (twice) FROM g UNION ALL SELECT * EXCLUDE (twice) FROM g WHERE twice"""
+  CASE WHEN {S.draw_below('id', 11, 100000)} < {G.NULL_CUSTOMER_PER_100K} THEN NULL
+       ELSE {S.draw_below('id', 0, _N_CUST)} + 1 END AS customer_id,
+  {S.draw_below('id', 1, _N_PROD)} + 1 AS product_id,
+  CAST({S.draw_below('id', 2, 5)} + 1 AS INTEGER) AS quantity,
+  {_date_sub(S.draw_below('id', 3, 365))} AS order_date,
+  {S.drawn_pick(G.ORDER_STATUSES, 'id', 4)} AS order_status,
+  {S.drawn_pick(G.PAYMENT_METHODS, 'id', 5)} AS payment_method,
+  CAST({S.cents_between('id', 6, 1000, 49500)} AS DOUBLE) / 100 AS total_amount,
+  CAST({S.cents_between('id', 7, 0, 5000)} AS DOUBLE) / 100 AS discount_amount,
+  CAST({S.cents_between('id', 8, 500, 2000)} AS DOUBLE) / 100 AS shipping_cost FROM i)
+SELECT * FROM g UNION ALL SELECT * FROM g WHERE {S.draw('order_id', 9)} < {threshold(G.DUPLICATE_FRACTION)}"""
 
 
 @register("gen_orders", _GEN_ORDERS)

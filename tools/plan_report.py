@@ -36,8 +36,8 @@ NOTES = """## Plan iterations
   buffer beside a distinct count.
 * `daily_metrics`: orders are aggregated per (product, day) before the
   catalogue join.
-* `gen_orders`: two digests a row give four numbers and all draws; duplicates
-  are exploded in the same pass; the table size is a scalar subquery.
+* `gen_orders`: a digest per value, each computed once a row; duplicates are
+  exploded in the same pass; the table size is a scalar subquery.
 * `sql_rank`: `rank_within` by quantile bounds of the hot groups (none here), no
   checkpoint, one shuffle of the table.
 * `join_full`: `skew_join` salts both sides; without hot keys the adaptive plan
