@@ -2,12 +2,14 @@
 
 Three transducers are compiled from the model file:
 
-* the normaliser N maps a space to U+2581, puts U+2581 in front of a non-empty
-  text and passes other characters (the identity rule; a model that asks for a
-  character map is refused);
+* the normaliser N rewrites, leftmost and longest first, what the model's
+  character map lists (user-defined pieces and other characters pass), drops
+  leading, trailing and repeated spaces where the model asks for it, puts a space
+  in front of a non-empty text and maps spaces to U+2581;
 * the piece transducer P spells each vocabulary piece from characters, with an
   arc per piece, and falls back to one byte piece per UTF-8 byte where a
-  character has no piece (or to <unk> where the model has no byte pieces);
+  character has no piece (or to <unk> where the model has no byte pieces); a
+  user-defined piece stays whole;
 * the grammar G weighs sequences.  For a unigram model an arc's weight is the
   piece's negative score.  For a BPE model G has one state per piece, and the
   arc from piece a to piece b weighs 0 if merging a+b by rank yields exactly
@@ -21,12 +23,11 @@ that no piece can cross (before U+2581 that follows another character, and
 around punctuation that the vocabulary never joins with other characters)
 is a segment of the lattice, so the path of a text is the concatenation of its
 segments' paths; segments repeat, and a task keeps the paths of at most CACHE
-of them, packed, and joins them for a text.  Pieces and bytes on a path spell
-its segment, so only texts with unknown pieces, and those of a normaliser that
-drops spaces, are decoded to see whether they come back.
+of them, packed, and joins them for a text.
 
 Decoding is the inverse transducer: pieces to characters, byte pieces to
-UTF-8, U+2581 to space, without the first one.
+UTF-8, U+2581 to space, without the first one.  Every text's path is decoded to
+see whether the text comes back.
 
 Defined results: null and empty texts have no ids; U+2581 in a text decodes to
 a space, as in the reference format; repeated rows are encoded alike.
@@ -42,6 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,6 +85,111 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             i += n
 
 
+def _character_map(blob: bytes) -> dict[str, str]:
+    """What a model's character map rewrites, and to what: a double array over
+    UTF-8 bytes (its size, its units), then the outputs, each closed by 0."""
+    if not blob:
+        return {}
+    size = struct.unpack_from("<I", blob)[0]
+    units, outputs = np.frombuffer(blob, "<u4", size // 4, 4), blob[4 + size:]
+    labels, found = np.arange(1, 256, dtype=np.uint32), {}
+
+    def base(at: int) -> int:
+        unit = int(units[at])
+        return at ^ ((unit >> 10) << ((unit & 0x200) >> 6))
+    todo = [(base(0), b"")]
+    while todo:
+        at, key = todo.pop()
+        near = at ^ labels
+        near = near[near < len(units)]
+        for child in near[(units[near] & np.uint32(0x800000FF)) == (near ^ at)].tolist():
+            own = key + bytes([child ^ at])
+            if int(units[child]) >> 8 & 1:
+                start = int(units[base(child)]) & 0x7FFFFFFF
+                found[own.decode()] = outputs[start:outputs.index(b"\0", start)].decode()
+            todo.append((base(child), own))
+    return found
+
+
+def _tree(words: dict[str, object]) -> dict:
+    """Words as a tree: character -> (arcs from there, the word's value or None)."""
+    root: dict = {}
+    for word in sorted(words):                                 # prefixes first
+        node = root
+        for c in word[:-1]:
+            node = node.setdefault(c, ({}, None))[0]
+        node[word[-1]] = (node.get(word[-1], ({}, None))[0], words[word])
+    return root
+
+
+def _longest(root: dict, text: str, at: int) -> tuple[int, object]:
+    """End and value of the longest word of a tree that starts at ``at``, or
+    (at, None)."""
+    node, found = root, (at, None)
+    for j in range(at, len(text)):
+        arc = node.get(text[j])
+        if arc is None:
+            break
+        node, value = arc
+        if value is not None:
+            found = j + 1, value
+    return found
+
+
+class Normaliser:
+    """N: rewriting arcs over the identity, and whether the output so far ends
+    in a space as its state."""
+
+    def __init__(self, spec: dict, whole: list[str]):
+        rewritten = _character_map(spec.get(2, b""))
+        self.dummy_prefix = bool(spec.get(3, 1))
+        self.squeeze = bool(spec.get(4, 1))
+        self.whole, self.arcs = _tree({p: p for p in whole}), _tree(rewritten)
+        first = {*self.whole, *self.arcs} if rewritten else set()
+        self._first = re.compile(f"[{re.escape(''.join(sorted(first)))}]") if first else None
+
+    def _outputs(self, text: str) -> Iterator[str]:
+        """Outputs of the arcs along the text; arcs of the identity in runs."""
+        i, n = 0, len(text)
+        while i < n:
+            at = self._first.search(text, i) if self._first else None
+            if at is None:
+                yield from self._run(text[i:])
+                return
+            j = at.start()
+            if j > i:
+                yield from self._run(text[i:j])
+            end, out = _longest(self.whole, text, j)
+            if out is None:
+                end, out = _longest(self.arcs, text, j)
+            i = end if out is not None else j + 1
+            yield text[j] if out is None else out
+
+    def _run(self, run: str) -> Iterator[str]:
+        if self.squeeze:
+            yield from re.findall(" |[^ ]+", run)
+        else:
+            yield run
+
+    def compose(self, text: str) -> str:
+        """The output of N o text."""
+        if self.squeeze:
+            parts, spaced, some = [], True, False
+            for own in self._outputs(text):
+                some = some or own != " "
+                own = own.lstrip(" ") if spaced else own
+                if own:
+                    parts.append(own)
+                    spaced = own[-1] == " "
+        else:
+            parts, some = self._outputs(text), text
+        if not some:
+            return ""
+        out = "".join(parts)
+        out = (" " + out if self.dummy_prefix else out).replace(" ", SPACE)
+        return out.rstrip(SPACE) if self.squeeze else out
+
+
 class Transducer:
     """The compiled transducers of one model."""
 
@@ -97,25 +204,31 @@ class Transducer:
                 trainer = dict(_fields(value))
             elif number == 3:
                 normaliser = dict(_fields(value))
-        if normaliser.get(2):
-            raise ValueError("models with a character map are not supported")
         self.kind = trainer.get(3, UNIGRAM)
         if self.kind not in (UNIGRAM, BPE):
             raise ValueError("unigram and BPE models only")
-        self.dummy_prefix = bool(normaliser.get(3, 1))
-        self.squeeze = bool(normaliser.get(4, 1))
         self.pieces = pieces
         self.ids = {p: k for k, (p, _, t) in enumerate(pieces) if t in (NORMAL, USER)}
-        self.scores = [s for _, s, _ in pieces]
+        self.whole = {p: k for k, (p, _, t) in enumerate(pieces) if t == USER}
+        self.normaliser = Normaliser(normaliser, list(self.whole))
+        self.dummy_prefix = self.normaliser.dummy_prefix
+        normal = [s for _, s, t in pieces if t == NORMAL]
+        self.least, most = min(normal, default=0.0), max(normal, default=0.0)
+        # a user-defined piece outweighs others (fixed rule of the format, its length in bytes)
+        self.scores = [len(p.encode()) * most - 0.1 if t == USER else s for p, s, t in pieces]
         self.bytes = {int(p[3:5], 16): k for k, (p, _, t) in enumerate(pieces) if t == BYTE}
         self.unknown = next((k for k, (_, _, t) in enumerate(pieces) if t == UNKNOWN), 0)
         self.surface: list[str | int] = [int(p[3:5], 16) if t == BYTE else "" if t == CONTROL else " ⁇ " if t == UNKNOWN else p
                                          for p, _, t in pieces]
+        surface = [bytes([x]) if isinstance(x, int) else x.replace(SPACE, " ").encode() for x in self.surface]
+        self._spelt = pa.array(surface, pa.binary())
         self._stable: dict[int, dict[int, bool]] = {}
         self._arcs = 0
         self._paths = _Paths(self)
         self.root = self._spelling()
         self._cut = self._cuts()
+        self._apart = (re.compile("|".join(re.escape(p) for p in sorted(self.whole, key=len, reverse=True)))
+                       if self.whole and self.kind == BPE else None)
 
     def _cuts(self) -> re.Pattern | None:
         """Segments that no piece crosses: U+2581 with what follows up to the
@@ -136,15 +249,20 @@ class Transducer:
 
     def normalise(self, text: str) -> str:
         """Composition of the text with N."""
-        if self.squeeze:
-            text = re.sub(" +", " ", text.strip(" "))
-        if not text:
-            return ""
-        if self.dummy_prefix:
-            text = " " + text
-        return text.replace(" ", SPACE)
+        return self.normaliser.compose(text)
 
     def segments(self, normal: str) -> list[str]:
+        """Under BPE nothing merges with a user-defined piece: each is a segment."""
+        if self._apart is None:
+            return self._between(normal)
+        out, i = [], 0
+        for found in self._apart.finditer(normal):
+            out += self._between(normal[i:found.start()])
+            out.append(found.group())
+            i = found.end()
+        return out + self._between(normal[i:])
+
+    def _between(self, normal: str) -> list[str]:
         return self._cut.findall(normal) if self._cut else [normal] if normal else []
 
     def merge(self, text: str) -> list[str]:
@@ -195,7 +313,9 @@ class Transducer:
         last, back = [-1] * (n + 1), [0] * (n + 1)
         weight[0] = 0.0
         root, scores, none = self.root, self.scores, {}
-        missing = 0.0 if bpe else 10.0 - min(scores)
+        if bpe and segment in self.whole:
+            return (self.whole[segment],)
+        missing = 0.0 if bpe else 10.0 - self.least
         for i in range(n):
             cost = weight[i]
             if cost == INF:
@@ -241,12 +361,19 @@ class Transducer:
         return np.frombuffer(self.packed(text), ID).tolist()
 
     def same(self, text: str | None, packed: bytes) -> bool:
-        """Whether the ids decode to the text.  A normaliser that only adds
-        U+2581 loses nothing, and paths of pieces and bytes spell their segments;
-        where that does not hold the text is decoded."""
-        if not self.squeeze and not self._paths.lossy:
-            return True
-        return self.decode(np.frombuffer(packed, ID).tolist()) == (text or "").replace(SPACE, " ")
+        """Whether the ids decode to the text."""
+        ids = np.frombuffer(packed, ID)
+        return self.came_back(pa.array([text], pa.string()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids))[0].as_py()
+
+    def came_back(self, texts: pa.Array, ids: pa.ListArray) -> pa.Array:
+        """Whether each text's ids decode to it (U+2581 as a space): the inverse
+        transducer, arc by arc, over all paths of a slice."""
+        spelt = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self._spelt.take(ids.values)), b"").cast(pa.large_binary())
+        want = pc.replace_substring(pc.fill_null(texts, ""), SPACE, " ").cast(pa.large_binary())
+        if not self.dummy_prefix:
+            return pc.equal(spelt, want)
+        led = pc.binary_join_element_wise(pa.scalar(b" ", pa.large_binary()), want, pa.scalar(b"", pa.large_binary()))
+        return pc.if_else(pc.starts_with(spelt, b" "), pc.equal(spelt, led), pc.equal(spelt, want))
 
     def decode(self, ids) -> str:
         surface, parts, raw = self.surface, [], bytearray()
@@ -269,20 +396,16 @@ class Transducer:
 
 class _Paths(dict):
     """Shortest paths of segments, packed; those used since the last two
-    turnovers are kept.  ``lossy`` tells whether some path so far has an unknown
-    piece: all others spell their segment."""
+    turnovers are kept."""
 
     def __init__(self, fst: Transducer):
         super().__init__()
-        self.fst, self.older, self.lossy = fst, {}, False
+        self.fst, self.older = fst, {}
 
     def __missing__(self, segment: str) -> bytes:
         found = self.older.get(segment)
         if found is None:
-            path = self.fst.shortest_path(segment)
-            if not self.fst.bytes and self.fst.unknown in path:
-                self.lossy = True
-            found = array("i", path).tobytes()
+            found = array("i", self.fst.shortest_path(segment)).tobytes()
         if len(segment) <= LONG_SEGMENT:
             if len(self) >= CACHE // 2:
                 self.older = dict(self)
@@ -326,12 +449,10 @@ def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", ch
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = compiled(model)
         for part in slices(batches, text):
-            texts = part.column(text).to_pylist()
-            coded = [fst.packed(t) for t in texts]
-            same = [fst.same(t, own) for t, own in zip(texts, coded)]
+            coded = [fst.packed(t) for t in part.column(text).to_pylist()]
             ends = np.cumsum([0, *[len(own) // ID.itemsize for own in coded]], dtype=np.int32)
             lists = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(coded), ID))
-            yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [lists, pa.array(same)],
+            yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [lists, fst.came_back(part.column(text), lists)],
                                              names=[*names, ids, check])
         fst._paths.older = {}
     return df.mapInArrow(run, schema)

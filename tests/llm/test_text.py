@@ -343,3 +343,44 @@ def test_region_tags_and_rare_languages_are_kept(spark):
     # where every document has a region
     only = d.withColumn("lang", F.concat("lang", F.lit("-XX")))
     assert language_id.identify_documents(only).filter("accepted").count() == d.count()
+
+
+# ---- SentencePiece: character maps, user-defined pieces, decoding of every text
+
+def trained(tmp_path, name, **options):
+    lines = ["the café of ﬁne ①②③ Ｆｕｌｌ width […]", "<sep> a b <sep>c <mask> <mask>x the cat", "½ cup, don’t ﬀ ㌔ ℡ 한글"] * 30
+    (tmp_path / "lines.txt").write_text("\n".join(lines))
+    sentencepiece.SentencePieceTrainer.train(input=str(tmp_path / "lines.txt"), model_prefix=str(tmp_path / name), vocab_size=330,
+                                             hard_vocab_limit=False, byte_fallback=True, minloglevel=2, num_threads=1, **options)
+    path = str(tmp_path / f"{name}.model")
+    return sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_fst.Transducer(sentencepiece_fst.read_model(path)), path
+
+
+@pytest.mark.parametrize("kind", ["bpe", "unigram"])
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf", "identity"])
+@pytest.mark.parametrize("squeeze", [True, False])
+def test_character_maps_and_user_pieces_equal_the_library(tmp_path, kind, rule, squeeze):
+    sp, fst, _ = trained(tmp_path, "m", model_type=kind, normalization_rule_name=rule, remove_extra_whitespaces=squeeze,
+                         user_defined_symbols=["<sep>", "<mask>", "<mask>x"])
+    rng = random.Random(5)
+    parts = ["the ", "café", "café", "ﬁ", "①", "Ｆｕ", "  ", " ", "　", " ", "\t", "\n", "<sep>", "<mask>", "<mask>x", "<se", "x",
+             "㌔", "​", "½", "한", "하", "̈", "’", "▁", "😀", "¨", "ẞ", "\u0001"]
+    texts = ["", " ", "   ", "　", "​", "<sep>", " <sep> ", "a ̈"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(400)]
+    for t in texts:
+        ids = sp.encode(t)
+        assert fst.encode(t) == ids, t
+        assert fst.same(t, fst.packed(t)) == (fst.decode(ids) == t.replace("▁", " ")), t
+
+
+def test_every_path_is_decoded(spark, tmp_path):
+    _, _, path = trained(tmp_path, "m", model_type="bpe", normalization_rule_name="nfkc")
+    d = spark.createDataFrame([(1, "the cat"), (2, "ﬁne"), (3, None), (4, "a  b")], "doc_id long, text string")
+    got = {r["doc_id"]: r["round_trip"] for r in sentencepiece_fst.encode_documents(d, path).collect()}
+    assert got == {1: True, 2: False, 3: True, 4: False}
+
+
+def test_a_wrong_path_does_not_come_back(monkeypatch):
+    fst = sentencepiece_fst.Transducer(sentencepiece_fst.read_model())
+    monkeypatch.setattr(fst, "shortest_path", lambda segment: (fst.ids["a"],))
+    assert not fst.same("two words", fst.packed("two words"))
