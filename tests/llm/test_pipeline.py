@@ -11,6 +11,7 @@ from tessera.llm.common import documents
 from tools.oracle_check import duck
 
 from .test_dedup import brute, shingle_set
+from .test_text import trained
 
 SF = "/root/testdata/sf0.001"
 
@@ -60,3 +61,13 @@ def test_sql(spark, name):
     order = list(want.columns)
     assert (got.sort_values(order).reset_index(drop=True).astype(str)
             .equals(want.sort_values(order).reset_index(drop=True).astype(str)))
+
+
+def test_last_stage_composes_the_normaliser_and_decodes(spark, tmp_path, monkeypatch):
+    _, _, path = trained(tmp_path, "m", model_type="bpe", normalization_rule_name="nfkc")
+    model = sentencepiece_fst.read_model(path)
+    monkeypatch.setattr(sentencepiece_fst, "read_model", lambda path=None: model)
+    d = spark.createDataFrame([(1, "the cat"), (2, "ﬁne")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["ids"], r["round_trip"]) for r in dict(corpus_pipeline.STAGES)["sentencepiece"](spark, d, SF).collect()}
+    fst = sentencepiece_fst.Transducer(model)
+    assert got == {1: (fst.encode("the cat"), True), 2: (fst.encode("fine"), False)}
