@@ -20,12 +20,14 @@ SLICE_ROWS = 256       # rows handled at once inside a task ...
 SLICE_BYTES = 1 << 20  # ... and about as many bytes of text
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: later reads
-    do not depend on the executors that computed it."""
+    do not depend on the executors that computed it.  ``rows_per_file`` bounds
+    what a task holds of wide rows when it writes or reads them."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    write = df.write.option("maxRecordsPerFile", rows_per_file) if rows_per_file else df.write
+    write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

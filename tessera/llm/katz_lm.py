@@ -48,7 +48,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -64,6 +63,7 @@ HEAD_BITS = 20          # frequent words that every task holds
 SHARD_TOKENS = 3_000_000
 PACK_ROWS, PACK_BYTES = 4096, 5 << 20    # texts of one packed slice
 COUNT_ROWS, COUNT_BYTES = 2048, 3 << 19  # texts counted at once
+PARTS = 8                                # a shard's contexts are merged in so many parts, one at a time
 BATCH_ROWS = 1000                        # rows that a task gets from the JVM at once
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -236,76 +236,121 @@ MERGED = ("row_keys binary, n_tokens binary, n_known binary, base binary, fixed
 SUMS = CUT + 3          # per context: n-grams of count 1 .. CUT, tokens of larger counts, sum of P(w), total
 
 
+def _buffers(batch: pa.RecordBatch) -> Iterator[dict[str, pa.Buffer]]:
+    """Binary columns of each row, not copied."""
+    columns = {f.name: batch.column(f.name) for f in batch.schema if pa.types.is_binary(f.type)}
+    for i in range(batch.num_rows):
+        yield {name: column[i].as_buffer() for name, column in columns.items()}
+
+
+def _unpacked(packed: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, list[list[tuple]]]:
+    """Row keys and held-out flags of a shard's texts, and its tokens (context,
+    word, row, times) dealt to ``parts`` by context."""
+    keys, held, dealt, base_row = [], [], [[] for _ in range(parts)], 0
+    for r in (r for batch in packed.to_batches() for r in _buffers(batch)):
+        own = np.frombuffer(r["row_keys"], np.uint64)
+        contexts = np.frombuffer(r["contexts"], np.uint64)
+        runs = _wide(r["runs"], len(contexts))
+        n = int(runs.sum())
+        keys.append(own)
+        held.append(np.unpackbits(np.frombuffer(r["held"], np.uint8), count=len(own)).astype(bool))
+        part = np.repeat((mix(contexts) >> np.uint64(40)) % np.uint64(parts), runs)
+        ctx, word = np.repeat(contexts, runs), np.frombuffer(r["words"], np.uint64)[_wide(r["word_at"], n)]
+        row = _wide(r["row_at"], n).astype(np.int32) + np.int32(base_row)
+        times = _wide(r["times"], n).astype(np.int32)
+        for k in range(parts):
+            at = np.flatnonzero(part == k)
+            dealt[k].append((ctx[at], word[at], row[at], times[at]))
+        base_row += len(own)
+    return np.concatenate(keys), np.concatenate(held), dealt
+
+
 def _merge(plan: Plan):
-    def run(packed: pd.DataFrame, rare: pd.DataFrame) -> pd.DataFrame:
+    """One row per shard.  Its n-grams are merged in PARTS by context, one after
+    the other, which bounds what a task holds besides the tokens."""
+    schema = pa.schema([(c.split()[0], pa.binary() if c.endswith("binary") else pa.list_(pa.int64())) for c in MERGED.split(", ")])
+
+    def run(packed: pa.Table, rare: pa.Table) -> pa.Table:
         if not len(packed):
-            return pd.DataFrame(columns=[c.split()[0] for c in MERGED.split(", ")])
-        keys, held, ctx, word, row, times, base_row = [], [], [], [], [], [], 0
-        for r in packed.itertuples(index=False):
-            own = np.frombuffer(r.row_keys, np.uint64)
-            runs = _wide(r.runs, len(r.contexts) // 8)
-            n = int(runs.sum())
-            keys.append(own)
-            held.append(np.unpackbits(np.frombuffer(r.held, np.uint8), count=len(own)).astype(bool))
-            ctx.append(np.repeat(np.frombuffer(r.contexts, np.uint64), runs))
-            word.append(np.frombuffer(r.words, np.uint64)[_wide(r.word_at, n)])
-            row.append(_wide(r.row_at, n).astype(np.int32) + np.int32(base_row))
-            times.append(_wide(r.times, n).astype(np.int32))
-            base_row += len(own)
-        del packed
-        pa.default_memory_pool().release_unused()
-        keys, held, ctx, word, row, times = map(np.concatenate, (keys, held, ctx, word, row, times))
-        # n-grams of this shard, with their training counts
-        pair, first, gram = np.unique(_pair(ctx, word), return_index=True, return_inverse=True)
-        h, w = ctx[first], word[first]
-        del ctx, word
-        c = np.bincount(gram, weights=np.where(held[row], 0, times), minlength=len(pair)).astype(np.int64)
-        at, ahead = plan.find(plan.pairs, pair)
-        if ahead.any():
-            c[ahead] = plan.pairs_n[at[ahead]]
-        at, known = plan.find(plan.head, w)
-        c_w = np.where(known, plan.head_n[at] if len(plan.head_n) else 0, 0)
-        order = np.argsort(rare["word"].to_numpy().view(np.uint64)) if len(rare) else np.zeros(0, np.int64)
-        rare_w = rare["word"].to_numpy().view(np.uint64)[order] if len(rare) else np.zeros(0, np.uint64)
-        at, in_rare = plan.find(rare_w, w)
-        if in_rare.any():
-            c_w[in_rare] = rare["c"].to_numpy()[order][at[in_rare]]
-        p = (c_w + 1) * plan.unknown
-        # contexts
-        contexts, of = np.unique(h, return_inverse=True)
-        own = ~ahead                                      # n-grams counted ahead are added once, at the end
-        sums = np.zeros((len(contexts), SUMS))
-        for r in range(1, CUT + 1):
-            sums[:, r - 1] = np.bincount(of, weights=own & (c == r), minlength=len(contexts))
-        sums[:, CUT] = np.bincount(of, weights=np.where(own & (c > CUT), c, 0), minlength=len(contexts))
-        sums[:, CUT + 1] = np.bincount(of, weights=np.where(own & (c > 0), p, 0.0), minlength=len(contexts))
-        total = np.bincount(of, weights=np.where(own, c, 0), minlength=len(contexts))
-        at, is_hot = plan.find(plan.hot, contexts)
-        if is_hot.any():
-            total[is_hot] = plan.hot_n[at[is_hot]]
-        sums[:, CUT + 2] = total
-        # texts
-        n_rows, weight = len(keys), times.astype(float)
-        add = lambda value: np.bincount(row, weights=value, minlength=n_rows)
-        log_p = np.log10(p)
-        seen = c > 0
-        fixed = np.where(seen, np.log10(np.maximum(c, 1) / (total[of] + 1)), log_p)
-        small = np.stack([add(np.where(c[gram] == r, times, 0)) for r in range(1, CUT + 1)], axis=1)
-        backed = ~seen & (total[of] > 0)                  # these take their context's weight, too
-        events = np.flatnonzero(backed[gram])
-        used, event_at = np.unique(of[gram[events]], return_inverse=True)
-        return pd.DataFrame([{
-            "row_keys": keys.tobytes(), "n_tokens": add(weight).astype(np.int64).tobytes(),
-            "n_known": add(np.where(c_w[gram] > 0, times, 0)).astype(np.int64).tobytes(),
-            "base": add(weight * log_p[gram]).tobytes(), "fixed": add(weight * fixed[gram]).tobytes(),
-            "small": small.astype(np.int32).tobytes(), "event_row": row[events].astype(np.int32).tobytes(),
-            "event_at": event_at.astype(np.int32).tobytes(), "event_times": times[events].astype(np.int32).tobytes(),
-            "event_context": contexts[used].tobytes(), "event_sums": sums[used].tobytes(),
-            "hot_context": contexts[is_hot].tobytes(), "hot_sums": sums[is_hot].tobytes(),
-            "counts": np.bincount(np.minimum(c[own & seen], CUT + 2), minlength=CUT + 3)[1:CUT + 2]}])
+            return schema.empty_table()
+        keys, held, dealt = _unpacked(packed, PARTS)
+        rare_w, rare_c = (rare.column(k).to_numpy() for k in ("word", "c"))
+        order = np.argsort(rare_w.view(np.uint64))
+        rare_w, rare_c = rare_w.view(np.uint64)[order], rare_c[order]
+        del packed, rare, order
+        n_rows, n_used, total = len(keys), 0, {}
+        lists: dict[str, list[bytes]] = {c: [] for c in ("event_row", "event_at", "event_times", "event_context", "event_sums",
+                                                         "hot_context", "hot_sums")}
+        while dealt:
+            tokens = dealt.pop()
+            if not any(len(t[0]) for t in tokens):
+                continue
+            ctx, word, row, times = (np.concatenate(c) for c in zip(*tokens))
+            del tokens
+            sums, events, used = _merge_part(plan, held, n_rows, ctx, word, row, times, rare_w, rare_c)
+            for name, value in sums.items():
+                if name in total:
+                    total[name] += value
+                else:
+                    total[name] = value
+            events["event_at"] = events["event_at"] + np.int32(n_used)
+            n_used += used
+            for name, value in events.items():
+                lists[name].append(value.tobytes())
+        row = {"row_keys": keys.tobytes(), **{c: _narrow(total[c]) for c in ("n_tokens", "n_known", "small")},
+               **{c: total[c].tobytes() for c in ("base", "fixed")}, **{c: b"".join(v) for c, v in lists.items()}, "counts": total["counts"]}
+        row["event_times"] = _narrow(np.frombuffer(row["event_times"], np.int32))
+        return pa.Table.from_pylist([row], schema)
     return run
 
 
+def _merge_part(plan: Plan, held: np.ndarray, n_rows: int, ctx: np.ndarray, word: np.ndarray, row: np.ndarray, times: np.ndarray,
+                rare_w: np.ndarray, rare_c: np.ndarray) -> tuple[dict, dict, int]:
+    """Sums per text, events per backed-off token, and the number of contexts
+    that the events name, of some of a shard's contexts."""
+    # n-grams of this part, with their training counts
+    pair, first, gram = np.unique(_pair(ctx, word), return_index=True, return_inverse=True)
+    h, w = ctx[first], word[first]
+    c = np.bincount(gram, weights=np.where(held[row], 0, times), minlength=len(pair)).astype(np.int64)
+    at, ahead = plan.find(plan.pairs, pair)
+    if ahead.any():
+        c[ahead] = plan.pairs_n[at[ahead]]
+    at, known = plan.find(plan.head, w)
+    c_w = np.where(known, plan.head_n[at] if len(plan.head_n) else 0, 0)
+    at, in_rare = plan.find(rare_w, w)
+    if in_rare.any():
+        c_w[in_rare] = rare_c[at[in_rare]]
+    p = (c_w + 1) * plan.unknown
+    # contexts
+    contexts, of = np.unique(h, return_inverse=True)
+    own = ~ahead                                      # n-grams counted ahead are added once, at the end
+    sums = np.zeros((len(contexts), SUMS))
+    for r in range(1, CUT + 1):
+        sums[:, r - 1] = np.bincount(of, weights=own & (c == r), minlength=len(contexts))
+    sums[:, CUT] = np.bincount(of, weights=np.where(own & (c > CUT), c, 0), minlength=len(contexts))
+    sums[:, CUT + 1] = np.bincount(of, weights=np.where(own & (c > 0), p, 0.0), minlength=len(contexts))
+    total = np.bincount(of, weights=np.where(own, c, 0), minlength=len(contexts))
+    at, is_hot = plan.find(plan.hot, contexts)
+    if is_hot.any():
+        total[is_hot] = plan.hot_n[at[is_hot]]
+    sums[:, CUT + 2] = total
+    # texts
+    add = lambda value: np.bincount(row, weights=value, minlength=n_rows)
+    log_p = np.log10(p)
+    seen = c > 0
+    fixed = np.where(seen, np.log10(np.maximum(c, 1) / (total[of] + 1)), log_p)
+    small = np.stack([add(np.where(c[gram] == r, times, 0)).astype(np.int32) for r in range(1, CUT + 1)], axis=1)
+    backed = ~seen & (total[of] > 0)                  # these take their context's weight, too
+    events = np.flatnonzero(backed[gram])
+    used, event_at = np.unique(of[gram[events]], return_inverse=True)
+    return ({"n_tokens": add(times).astype(np.int64), "n_known": add(np.where(c_w[gram] > 0, times, 0)).astype(np.int64),
+             "base": add(times * log_p[gram]), "fixed": add(times * fixed[gram]), "small": small,
+             "counts": np.bincount(np.minimum(c[own & seen], CUT + 2), minlength=CUT + 3)[1:CUT + 2]},
+            {"event_row": row[events].astype(np.int32), "event_at": event_at.astype(np.int32), "event_times": times[events].astype(np.int32),
+             "event_context": contexts[used], "event_sums": sums[used], "hot_context": contexts[is_hot], "hot_sums": sums[is_hot]},
+            len(used))
+
+
 def _hot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for h, s in zip(batch.column("hot_context").to_pylist(), batch.column("hot_sums").to_pylist()):
@@ -320,20 +365,21 @@ def _finish(discount: dict[int, float], hot: np.ndarray, hot_sums: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in _buffers(batch):
                 fixed = np.frombuffer(r["fixed"], float)
-                score = fixed + np.frombuffer(r["small"], np.int32).reshape(-1, CUT) @ np.log10(rate)
+                n_rows = len(fixed)
+                score = fixed + _wide(r["small"], n_rows * CUT).reshape(-1, CUT) @ np.log10(rate)
                 contexts, sums = np.frombuffer(r["event_context"], np.uint64), np.frombuffer(r["event_sums"], float).reshape(-1, SUMS).copy()
                 at, is_hot = Plan.find(hot, contexts)
                 if is_hot.any():
                     sums[is_hot, :CUT + 2] = hot_sums[at[is_hot]]
                 kept = sums[:, :CUT] @ (rate * np.arange(1, CUT + 1)) + sums[:, CUT]
                 weight = np.log10((1 - kept / (sums[:, CUT + 2] + 1)) / (1 - sums[:, CUT + 1]))
-                extra = weight[np.frombuffer(r["event_at"], np.int32)] * np.frombuffer(r["event_times"], np.int32)
+                extra = weight[(event_at := np.frombuffer(r["event_at"], np.int32))] * _wide(r["event_times"], len(event_at))
                 score = score + np.bincount(np.frombuffer(r["event_row"], np.int32), weights=extra, minlength=len(score))
                 yield pa.RecordBatch.from_arrays(
-                    [_long(np.frombuffer(r["row_keys"], np.uint64)), pa.array(np.frombuffer(r["n_tokens"], np.int64)),
-                     pa.array(np.frombuffer(r["n_known"], np.int64)), pa.array(np.frombuffer(r["base"], float)), pa.array(score)],
+                    [_long(np.frombuffer(r["row_keys"], np.uint64)), pa.array(_wide(r["n_tokens"], n_rows)),
+                     pa.array(_wide(r["n_known"], n_rows)), pa.array(np.frombuffer(r["base"], float)), pa.array(score)],
                     names=["row_key", "n_tokens", "n_known", "base_score", "score"])
     return run
 
@@ -363,8 +409,8 @@ class Katz:
             plan.pairs, plan.pairs_n = pair[order], hot_pairs["n"].to_numpy()[order]
         rare = ahead.filter("shard >= 0").select("shard", "word").join(words, "word")
         packed = rows.mapInArrow(_pack(plan), PACKED)
-        merged = packed.groupBy("shard").cogroup(rare.groupBy("shard")).applyInPandas(_merge(plan), MERGED)
-        self.shards = stored(merged, "katz-shards")
+        merged = packed.groupBy("shard").cogroup(rare.groupBy("shard")).applyInArrow(_merge(plan), MERGED)
+        self.shards = stored(merged, "katz-shards", rows_per_file=1)      # a row is a shard: tens of MB
         counts = [F.sum(F.col("counts")[k]).alias(str(k + 1)) for k in range(CUT + 1)]
         self.discount = good_turing({int(k): int(v or 0) for k, v in self.shards.agg(*counts).first().asDict().items()})
         hot = (self.shards.select("hot_context", "hot_sums").mapInArrow(

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import host_reputation, html_extraction, katz_lm, queries, secret_scan
@@ -354,3 +355,28 @@ def test_lstm_gradients():
         down = loss()
         m.p[k][at] = keep
         assert grads[k][at] == pytest.approx((up - down) / (2 * eps), rel=0.05, abs=2e-5)
+
+
+def test_katz_merge_holds_a_part_of_a_shard_at_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    n, words = 60_000, [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choice(words, 300)) for _ in range(n // 300)]
+    table = pa.table({"row_key": pa.array(range(len(texts)), pa.int64()), "text": texts, "held_out": [i % 7 == 2 for i in range(len(texts))]})
+    none = np.zeros(0, np.uint64)
+    plan = katz_lm.Plan(1, 10**9, 1e-6, none, none.astype(np.int64), none, none.astype(np.int64))
+    packed = pa.Table.from_batches(katz_lm._pack(plan)(iter(table.to_batches())))
+    most, part = [], katz_lm._merge_part
+
+    def noted(plan, held, n_rows, ctx, *rest):
+        most.append(len(ctx))
+        return part(plan, held, n_rows, ctx, *rest)
+    monkeypatch.setattr(katz_lm, "_merge_part", noted)
+    rare = pa.table({"shard": pa.array([], pa.int32()), "word": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})
+    got = katz_lm._merge(plan)(packed, rare).to_pylist()[0]
+    assert len(most) == katz_lm.PARTS and max(most) < sum(most) / 4
+    monkeypatch.setattr(katz_lm, "PARTS", 1)
+    whole = katz_lm._merge(plan)(packed, rare).to_pylist()[0]
+    for name, size in (("n_tokens", 1), ("n_known", 1), ("small", katz_lm.CUT)):
+        assert (katz_lm._wide(got[name], size * len(texts)) == katz_lm._wide(whole[name], size * len(texts))).all()
+    assert np.allclose(np.frombuffer(got["fixed"]), np.frombuffer(whole["fixed"]), rtol=1e-12)
+    assert got["counts"] == whole["counts"] and len(got["event_context"]) == len(whole["event_context"])
