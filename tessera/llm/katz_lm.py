@@ -29,7 +29,9 @@ contexts named once per slice).  A shard merges its n-grams (this is the
 partitioned n-gram table), scores what needs no global number, and keeps, per
 text, how often each count up to CUT occurred and which contexts it backed off
 from.  When all shards are written, the discounts follow from their counts of
-counts, and one map finishes the scores.
+counts, one map finishes the scores, packed per slice, and a slice's sums of all
+shards are added at once.  A text is its number in its slice; its key travels
+once.
 
 Hot contexts (more than `limit` tokens) are split over several shards by word,
 their sums are merged before the finish; hot n-grams are counted ahead and dealt
@@ -50,6 +52,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -189,7 +192,7 @@ def _ahead(plan: Plan):
     return run
 
 
-PACKED = ("shard int, row_keys binary, held binary, contexts binary, runs binary, words binary, word_at binary, row_at binary, "
+PACKED = ("shard int, slice long, n_texts long, row_keys binary, texts binary, held binary, contexts binary, runs binary, words binary, word_at binary, row_at binary, "
           "times binary")
 
 
@@ -205,7 +208,9 @@ def _wide(data: bytes, n: int) -> np.ndarray:
 
 
 def _pack(plan: Plan):
-    """One row per slice and shard: tokens in the order of their context."""
+    """One row per slice and shard: tokens in the order of their context, and
+    the numbers of their texts in the slice.  One of a slice's rows has the keys
+    of all its texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, tokens, ctx, row in _texts(batches, PACK_ROWS, PACK_BYTES):
             row_keys = part.column("row_key").to_numpy().view(np.uint64)
@@ -215,23 +220,26 @@ def _pack(plan: Plan):
             shard = plan.shard_of(ctx, tokens, row_keys[row])
             order = np.lexsort((ctx, shard))
             cuts = np.searchsorted(shard[order], np.arange(plan.shards + 1))
-            out: list[list] = [[] for _ in range(9)]
-            for s in np.flatnonzero(np.diff(cuts)):
+            out: list[list] = [[] for _ in PACKED.split(", ")]
+            name, used = xxhash.xxh64_intdigest(row_keys.tobytes()), np.flatnonzero(np.diff(cuts))
+            for s in used:
                 own = order[cuts[s]:cuts[s + 1]]
                 h, first = np.unique(ctx[own], return_index=True)
                 w, word_at = np.unique(tokens[own], return_inverse=True)
                 texts, row_at = np.unique(row[own], return_inverse=True)
                 flags = np.unpackbits(np.frombuffer(held, np.uint8), count=len(row_keys))[texts]
-                for column, value in zip(out, (int(s), row_keys[texts].tobytes(), np.packbits(flags).tobytes(), h.tobytes(),
-                                               _narrow(np.diff(np.append(first, len(own)))), w.tobytes(),
+                keys = row_keys.tobytes() if s == used[name % len(used)] else b""
+                for column, value in zip(out, (int(s), name, len(texts), keys, _narrow(np.diff(texts, prepend=-1) - 1), np.packbits(flags).tobytes(),
+                                               h.tobytes(), _narrow(np.diff(np.append(first, len(own)))), w.tobytes(),
                                                _narrow(word_at), _narrow(row_at), _narrow(times[own]))):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]],
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), _long(np.array(out[1], np.uint64)), pa.array(out[2], pa.int64()),
+                                              *[pa.array(c, pa.binary()) for c in out[3:]]],
                                              names=[c.split()[0] for c in PACKED.split(", ")])
     return run
 
 
-MERGED = ("row_keys binary, n_tokens binary, n_known binary, base binary, fixed binary, small binary, event_row binary, event_at binary, "
+MERGED = ("slices array<long>, n_texts array<long>, row_keys array<binary>, texts binary, n_tokens binary, n_known binary, base binary, fixed binary, small binary, event_row binary, event_at binary, "
           "event_times binary, event_context binary, event_sums binary, hot_context binary, hot_sums binary, counts array<long>")
 SUMS = CUT + 3          # per context: n-grams of count 1 .. CUT, tokens of larger counts, sum of P(w), total
 
@@ -244,16 +252,17 @@ def _buffers(batch: pa.RecordBatch) -> Iterator[dict[str, pa.Buffer]]:
 
 
 def _unpacked(packed: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, list[list[tuple]]]:
-    """Row keys and held-out flags of a shard's texts, and its tokens (context,
-    word, row, times) dealt to ``parts`` by context."""
-    keys, held, dealt, base_row = [], [], [[] for _ in range(parts)], 0
+    """Numbers (in their slices, as steps) and held-out flags of a shard's texts,
+    and its tokens (context, word, row, times) dealt to ``parts`` by context."""
+    texts, held, dealt, base_row = [], [], [[] for _ in range(parts)], 0
+    many = iter(packed.column("n_texts").to_pylist())
     for r in (r for batch in packed.to_batches() for r in _buffers(batch)):
-        own = np.frombuffer(r["row_keys"], np.uint64)
+        n_own = next(many)
         contexts = np.frombuffer(r["contexts"], np.uint64)
         runs = _wide(r["runs"], len(contexts))
         n = int(runs.sum())
-        keys.append(own)
-        held.append(np.unpackbits(np.frombuffer(r["held"], np.uint8), count=len(own)).astype(bool))
+        texts.append(_wide(r["texts"], n_own))
+        held.append(np.unpackbits(np.frombuffer(r["held"], np.uint8), count=n_own).astype(bool))
         part = np.repeat((mix(contexts) >> np.uint64(40)) % np.uint64(parts), runs)
         ctx, word = np.repeat(contexts, runs), np.frombuffer(r["words"], np.uint64)[_wide(r["word_at"], n)]
         row = _wide(r["row_at"], n).astype(np.int32) + np.int32(base_row)
@@ -261,24 +270,26 @@ def _unpacked(packed: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, lis
         for k in range(parts):
             at = np.flatnonzero(part == k)
             dealt[k].append((ctx[at], word[at], row[at], times[at]))
-        base_row += len(own)
-    return np.concatenate(keys), np.concatenate(held), dealt
+        base_row += n_own
+    return np.concatenate(texts), np.concatenate(held), dealt
 
 
 def _merge(plan: Plan):
     """One row per shard.  Its n-grams are merged in PARTS by context, one after
     the other, which bounds what a task holds besides the tokens."""
-    schema = pa.schema([(c.split()[0], pa.binary() if c.endswith("binary") else pa.list_(pa.int64())) for c in MERGED.split(", ")])
+    types = {"binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
+    schema = pa.schema([(c.split()[0], types[c.split()[1]]) for c in MERGED.split(", ")])
 
     def run(packed: pa.Table, rare: pa.Table) -> pa.Table:
         if not len(packed):
             return schema.empty_table()
-        keys, held, dealt = _unpacked(packed, PARTS)
+        texts, held, dealt = _unpacked(packed, PARTS)
+        cells = {name: packed.column(of).to_pylist() for name, of in (("slices", "slice"), ("n_texts", "n_texts"), ("row_keys", "row_keys"))}
         rare_w, rare_c = (rare.column(k).to_numpy() for k in ("word", "c"))
         order = np.argsort(rare_w.view(np.uint64))
         rare_w, rare_c = rare_w.view(np.uint64)[order], rare_c[order]
         del packed, rare, order
-        n_rows, n_used, total = len(keys), 0, {}
+        n_rows, n_used, total = len(texts), 0, {}
         lists: dict[str, list[bytes]] = {c: [] for c in ("event_row", "event_at", "event_times", "event_context", "event_sums",
                                                          "hot_context", "hot_sums")}
         while dealt:
@@ -297,7 +308,7 @@ def _merge(plan: Plan):
             n_used += used
             for name, value in events.items():
                 lists[name].append(value.tobytes())
-        row = {"row_keys": keys.tobytes(), **{c: _narrow(total[c]) for c in ("n_tokens", "n_known", "small")},
+        row = {**cells, "texts": _narrow(texts), **{c: _narrow(total[c]) for c in ("n_tokens", "n_known", "small")},
                **{c: total[c].tobytes() for c in ("base", "fixed")}, **{c: b"".join(v) for c, v in lists.items()}, "counts": total["counts"]}
         row["event_times"] = _narrow(np.frombuffer(row["event_times"], np.int32))
         return pa.Table.from_pylist([row], schema)
@@ -359,13 +370,17 @@ def _hot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["context", *[f"s{k}" for k in range(CUT + 2)]])
 
 
+SCORED = "slice long, row_keys binary, texts binary, n_tokens binary, n_known binary, base_score binary, score binary"
+SCORED_ROWS = 64        # packed rows of a batch
+
+
 def _finish(discount: dict[int, float], hot: np.ndarray, hot_sums: np.ndarray):
-    """Rows (row_key, n_tokens, n_known, base_score, score) of one shard."""
+    """A shard's part of the scores, one packed row per slice."""
     rate = np.array([discount[r] for r in range(1, CUT + 1)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in _buffers(batch):
+            for i, r in enumerate(_buffers(batch)):
                 fixed = np.frombuffer(r["fixed"], float)
                 n_rows = len(fixed)
                 score = fixed + _wide(r["small"], n_rows * CUT).reshape(-1, CUT) @ np.log10(rate)
@@ -377,13 +392,36 @@ def _finish(discount: dict[int, float], hot: np.ndarray, hot_sums: np.ndarray):
                 weight = np.log10((1 - kept / (sums[:, CUT + 2] + 1)) / (1 - sums[:, CUT + 1]))
                 extra = weight[(event_at := np.frombuffer(r["event_at"], np.int32))] * _wide(r["event_times"], len(event_at))
                 score = score + np.bincount(np.frombuffer(r["event_row"], np.int32), weights=extra, minlength=len(score))
-                yield pa.RecordBatch.from_arrays(
-                    [_long(np.frombuffer(r["row_keys"], np.uint64)), pa.array(_wide(r["n_tokens"], n_rows)),
-                     pa.array(_wide(r["n_known"], n_rows)), pa.array(np.frombuffer(r["base"], float)), pa.array(score)],
-                    names=["row_key", "n_tokens", "n_known", "base_score", "score"])
+                small = [_wide(r[c], n_rows) for c in ("texts", "n_tokens", "n_known")]
+                large = [np.frombuffer(r["base"], float), score]
+                slices, n_texts, row_keys = (batch.column(c)[i].as_py() for c in ("slices", "n_texts", "row_keys"))
+                ends = np.cumsum([0, *n_texts])
+                for k in range(0, len(slices), SCORED_ROWS):
+                    own = [slice(*x) for x in zip(ends[k:k + SCORED_ROWS], ends[k + 1:k + 1 + SCORED_ROWS])]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(slices[k:k + SCORED_ROWS], pa.int64()), pa.array(row_keys[k:k + SCORED_ROWS], pa.binary()),
+                         *[pa.array([_narrow(c[x]) for x in own], pa.binary()) for c in small],
+                         *[pa.array([c[x].tobytes() for x in own], pa.binary()) for c in large]],
+                        names=[c.split()[0] for c in SCORED.split(", ")])
     return run
 
 
+def _add(parts: pa.Table) -> pa.Table:
+    """Rows (row_key, n_tokens, n_known, base_score, score) of one slice's texts
+    from all shards' parts."""
+    keys = np.frombuffer(next(k for k in parts.column("row_keys").to_pylist() if k), np.int64)
+    counts = {c: np.zeros(len(keys), np.int64) for c in ("n_tokens", "n_known")}
+    sums = {c: np.zeros(len(keys)) for c in ("base_score", "score")}
+    for r in (r for batch in parts.to_batches() for r in _buffers(batch)):
+        n = len(r["score"]) // 8
+        at = np.cumsum(_wide(r["texts"], n) + 1) - 1
+        for c, total in counts.items():
+            total[at] += _wide(r[c], n)
+        for c, total in sums.items():
+            total[at] += np.frombuffer(r[c], float)
+    return pa.table({"row_key": keys, **counts, **sums})
+
+
 class Katz:
     """Model fitted on rows (row_key, text, held_out) and the scores of all of
     them: ``scores`` has (row_key, n_tokens, n_known, base_score, score)."""
@@ -424,8 +462,8 @@ class Katz:
             np.add.at(sums[:, CUT], at, hot_pairs["n"].to_numpy())
             in_head, _ = Plan.find(plan.head, w)
             np.add.at(sums[:, CUT + 1], at, (plan.head_n[in_head] + 1) * plan.unknown)
-        self.scores = (self.shards.mapInArrow(_finish(self.discount, contexts, sums),
-                                              "row_key long, n_tokens long, n_known long, base_score double, score double")
+        self.scores = (self.shards.mapInArrow(_finish(self.discount, contexts, sums), SCORED)
+                       .groupBy("slice").applyInArrow(_add, "row_key long, n_tokens long, n_known long, base_score double, score double")
                        .groupBy("row_key").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]))
 
     def _plan(self, shard_tokens: int) -> Plan:

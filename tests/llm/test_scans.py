@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tessera.llm import host_reputation, html_extraction, katz_lm, queries, secret_scan
@@ -380,3 +381,24 @@ def test_katz_merge_holds_a_part_of_a_shard_at_once(monkeypatch):
         assert (katz_lm._wide(got[name], size * len(texts)) == katz_lm._wide(whole[name], size * len(texts))).all()
     assert np.allclose(np.frombuffer(got["fixed"]), np.frombuffer(whole["fixed"]), rtol=1e-12)
     assert got["counts"] == whole["counts"] and len(got["event_context"]) == len(whole["event_context"])
+
+
+def test_katz_texts_come_back_per_slice_not_per_shard():
+    """A text's key travels once, and what shards return is a row per slice."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(400)], rng.integers(0, 60))) for _ in range(90)]
+    slice_of = pa.table({"row_key": pa.array(range(1000, 1090), pa.int64()), "text": texts, "held_out": [i % 7 == 2 for i in range(90)]})
+    batches = [*slice_of.slice(0, 50).to_batches(), *slice_of.slice(50).to_batches(), *slice_of.slice(0, 50).to_batches()]   # one comes twice
+    none, rare = np.zeros(0, np.uint64), pa.table({"word": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})
+    plan = katz_lm.Plan(16, 10**9, 1e-6, none, none.astype(np.int64), none, none.astype(np.int64))
+    packed = pa.Table.from_batches(katz_lm._pack(plan)(iter(batches)))
+    assert sum(map(len, packed.column("row_keys").to_pylist())) == 8 * (50 + 40 + 50)
+    shards = [katz_lm._merge(plan)(packed.filter(pc.equal(packed.column("shard"), s)), rare) for s in range(16)]
+    finish = katz_lm._finish(katz_lm.good_turing({}), none, np.zeros((0, katz_lm.CUT + 2)))
+    parts = pa.Table.from_batches(b for s in shards for b in finish(iter(s.to_batches())))
+    assert len(parts) == len(packed) <= 3 * 16
+    got = {}
+    for s in pc.unique(parts.column("slice")).to_pylist():
+        own = katz_lm._add(parts.filter(pc.equal(parts.column("slice"), s))).to_pylist()
+        got |= {r["row_key"]: r["n_tokens"] for r in own}
+    assert got == {1000 + i: (2 if i < 50 else 1) * (len(t.split()) + 1) for i, t in enumerate(texts)}
