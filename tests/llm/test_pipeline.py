@@ -50,7 +50,7 @@ def test_registered():
     spec.loader.exec_module(entry)
     names = set(entry.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.ORACLE) <= set(entry.oracle_sql())
 
 
@@ -59,8 +59,8 @@ def test_sql(spark, name):
     want = duck(SF).sql(queries.ORACLE[name]).df()
     got = queries.QUERIES[name](spark, SF).toPandas()[list(want.columns)]
     order = list(want.columns)
-    assert (got.sort_values(order).reset_index(drop=True).astype(str)
-            .equals(want.sort_values(order).reset_index(drop=True).astype(str)))
+    text = lambda df: df.sort_values(order).reset_index(drop=True).convert_dtypes().astype(str)
+    assert text(got).equals(text(want))                  # a long with nulls is a float to one of the two readers
 
 
 def test_last_stage_composes_the_normaliser_and_decodes(spark, tmp_path, monkeypatch):

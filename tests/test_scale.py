@@ -7,6 +7,7 @@ import hashlib
 import math
 import pathlib
 import re
+import uuid
 
 import pytest
 from pyspark.sql import Window
@@ -41,7 +42,7 @@ def conf(spark):
 
 def jobs_of(spark, build):
     """(result of build, number of jobs it ran)."""
-    group = f"probe-{id(build)}"
+    group = f"probe-{uuid.uuid4().hex}"       # an id() may be that of an earlier function
     spark.sparkContext.setJobGroup(group, group)
     try:
         out = build()
